@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import queries_core
 from .operators import orphans
 from .session import table
 
@@ -24,7 +25,7 @@ def p1_by_year(spark, d):
     return orphans.orphans_by_period(_orphans(spark, d, year))
 
 
-QUERIES = {"p1_found": p1_found, "p1_by_year": p1_by_year}
+QUERIES = queries_core.Q | {"p1_found": p1_found, "p1_by_year": p1_by_year}
 
 _TRIM = "' ' || chr(9) || chr(160)"
 _ORPHANS = f"""with r as (
@@ -33,7 +34,7 @@ _ORPHANS = f"""with r as (
   select id, 'target', upper(trim(target_celex, {_TRIM})), try_cast(nullif(regexp_extract(upper(trim(source_celex, {_TRIM})), '^[0-9A-Z]([0-9]{{4}})', 1), '') as integer) from relations),
 o as (select distinct id, side, ref, period from r where ref <> '' and not exists (select 1 from works w where w.celex_id = r.ref))
 """
-SQL = {
+SQL = queries_core.SQL | {
     "p1_found": _ORPHANS + "select distinct id, side from o",
     "p1_by_year": _ORPHANS + "select side, period, count(*) as orphan_refs, count(distinct ref) as missing_keys from o group by side, period",
 }
