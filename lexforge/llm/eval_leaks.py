@@ -89,6 +89,8 @@ def _windows(column: str, window: int, names: list[str], wanted):
 
 def _slot_kind(frames):
     for f in frames:
+        if not len(f):
+            continue
         kinds = []
         for a, b in zip(f["slots"], f["item_slots"]):
             if np.array_equal(a, b):

@@ -47,6 +47,8 @@ def _count(path: str):
     def run(frames):
         enc = encoder(path)
         for f in frames:
+            if not len(f):
+                continue
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in f["text"]]
             yield pd.DataFrame({"id": f["id"].to_numpy(), "source": f["source"].to_numpy(), "tokens": n})
 
