@@ -24,7 +24,16 @@ def build_session(app: str = "lexforge", **conf: str) -> SparkSession:
     return b.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Lets Python workers find this package where it is not installed but its folder is shared or local."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (home, env.get("PYTHONPATH", "")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
