@@ -563,3 +563,96 @@ def fallback_triggers(spark, d):
     p = w.select("celex_id", "language", "document_type").join(structure.profile(u.distinct()), "celex_id", "left").na.fill(0, ["recitals", "articles", "annexes", "bodies", "units"])
     c = F.col
     return p.select("celex_id", F.coalesce(quality.needs_fallback(c("language"), c("document_type"), c("recitals"), c("articles"), c("annexes")), F.lit(False)).alias("fallback"), quality.needs_pdf_retry(c("units"), c("bodies"), c("articles"), c("recitals")).alias("pdf_retry"))
+
+
+# --- structure readers (no SQL can say them) ---------------------------------------------------------------
+def _exploded(df: DataFrame, units) -> DataFrame:
+    """The array once into a column, then one row a unit."""
+    u = df.select("celex_id", units.alias("us")).select("celex_id", F.posexplode("us").alias("pos", "u"))
+    return u.select("celex_id", "pos", "u.*")
+
+
+@query()
+def html_units(spark, d):
+    from .functions.html_units import html_units as f
+
+    return _exploded(_t(spark, d, "works").where("full_text_html is not null"), f(F.col("full_text_html"), "point"))
+
+
+@query()
+def html_blocks(spark, d):
+    from .functions.tree import html_blocks as f
+
+    w = _t(spark, d, "works").where("full_text_html is not null")
+    return w.select("celex_id", F.explode(f(F.col("full_text_html"))).alias("b")).select("celex_id", "b.*")
+
+
+@query("select celex_id, trim(regexp_replace(regexp_replace(full_text_html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) as full_text from works where full_text_html is not null")
+def html_full_text(spark, d):
+    from .functions.tree import html_full_text as f
+
+    return _t(spark, d, "works").where("full_text_html is not null").select("celex_id", f(F.col("full_text_html")).alias("full_text"))
+
+
+@query()
+def markdown_units(spark, d):
+    """Structural acts read from PDF."""
+    from .functions.markdown_units import md_units
+
+    w = _t(spark, d, "works").where("full_text is not null and content_source like '%pdf%'")
+    return _exploded(w.where(ids.route(F.col("document_type")) == "structural"), md_units(F.col("full_text"), "paragraph"))
+
+
+@query()
+def com_units(spark, d):
+    from .functions.com_units import com_text_units
+
+    w = _t(spark, d, "works").where("full_text is not null")
+    return _exploded(w.where(ids.route(F.col("document_type")) == "com"), com_text_units(F.col("full_text")))
+
+
+def _split(granularity):
+    def f(spark, d):
+        from .functions.splitter import split_units
+
+        u = _t(spark, d, "text_units").where("type = 'article' and text is not null").distinct()
+        parts = split_units(F.array("text"), F.col("number"), F.col("title"), granularity, True)
+        return u.select("id", parts.alias("us")).select("id", F.posexplode("us").alias("pos", "u")).select("id", "pos", "u.*")
+
+    return f
+
+
+for _g in ("article", "paragraph", "point"):
+    Q[f"split_article_{_g}"] = _split(_g)
+SQL["split_article_article"] = (
+    "select id, 0 as pos, 'article' as type, cast(null as varchar) as subtype, number, cast(null as varchar) as paragraph_num, cast(null as varchar) as subparagraph_num, cast(null as varchar) as point_letter, title, "
+    "regexp_replace(text, '^[\\s\\x{00A0}]+|[\\s\\x{00A0}]+$', '', 'g') as text, cast(null as varchar) as text_translated from (select distinct id, number, title, text from text_units where type = 'article' and text is not null)"
+)
+
+
+@query()
+def parsed_dataset(spark, d):
+    """The reading plan over all works with text: route, parse, tidy, number."""
+    from .plans import pipeline
+
+    w = _t(spark, d, "works").where("full_text is not null")
+    c = w.select("celex_id", "document_type", F.lit("text").alias("content_type"), F.col("full_text").alias("body"))
+    return pipeline.tidy_units(pipeline.parse_units(c)).drop("pos")
+
+
+
+
+@query(
+    """with a as (select source_celex as id, (row_number() over (partition by source_celex order by id, target_celex nulls first) - 1) as k, id % 7 as s from (select distinct * from relations) where source_celex is not null),
+r as (select id, k, case when s = 0 then 503 when s < 5 then 404 else 200 end as status from a where k < 12),
+b as (select *, coalesce(max(case when k % 2 = 1 and status >= 500 then 1 end) over (partition by id order by k rows between unbounded preceding and 1 preceding), 0) as blocked from r),
+m as (select id, min(k) filter (status = 200 and not (k % 2 = 1 and blocked = 1)) as best, bool_or(status >= 500) as t from b group by id)
+select id, case when best is null then null else ['eng','fra','deu','ita','nld','spa'][best // 2 + 1] end as lang, case when best is null then null when best % 2 = 0 then 'html' else 'pdf' end as fmt, case when best is not null then 'ok' when t then 'retry' else 'missing' end as outcome from m"""
+)
+def content_negotiation(spark, d):
+    r = _t(spark, d, "relations").where("source_celex is not null").distinct()
+    k = F.row_number().over(Window.partitionBy("source_celex").orderBy("id", F.col("target_celex").asc_nulls_first())) - 1
+    lang = F.element_at(F.array(*[F.lit(x) for x in ids.LANGUAGES]), F.floor(F.col("k") / 2).cast("int") + 1)
+    status = F.when(F.col("id") % 7 == 0, 503).when(F.col("id") % 7 < 5, 404).otherwise(200)
+    a = r.withColumn("k", k).where("k < 12").select(F.col("source_celex").alias("id"), lang.alias("lang"), F.when(F.col("k") % 2 == 0, "html").otherwise("pdf").alias("fmt"), status.alias("status"), F.lit(False).alias("empty"))
+    return R.negotiate(a)
