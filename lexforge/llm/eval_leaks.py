@@ -97,7 +97,7 @@ def _slot_kind(frames):
                 kinds.append("verbatim")
                 continue
             there, back, ok = {}, {}, True
-            for x, y in zip(a.tolist(), b.tolist()):
+            for x, y in zip(list(a), list(b)):
                 ok = ok and there.setdefault(y, x) == x and back.setdefault(x, y) == y
             kinds.append("reparameterised" if ok else "inconsistent")
         yield pd.DataFrame({"id": f["id"].to_numpy(), "item_id": f["item_id"].to_numpy(), "kind": kinds})

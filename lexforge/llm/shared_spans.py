@@ -30,7 +30,8 @@ from . import hashing as H
 from .near_duplicates import _first_of_runs
 
 U64 = np.uint64
-_ROWS = "k long, rid long, pos int, sure boolean"
+#: route is the hash, or the record for rows that are known to be shared and need no company.
+_ROWS = "route long, rid long, pos int, sure boolean, k long"
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -70,11 +71,11 @@ def _combine(k: np.ndarray, rid: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
     shared_at[first[rid != rid[first]]] = True
     sure = shared_at[first]
     route = np.where(sure & ~new, rid, k)  # sure rows need no company and are spread by record
-    return pd.DataFrame({"k": route, "rid": rid, "pos": pos.astype(np.int32), "sure": sure})
+    return pd.DataFrame({"route": route, "rid": rid, "pos": pos.astype(np.int32), "sure": sure, "k": k})
 
 
 def _repeated(batches):
-    """Rows in order of k go by; those whose k two records have, or that are sure, are kept."""
+    """Rows in order of their route go by; those whose route two records have, or that are sure, are kept."""
     held: list[pa.RecordBatch] = []  # rows of the hash at hand while only one record has it
     held_key = held_rid = None
     settled = False
@@ -116,7 +117,7 @@ def _repeated(batches):
 
 
 def _settle(rows: DataFrame) -> DataFrame:
-    return rows.repartition("k").sortWithinPartitions("k", "rid").mapInArrow(_repeated, _ROWS)
+    return rows.repartition("route").sortWithinPartitions("route", "rid").mapInArrow(_repeated, _ROWS)
 
 
 def _anchor_rows(k: int, w: int):
@@ -173,7 +174,8 @@ def shared_windows(src: DataFrame, min_tokens: int, max_broadcast: int = 4_000_0
 def double(level: DataFrame, length: int) -> DataFrame:
     """From the shared windows of one length those of twice the length."""
     nxt = level.select(F.col("k").alias("k2"), "rid", (F.col("pos") - length).alias("pos"))
-    rows = level.join(nxt, ["rid", "pos"]).select(F.xxhash64("k", "k2").alias("k"), "rid", "pos", F.lit(False).alias("sure"))
+    h = F.xxhash64("k", "k2")
+    rows = level.join(nxt, ["rid", "pos"]).select(h.alias("route"), "rid", "pos", F.lit(False).alias("sure"), h.alias("k"))
     return _settle(rows).select("k", "rid", "pos").distinct()
 
 
