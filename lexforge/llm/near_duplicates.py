@@ -183,7 +183,7 @@ def near_duplicates(
     min_words: int = 1,
     bins: int = 128,
     rows: int = 5,
-    bands: int = 32,
+    bands: int = 44,
     max_broadcast: int = 2_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Links (key_a, key_b, similarity) between classes, and members (key, class_key).
