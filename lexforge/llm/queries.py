@@ -134,6 +134,16 @@ t as (select count(distinct r) as t from f),
 p as (select a.x as label_a, b.x as label_b, count(*) as c from f a join f b on a.r = b.r and a.x < b.x group by 1, 2)
 """
 _W = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+_ROWS_SQL = "select distinct 'works' as tn, celex_id as k, full_text as text from works where full_text is not null and celex_id is not null union all select distinct 'text_units', cast(id as varchar), text from text_units where text is not null and id is not null"
+_P2 = f"""with r as ({_ROWS_SQL}), w as (select tn, k, {_W} as w from r),
+g as (select distinct tn, k, hash(w[i:i+2]) as h from w, unnest(range(1, len(w) - 1)) u(i) where len(w) >= 25),
+n as (select tn, k, count(*) as n from g group by tn, k),
+c as (select a.tn, a.k as ka, b.k as kb, count(*) as c from g a join g b on a.tn = b.tn and a.h = b.h and a.k < b.k group by 1, 2, 3)
+select c.tn as table_name, ka as key_a, kb as key_b from c join n x on x.tn = c.tn and x.k = ka join n y on y.tn = c.tn and y.k = kb where c >= 0.6 * (x.n + y.n - c)"""
+_P6 = f"""with r as ({_ROWS_SQL}), w as (select tn, k, regexp_extract_all(text, '[^ \\t\\n\\r]+') as w from r),
+g as (select distinct tn, k, hash(w[i:i+29]) as h from w, unnest(range(1, greatest(len(w) - 28, 1))) u(i) where len(w) >= 30),
+s as (select tn, h from g group by tn, h having count(distinct k) > 1)
+select distinct tn as table_name, k as record_key from g join s using (tn, h)"""
 SQL = {
     "p3_found": "select distinct 'works' as table_name, celex_id as record_key from works where length(full_text) > 8000 and celex_id is not null union all select distinct 'text_units', cast(id as varchar) from text_units where length(text) > 2000 and id is not null",
     "p4_found": _E + "select label_a, label_b from p join n na on na.x = label_a join n nb on nb.x = label_b, t where c >= 5 and c * t >= 3 * na.n * nb.n",
@@ -141,6 +151,8 @@ SQL = {
     + """select label_a, label_b, c as n_both, na.n as n_a, nb.n as n_b, t as n_records, round(c::double * t / (na.n::double * nb.n), 6) as lift,
   round((c + 0.5) * (t - na.n - nb.n + c + 0.5) / ((na.n - c + 0.5) * (nb.n - c + 0.5)), 6) as odds_ratio
   from p join n na on na.x = label_a join n nb on nb.x = label_b, t""",
+    "p2_found": _P2,
+    "p6_found": _P6,
     "p7_found": f"""with i as (select item_id, {_W} as w from eval_items where text is not null),
 iw as (select distinct item_id, hash(w[k:k+14]) as h from i, unnest(range(1, greatest(len(w) - 13, 1))) u(k) where len(w) >= 15),
 d as (select doc_id, {_W} as w from documents where text is not null),
