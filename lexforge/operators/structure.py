@@ -11,18 +11,60 @@ def part(c: str | Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit("-"))
 
 
+class Spread:
+    """Running values over a group in order, where one group may hold a large share of all rows.
+
+    The group is cut into stretches of the leading order column (`major`, a number that rows are ordered by first),
+    each stretch is worked in a window of its own, and what the stretches before it amount to is added from a table
+    with one row a stretch. Rows with a null `major` come last. Equal to a window over the whole group, in tasks of
+    about `step` rows.
+    """
+
+    def __init__(self, doc: str, major: Column, order: list, step: int = 65_536):
+        self.doc, self.order = doc, order
+        self.chunk = F.coalesce(F.floor(major / step), F.lit(1 << 40))
+        self.here = Window.partitionBy(doc, "_chunk").orderBy(*order)
+        self.before = Window.partitionBy(doc).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+    def _with(self, df: DataFrame, local: Column, total: Column, carry, join) -> DataFrame:
+        d = df.withColumn("_chunk", self.chunk)
+        sums = d.groupBy(self.doc, "_chunk").agg(total.alias("_t"))
+        sums = sums.select(F.col(self.doc).alias("_d"), F.col("_chunk").alias("_c"), carry(F.col("_t")).over(self.before).alias("_before"))
+        d = d.withColumn("_local", local)
+        d = d.join(sums, d[self.doc].eqNullSafe(F.col("_d")) & (F.col("_chunk") == F.col("_c")), "left").drop("_d", "_c", "_chunk")
+        return d.withColumn("_value", join(F.col("_local"), F.col("_before"))).drop("_local", "_before")
+
+    def row_number(self, df: DataFrame, name: str) -> DataFrame:
+        out = self._with(df, F.row_number().over(self.here).cast("long"), F.count(F.lit(1)), F.sum, lambda a, b: a + F.coalesce(b, F.lit(0)))
+        return out.withColumnRenamed("_value", name)
+
+    def running_count(self, df: DataFrame, cond: Column, name: str) -> DataFrame:
+        w = self.here.rowsBetween(Window.unboundedPreceding, 0)
+        out = self._with(df, F.count_if(cond).over(w), F.count_if(cond), F.sum, lambda a, b: a + F.coalesce(b, F.lit(0)))
+        return out.withColumnRenamed("_value", name)
+
+    def running_last(self, df: DataFrame, value: Column, name: str) -> DataFrame:
+        """The last non-null value so far."""
+        w = self.here.rowsBetween(Window.unboundedPreceding, 0)
+        last = F.max_by(F.when(value.isNotNull(), value), F.when(value.isNotNull(), F.struct(*self.order)))
+        out = self._with(df, F.last(value, ignorenulls=True).over(w), last, lambda t: F.last(t, ignorenulls=True), F.coalesce)
+        return out.withColumnRenamed("_value", name)
+
+
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, pos, line) of the non-blank lines, pos from 0 over all lines."""
     return docs.select(key, F.posexplode(F.split(F.col(text), "\r?\n")).alias("pos", "line")).where(F.length(F.trim("line")) > 0)
 
 
-def number_units(units: DataFrame, doc: str = "celex_id", pos: str = "pos") -> DataFrame:
-    """unit_order 1..n in each document and unit_key; the k-th repeat of a key gets the suffix :k."""
+def number_units(units: DataFrame, doc: str = "celex_id", pos: str = "pos", ties: tuple[str, ...] = ()) -> DataFrame:
+    """unit_order 1..n in each document by pos (a number) and ties, and unit_key; the k-th repeat of a key gets the
+    suffix :k."""
     base = F.concat_ws(":", F.col(doc), F.col("type"), part("number"), part("paragraph_num"), part("subparagraph_num"), part("point_letter"))
-    d = units.withColumn("unit_order", F.row_number().over(Window.partitionBy(doc).orderBy(pos)))
-    k = F.row_number().over(Window.partitionBy("_base").orderBy("unit_order"))
-    d = d.withColumn("_base", base).withColumn("_k", k)
-    return d.withColumn("unit_key", F.when(F.col("_k") > 1, F.concat_ws(":", "_base", F.col("_k").cast("string"))).otherwise(F.col("_base"))).drop("_base", "_k")
+    order = [F.col(pos)] + [F.col(c) for c in ties]
+    d = Spread(doc, F.col(pos), order).row_number(units, "unit_order").withColumn("_base", base)
+    d = Spread("_base", F.col("unit_order"), [F.col("unit_order")]).row_number(d, "_k")
+    key = F.when(F.col("_k") > 1, F.concat_ws(":", "_base", F.col("_k").cast("string"))).otherwise(F.col("_base"))
+    return d.withColumn("unit_key", key).withColumn("unit_order", F.col("unit_order").cast("int")).drop("_base", "_k")
 
 
 def profile(units: DataFrame, doc: str = "celex_id") -> DataFrame:
@@ -37,10 +79,9 @@ def profile(units: DataFrame, doc: str = "celex_id") -> DataFrame:
     )
 
 
-def carried(df: DataFrame, doc: str, order: str, value: Column, name: str) -> DataFrame:
-    """The last non-null value at or before each row, as a heading holds for what follows it."""
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(w))
+def carried(df: DataFrame, doc: str, order: list[str], value: Column, name: str) -> DataFrame:
+    """The last non-null value at or before each row, as a heading holds for what follows it. order: columns, the first a number."""
+    return Spread(doc, F.col(order[0]), [F.col(c) for c in order]).running_last(df, value, name)
 
 
 def sequence_complete(units: DataFrame, doc: str = "celex_id", order: str = "unit_order") -> DataFrame:

@@ -38,9 +38,8 @@ _POS = "coalesce(unit_order, 1000000), id"
 
 @query(f"select id, celex_id, row_number() over (partition by celex_id order by {_POS}) as pos from {_UNITS}")
 def unit_rows(spark, d):
-    u = _t(spark, d, "text_units").distinct()
-    w = Window.partitionBy("celex_id").orderBy(F.coalesce("unit_order", F.lit(1_000_000)), "id")
-    return u.select("id", "celex_id", F.row_number().over(w).cast("long").alias("pos"))
+    u = _t(spark, d, "text_units").distinct().select("id", "celex_id", F.coalesce("unit_order", F.lit(1_000_000)).alias("o"))
+    return structure.Spread("celex_id", F.col("o"), [F.col("o"), F.col("id")]).row_number(u, "pos").drop("o")
 
 
 _P = lambda c: f"coalesce(nullif({c}, ''), '-')"
@@ -53,8 +52,8 @@ b as (select *, row_number() over (partition by base order by o) as k from a)
 select id, o as unit_order, case when k > 1 then base || ':' || k else base end as unit_key from b"""
 )
 def unit_keys(spark, d):
-    u = _t(spark, d, "text_units").distinct().withColumn("pos", F.struct(F.coalesce("unit_order", F.lit(1_000_000)), F.col("id"))).drop("unit_order", "unit_key")
-    return structure.number_units(u).select("id", F.col("unit_order").cast("long"), "unit_key")
+    u = _t(spark, d, "text_units").distinct().withColumn("pos", F.coalesce("unit_order", F.lit(1_000_000))).drop("unit_order", "unit_key")
+    return structure.number_units(u, ties=("id",)).select("id", F.col("unit_order").cast("long"), "unit_key")
 
 
 @query(
@@ -84,9 +83,9 @@ def sequence_complete(spark, d):
 count(*) filter (type = 'article') over (partition by celex_id order by {_POS} rows between unbounded preceding and current row) as section from {_UNITS}"""
 )
 def heading_context(spark, d):
-    u = _t(spark, d, "text_units").distinct().withColumn("o", F.struct(F.coalesce("unit_order", F.lit(1_000_000)), F.col("id")))
-    w = Window.partitionBy("celex_id").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
-    return structure.carried(u, "celex_id", "o", F.col("title"), "heading").select("id", "celex_id", "heading", F.count_if(F.col("type") == "article").over(w).alias("section"))
+    u = _t(spark, d, "text_units").distinct().select("id", "celex_id", "title", "type", F.coalesce("unit_order", F.lit(1_000_000)).alias("o"))
+    h = structure.carried(u, "celex_id", ["o", "id"], F.col("title"), "heading")
+    return structure.Spread("celex_id", F.col("o"), [F.col("o"), F.col("id")]).running_count(h, F.col("type") == "article", "section").select("id", "celex_id", "heading", "section")
 
 
 @query(

@@ -109,3 +109,16 @@ def test_restart_removal(spark):
     f = lambda v: spark.range(1).select(structure.remove_restarts(F.array(*[F.lit(i) for i in v])).alias("x")).first().x
     assert f([1, 2, 3, 1, 2, 4, 5]) == [1, 2, 3, 4, 5]
     assert f([1, 2, 3]) == [1, 2, 3]
+
+
+def test_spread_equals_one_window(spark):
+    d = spark.createDataFrame([("a", i % 37, i, "v" if i % 11 == 0 else None) for i in range(400)] + [("b", None, 1, "x"), ("b", 3, 2, None), (None, 1, 1, "n")], "doc string, o int, t int, v string")
+    s = structure.Spread("doc", F.col("o"), [F.col("o"), F.col("t")], step=5)
+    out = s.running_count(s.running_last(s.row_number(d, "rn"), F.when(F.col("v").isNotNull(), F.concat("v", F.col("t").cast("string"))), "lv"), F.col("v").isNotNull(), "c")
+    got = {(r.doc, r.o, r.t): (r.rn, r.lv, r.c) for r in out.collect()}
+    for doc in ("a", "b", None):
+        rows = sorted((r for r in d.collect() if r.doc == doc), key=lambda r: (r.o is None, r.o, r.t))
+        last, c = None, 0
+        for i, r in enumerate(rows, 1):
+            last, c = (f"{r.v}{r.t}", c + 1) if r.v else (last, c)
+            assert got[(r.doc, r.o, r.t)] == (i, last, c)
