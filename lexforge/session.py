@@ -60,7 +60,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
 
     Keys with more than 1/64 of the rows of `big` (at most 63 of them, so the list is bounded) are hot:
     their rows are spread over `salts` and the matching rows of `small` repeated once per salt. All other
-    rows keep salt 0. `small` should hold few rows per key. how: inner, left_semi, left_anti or left.
+    rows keep salt 0. The salt is a hash of the row, so a task that runs again makes the same rows. `small` should hold
+    few rows per key. how: inner, left_semi, left_anti or left.
     """
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t"))
@@ -70,7 +71,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
         .select(F.col(key).alias("_hot"))
     )
     b = big.join(F.broadcast(hot), big[key] == F.col("_hot"), "left")
-    b = b.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise((F.rand(7) * salts).cast("int"))).drop("_hot")
+    b = b.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))).drop("_hot")
     s = small.join(F.broadcast(hot), small[key] == F.col("_hot"), "left")
     s = s.withColumn(
         "_salt",
