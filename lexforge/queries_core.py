@@ -655,3 +655,92 @@ def content_negotiation(spark, d):
     status = F.when(F.col("id") % 7 == 0, 503).when(F.col("id") % 7 < 5, 404).otherwise(200)
     a = r.withColumn("k", k).where("k < 12").select(F.col("source_celex").alias("id"), lang.alias("lang"), F.when(F.col("k") % 2 == 0, "html").otherwise("pdf").alias("fmt"), status.alias("status"), F.lit(False).alias("empty"))
     return R.negotiate(a)
+
+
+# --- reports, ledgers, decoding ----------------------------------------------------------------------------
+@query("select 'missing_content' as report, celex_id, document_type as detail from works where content_source is null union all select 'non_english', celex_id, language from works where language is not null and language <> 'eng'")
+def run_reports(spark, d):
+    r = store.reports(_t(spark, d, "works"))
+    a = r["missing_content"].select(F.lit("missing_content").alias("report"), "celex_id", F.col("document_type").alias("detail"))
+    return a.unionByName(r["non_english"].select(F.lit("non_english").alias("report"), "celex_id", F.col("language").alias("detail")))
+
+
+@query("select celex_id, error from work_checkpoint where status = 'failed'")
+def failed_documents(spark, d):
+    return store.failures(_t(spark, d, "work_checkpoint"))
+
+
+@query("select celex_id, status from work_checkpoint where status <> 'failed' or status is null")
+def reset_failed(spark, d):
+    return store.reset(_t(spark, d, "work_checkpoint"), "failed").select("celex_id", "status")
+
+
+@query(
+    """with l as (select 'full_text' as scope, celex_id as record_id, case when length(full_text) % 2 = 0 then sha256(full_text) else 'stale' end as source_sha256, case when length(full_text) % 3 = 0 then 1 else 2 end as policy_version from works where full_text is not null
+union all select 'unit', unit_key, sha256(text), 2 from (select distinct unit_key, text from text_units where unit_key is not null and text is not null and type = 'recital'))
+select scope, record_id from l where policy_version = 2 and (
+ exists (select 1 from works w where l.scope = 'full_text' and w.celex_id = l.record_id and w.language <> 'eng' and sha256(w.full_text) = l.source_sha256)
+ or exists (select 1 from text_units u join works w using (celex_id) where l.scope = 'unit' and w.language <> 'eng' and u.unit_key = l.record_id and sha256(u.text) = l.source_sha256))"""
+)
+def ledger_invalidation(spark, d):
+    w, u = _t(spark, d, "works", "text_units")
+    n = F.length("full_text")
+    a = w.where("full_text is not null").select(F.lit("full_text").alias("scope"), F.col("celex_id").alias("record_id"), F.when(n % 2 == 0, F.sha2("full_text", 256)).otherwise("stale").alias("source_sha256"), F.when(n % 3 == 0, 1).otherwise(2).alias("policy_version"))
+    b = u.where("unit_key is not null and text is not null and type = 'recital'").select("unit_key", "text").distinct()
+    b = b.select(F.lit("unit").alias("scope"), F.col("unit_key").alias("record_id"), F.sha2("text", 256).alias("source_sha256"), F.lit(2).alias("policy_version"))
+    return store.current_failures(a.unionByName(b), w, u, 2).select("scope", "record_id")
+
+
+@query(
+    """with ok as (select celex_id from enrichment_checkpoint group by celex_id having count(distinct category) = 3)
+select w.celex_id, w.author, w.subject_matter, w.eli, w.is_in_force, w.date_entry_into_force from works w join ok using (celex_id)
+where w.author is not null or w.subject_matter is not null or w.eli is not null or w.is_in_force is not null or w.date_entry_into_force is not null"""
+)
+def enrichment_decode(spark, d):
+    """Catalogue rows made from the works, with a sentinel a finished category; documents lacking one are refused."""
+    from .plans.pipeline import decode_enrichment
+
+    w, e = _t(spark, d, "works", "enrichment_checkpoint")
+    rows = R.metadata_rows(w, ["author", "subject_matter", "eli", "is_in_force", "date_entry_into_force"])
+    done = e.where("category is not null").select("celex_id", F.concat(F.lit("zz_complete_"), "category").alias("data_type"), F.lit("1").alias("value")).distinct()
+    meta = decode_enrichment(rows.unionByName(done))[0].select("celex_id", "author", "subject_matter", "eli", "is_in_force", "date_entry_into_force")
+    some = F.coalesce("author", "subject_matter", "eli", F.col("is_in_force").cast("string"), F.col("date_entry_into_force").cast("string")).isNotNull()
+    return meta.where(some).join(w.select("celex_id"), "celex_id", "left_semi")
+
+
+_LINE_SQL = "with l as (select celex_id, trim(unnest(string_split(full_text, chr(10))), ' ' || chr(13) || chr(9)) as line from works where full_text is not null) "
+
+
+@query(
+    _LINE_SQL
+    + "select celex_id, case "
+    + " ".join(f"when regexp_matches(line, '{p}') then '{k}'" for k, p in T.HEADINGS.items())
+    + " end as kind, count(*) as n from l where line <> '' group by all"
+)
+def heading_kinds(spark, d):
+    w = _t(spark, d, "works").where("full_text is not null")
+    l = w.select("celex_id", F.explode(F.split("full_text", "\n")).alias("line")).select("celex_id", F.regexp_replace("line", "^[ \\r\\t]+|[ \\r\\t]+$", "").alias("line")).where("line <> ''")
+    return l.groupBy("celex_id", T.heading_kind(F.col("line")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select celex_id, contains(lower(substr(x, 1, 500)), '<html') or contains(lower(substr(x, 1, 500)), '<div') or contains(lower(substr(x, 1, 500)), '<!doctype') as html, starts_with(x, '%PDF-') as pdf from (select celex_id, coalesce(full_text_html, full_text) as x from works) where x is not null")
+def content_sniff(spark, d):
+    w = _t(spark, d, "works").select("celex_id", F.coalesce("full_text_html", "full_text").alias("x")).where("x is not null")
+    return w.select("celex_id", T.looks_like_html(F.col("x")).alias("html"), T.looks_like_pdf(F.encode("x", "UTF-8")).alias("pdf"))
+
+
+@query(
+    """with n as (select distinct celex_id, type, lower(coalesce(number, '')) as num from text_units where type = 'article'),
+b as (select * from n where celex_id not in (select celex_id from works where language = 'eng') or num in ('1', '2')), 
+s as (select celex_id, count(*) as o from n group by 1), q as (select celex_id, count(*) as c from b group by 1)
+select s.celex_id, case when s.o > coalesce(c, 0) then s.o else c end as articles from s left join q using (celex_id) where s.celex_id is not null"""
+)
+def merge_structures(spark, d):
+    """English acts cut down to their first two articles are completed from the full ones; others are as they are."""
+    w, u = _t(spark, d, "works", "text_units")
+    full = u.where("type = 'article' and celex_id is not null").distinct()
+    eng = w.where("language = 'eng'").select("celex_id", F.lit(True).alias("e"))
+    base = full.join(eng, "celex_id", "left").where("e is null or lower(coalesce(number, '')) in ('1', '2')").drop("e")
+    solid = full.withColumn("text", F.coalesce("text", F.lit("")))
+    merged = structure.merge_units(base, solid.withColumn("title", F.lit("abc")))
+    return merged.groupBy("celex_id").agg(F.countDistinct(F.lower(F.coalesce("number", F.lit("")))).alias("articles"))
