@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import blank_trim, durable
+from ..session import blank_trim, durable, salted_join
 from .near_duplicates import _first_of_runs
 
 BLOCK = 256
@@ -84,7 +84,7 @@ def together(df: DataFrame, record: Column, item: Column, min_count: int = 1, mi
     part = items.withColumn("p", F.pmod(F.xxhash64("x"), F.lit(4096)).cast("int"))
     rank = F.row_number().over(Window.partitionBy("p").orderBy("x")) - 1
     coded = durable(part.select("x", "n", (F.shiftleft(rank, 12).bitwiseOR(F.col("p"))).cast("long").alias("code")))
-    k = rows.join(coded.select("x", "code"), "x").select("r", "code")
+    k = salted_join(rows, coded.select("x", "code"), "x").select("r", "code")
     place = F.floor((F.row_number().over(Window.partitionBy("r").orderBy("code")) - 1) / BLOCK)
     blocks = k.withColumn("b", place).groupBy("r", "b").agg(F.collect_list("code").alias("xs"))
     pairs = blocks.alias("u").join(

@@ -95,25 +95,27 @@ def _sign(k: int, min_words: int, bins: int, rows: int, bands: int):
             if not len(ok):
                 continue
             rid = f["rid"].to_numpy(np.int64)[ok]
+            apart = f["apart"].to_numpy(np.int64).view(U64)[ok]
             n = np.diff(off)
             total = np.concatenate([[U64(0)], np.cumsum(H.mix(v ^ U64(0x51ED270B)), dtype=U64)])
-            whole = H.mix((total[off[1:]] - total[off[:-1]]) ^ n.astype(U64)).view(np.int64)
+            whole = H.mix((total[off[1:]] - total[off[:-1]]) ^ n.astype(U64) ^ apart).view(np.int64)
             yield pd.DataFrame({"a": rid, "b": whole, "s": 1})
             order = np.lexsort((rid, whole))
             hub = order[_first_of_runs(whole[order]) == np.arange(len(order))]  # one record a class
             sig = one_permutation(v, off, bins, probes)[hub]
+            own = rid[hub]
             keys, ids, edges = [], [], []
             for band in range(bands):
-                h = np.full(len(hub), band + 1, U64)
+                h = apart[hub] + U64(band + 1)
                 for c in cols[band]:
                     h = H.mix(h * U64(0x9E3779B97F4A7C15) + sig[:, c])
                 h = h.view(np.int64)
-                order = np.lexsort((rid[hub], h))
+                order = np.lexsort((own, h))
                 lead = _first_of_runs(h[order])
                 here = lead == np.arange(len(order))
                 keys.append(h[order][here])
-                ids.append(rid[hub][order][here])
-                edges.append(np.stack([rid[hub][order[lead[~here]]], rid[hub][order[~here]]]))
+                ids.append(own[order][here])
+                edges.append(np.stack([own[order[lead[~here]]], own[order[~here]]]))
             yield pd.DataFrame({"a": np.concatenate(keys), "b": np.concatenate(ids), "s": 0})
             e = np.unique(np.concatenate(edges, axis=1), axis=1)
             e = e[:, e[0] != e[1]]
@@ -185,21 +187,25 @@ def near_duplicates(
     rows: int = 5,
     bands: int = 44,
     max_broadcast: int = 2_000_000,
+    scope: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Links (key_a, key_b, similarity) between classes, and members (key, class_key).
+    """Links (key_a, key_b, similarity) between classes, and members (key, class_key). With a scope column both
+    begin with it: keys are told apart by it, and records of different scopes are not compared.
 
     A class is the set of records with equal distinct shingles, named by one of its records; its members
     are alike with similarity 1 and are not paired with each other. Every other link has key_a < key_b.
     """
-    src = df.select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
-    src = src.withColumn("rid", F.xxhash64("key"))
-    signed = src.select("rid", "text").mapInPandas(_sign(shingle, min_words, bins, rows, bands), "a long, b long, s int")
+    zone = F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit("")
+    src = df.select(zone.alias("scope"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
+    src = src.withColumn("rid", F.xxhash64("key", "scope") if scope else F.xxhash64("key"))
+    signed = src.select("rid", F.xxhash64("scope").alias("apart"), "text").mapInPandas(_sign(shingle, min_words, bins, rows, bands), "a long, b long, s int")
     starred = durable(signed.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_stars, "a long, b long, s int"))
     whole = starred.where("s = 1").select(F.col("a").alias("rid"), F.col("b").alias("whole")).distinct()
     classes = durable(whole.join(whole.groupBy("whole").agg(F.min("rid").alias("cls")), "whole").select("rid", "cls"))
 
     def classed(e: DataFrame) -> DataFrame:
-        e = e.join(classes.withColumnsRenamed({"rid": "a", "cls": "ca"}), "a").join(classes.withColumnsRenamed({"rid": "b", "cls": "cb"}), "b")
+        e = salted_join(e, classes.withColumnsRenamed({"rid": "a", "cls": "ca"}), "a")
+        e = salted_join(e, classes.withColumnsRenamed({"rid": "b", "cls": "cb"}), "b")
         return e.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).where("a < b").distinct()
 
     texts = src.select("rid", "text")
@@ -215,19 +221,25 @@ def near_duplicates(
             break
         fresh = durable(_verify(more, texts, shingle, threshold, max_broadcast))
         links, tried = links.unionByName(fresh), tried.unionByName(more)
-    names = src.select("rid", "key").distinct()
-    members = classes.join(names, "rid").join(names.withColumnsRenamed({"rid": "cls", "key": "class_key"}), "cls").select("key", "class_key")
-    named = links.join(names.withColumnsRenamed({"rid": "a", "key": "ka"}), "a").join(names.withColumnsRenamed({"rid": "b", "key": "kb"}), "b")
-    return named.select(F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity"), members
+    names = src.select("rid", "scope", "key").distinct()
+    other = names.select("rid", F.col("key").alias("other"))
+    members = salted_join(classes.join(names, "rid"), other.withColumnsRenamed({"rid": "cls", "other": "class_key"}), "cls")
+    named = links.join(names.withColumnsRenamed({"rid": "a", "key": "ka"}), "a").join(other.withColumnsRenamed({"rid": "b", "other": "kb"}), "b")
+    lead = ["scope"] if scope else []
+    return (
+        named.select(*lead, F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity"),
+        members.select(*lead, "key", "class_key"),
+    )
 
 
 def expand_pairs(links: DataFrame, members: DataFrame) -> DataFrame:
     """All alike pairs of records (key_a < key_b): links between classes times their members, and the
     pairs within a class. Its size is that of the result asked for."""
-    m = members.select(F.col("class_key").alias("ca"), F.col("key").alias("x"))
-    n = members.select(F.col("class_key").alias("cb"), F.col("key").alias("y"))
-    between = links.select(F.col("key_a").alias("ca"), F.col("key_b").alias("cb")).join(m, "ca").join(n, "cb").select("x", "y")
-    many = members.groupBy("class_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("class_key").alias("ca"))
-    within = m.join(many, "ca", "left_semi")
-    within = within.join(within.withColumnsRenamed({"x": "y"}), "ca").where("x < y").select("x", "y")
-    return between.unionByName(within).select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).where("key_a < key_b").distinct()
+    lead = ["scope"] if "scope" in members.columns else []
+    m = members.select(*lead, F.col("class_key").alias("ca"), F.col("key").alias("x"))
+    n = members.select(*lead, F.col("class_key").alias("cb"), F.col("key").alias("y"))
+    between = links.select(*lead, F.col("key_a").alias("ca"), F.col("key_b").alias("cb")).join(m, [*lead, "ca"]).join(n, [*lead, "cb"]).select(*lead, "x", "y")
+    many = members.groupBy(*lead, "class_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*lead, F.col("class_key").alias("ca"))
+    within = m.join(many, [*lead, "ca"], "left_semi")
+    within = within.join(within.withColumnsRenamed({"x": "y"}), [*lead, "ca"]).where("x < y").select(*lead, "x", "y")
+    return between.unionByName(within).select(*lead, F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).where("key_a < key_b").distinct()

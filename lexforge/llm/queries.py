@@ -18,30 +18,33 @@ def _both(spark: SparkSession, d: str, f) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def p2_found(spark, d):
-    def one(df, t, k, x):
-        links, members = near_duplicates.near_duplicates(df, k, x, threshold=0.6, shingle=3, min_words=25)
-        return near_duplicates.expand_pairs(links, members)
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """Both tables as (table_name, key, text), for operators that tell scopes apart."""
+    parts = [table(spark, d, t).select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("key"), F.col(x).alias("text")) for t, k, x in TEXTS]
+    return reduce(DataFrame.unionByName, parts)
 
-    return _both(spark, d, one).select("table_name", "key_a", "key_b")
+
+def p2_found(spark, d):
+    links, members = near_duplicates.near_duplicates(_texts(spark, d), "key", "text", threshold=0.6, shingle=3, min_words=25, scope="table_name")
+    return near_duplicates.expand_pairs(links, members).withColumnRenamed("scope", "table_name").select("table_name", "key_a", "key_b")
 
 
 def p2_groups(spark, d):
     """Group of every record that is like another one at the usual setting (five words, 0.8), with its number of links."""
     from ..operators.components import connected_components
 
-    def one(df, t, k, x):
-        links, members = near_duplicates.near_duplicates(df, k, x)
-        many = members.groupBy("class_key").agg(F.count(F.lit(1)).alias("copies"))
-        ends = links.select(F.explode(F.array("key_a", "key_b")).alias("class_key")).groupBy("class_key").agg(F.count(F.lit(1)).alias("links"))
-        groups = connected_components(links, "key_a", "key_b").withColumnsRenamed({"node": "class_key"})
-        m = members.join(many, "class_key").join(ends, "class_key", "left").join(groups, "class_key", "left").where("copies > 1 or links > 0")
-        return m.select(
-            F.col("key").alias("record_key"), F.coalesce("component", "class_key").alias("group_key"),
-            F.col("class_key"), F.coalesce("links", F.lit(0)).cast("long").alias("links"),
-        )
-
-    return _both(spark, d, one)
+    links, members = near_duplicates.near_duplicates(_texts(spark, d), "key", "text", scope="table_name")
+    node = lambda c: F.concat_ws("\t", "scope", c)
+    groups = connected_components(links.select(node("key_a").alias("a"), node("key_b").alias("b")))
+    groups = groups.select(F.col("node").alias("at"), F.substring_index("component", "\t", -1).alias("group_key"))
+    many = members.groupBy("scope", "class_key").agg(F.count(F.lit(1)).alias("copies"))
+    ends = links.select("scope", F.explode(F.array("key_a", "key_b")).alias("class_key")).groupBy("scope", "class_key").agg(F.count(F.lit(1)).alias("links"))
+    m = members.join(many, ["scope", "class_key"]).join(ends, ["scope", "class_key"], "left").withColumn("at", node("class_key"))
+    m = m.join(groups, "at", "left").where("copies > 1 or links > 0")
+    return m.select(
+        F.col("scope").alias("table_name"), F.col("key").alias("record_key"), F.coalesce("group_key", "class_key").alias("group_key"),
+        F.col("class_key"), F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+    )
 
 
 LIMITS = {"works": 8000, "text_units": 2000}
@@ -80,12 +83,13 @@ def p5_repaired(spark, d):
 
 
 def p6_found(spark, d):
-    return _both(spark, d, lambda df, t, k, x: shared_spans.records_with_shared_span(df, k, x, 30)).select("table_name", F.col("key").alias("record_key"))
+    out = shared_spans.records_with_shared_span(_texts(spark, d), "key", "text", 30, "table_name")
+    return out.select(F.col("scope").alias("table_name"), F.col("key").alias("record_key"))
 
 
 def p6_shared(spark, d):
-    out = _both(spark, d, lambda df, t, k, x: shared_spans.shared_spans(df, k, x, 30))
-    return out.select("table_name", F.col("key").alias("record_key"), "tokens", "shared_tokens", "shared_share", "level")
+    out = shared_spans.shared_spans(_texts(spark, d), "key", "text", 30, "table_name")
+    return out.select(F.col("scope").alias("table_name"), F.col("key").alias("record_key"), "tokens", "shared_tokens", "shared_share", "level")
 
 
 def _leaks(spark, d):

@@ -120,13 +120,18 @@ def _settle(rows: DataFrame) -> DataFrame:
     return rows.repartition("route").sortWithinPartitions("route", "rid").mapInArrow(_repeated, _ROWS)
 
 
+def _apart(f: pd.DataFrame) -> np.ndarray:
+    """What keeps the windows of different scopes apart."""
+    return f["apart"].to_numpy(np.int64).view(U64)
+
+
 def _anchor_rows(k: int, w: int):
     def run(frames):
         for f in H.batches(frames, "text"):
             h, off = H.hash_words(f["text"].tolist(), "token")
             g, doc, pos = anchors(h, off, k, w)
             if len(g):
-                yield _combine(g.view(np.int64), f["rid"].to_numpy(np.int64)[doc], pos)
+                yield _combine((g ^ _apart(f)[doc]).view(np.int64), f["rid"].to_numpy(np.int64)[doc], pos)
 
     return run
 
@@ -151,7 +156,7 @@ def _window_rows(k: int, w: int, length: int):
             at = np.flatnonzero(np.cumsum(near)[: len(g)] > 0)
             if len(at):
                 doc = np.searchsorted(off, at, "right") - 1
-                yield _combine(g[at].view(np.int64), f["rid"].to_numpy(np.int64)[doc], at - off[doc])
+                yield _combine((g[at] ^ _apart(f)[doc]).view(np.int64), f["rid"].to_numpy(np.int64)[doc], at - off[doc])
 
     return run
 
@@ -159,7 +164,7 @@ def _window_rows(k: int, w: int, length: int):
 def shared_windows(src: DataFrame, min_tokens: int, max_broadcast: int = 4_000_000) -> DataFrame:
     """(k, rid, pos): the windows of min_tokens tokens of each record that another record holds too.
 
-    src: (rid, text). At most max_broadcast anchors are broadcast (12 bytes each); more are joined by a shuffle.
+    src: (rid, apart, text). At most max_broadcast anchors are broadcast (12 bytes each); more are joined by a shuffle.
     """
     half = min_tokens // 2
     w = min_tokens - half + 1
@@ -179,26 +184,28 @@ def double(level: DataFrame, length: int) -> DataFrame:
     return _settle(rows).select("k", "rid", "pos").distinct()
 
 
-def _source(df: DataFrame, key: str, text: str) -> DataFrame:
-    s = df.select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null")
-    return s.withColumn("rid", F.xxhash64("key"))
+def _source(df: DataFrame, key: str, text: str, scope: str | None) -> DataFrame:
+    zone = F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit("")
+    s = df.select(zone.alias("scope"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null")
+    return s.withColumns({"rid": F.xxhash64("key", "scope"), "apart": F.xxhash64("scope")})
 
 
-def records_with_shared_span(df: DataFrame, key: str, text: str, min_tokens: int = 30) -> DataFrame:
-    """(key) of the records that share a run of at least min_tokens tokens with another record."""
-    src = _source(df, key, text)
-    hit = shared_windows(src.select("rid", "text"), min_tokens).select("rid").distinct()
-    return src.select("key", "rid").distinct().join(hit, "rid").select("key")
+def records_with_shared_span(df: DataFrame, key: str, text: str, min_tokens: int = 30, scope: str | None = None) -> DataFrame:
+    """(key) of the records that share a run of at least min_tokens tokens with another record. With a scope column the
+    result begins with it, and records of different scopes are not compared."""
+    src = _source(df, key, text, scope)
+    hit = shared_windows(src.select("rid", "apart", "text"), min_tokens).select("rid").distinct()
+    return src.select("scope", "key", "rid").distinct().join(hit, "rid").select(*["scope"] * bool(scope), "key")
 
 
-def shared_spans(df: DataFrame, key: str, text: str, min_tokens: int = 30) -> DataFrame:
-    """(key, tokens, shared_tokens, shared_share, level) of every record that shares a span.
+def shared_spans(df: DataFrame, key: str, text: str, min_tokens: int = 30, scope: str | None = None) -> DataFrame:
+    """([scope,] key, tokens, shared_tokens, shared_share, level) of every record that shares a span.
 
     shared_tokens: tokens inside a window of min_tokens tokens that another record holds; level: the
     greatest min_tokens * 2^i at which the record still shares a window.
     """
-    src = _source(df, key, text)
-    level = base = durable(shared_windows(src.select("rid", "text"), min_tokens))
+    src = _source(df, key, text, scope)
+    level = base = durable(shared_windows(src.select("rid", "apart", "text"), min_tokens))
     size, tops = min_tokens, []
     while True:
         tops.append(level.groupBy("rid").agg(F.lit(size).alias("level")))
@@ -215,6 +222,6 @@ def shared_spans(df: DataFrame, key: str, text: str, min_tokens: int = 30) -> Da
     covered = base.select("rid", "pos").distinct().withColumn("c", F.least(F.coalesce(gap, F.lit(min_tokens)), F.lit(min_tokens)))
     covered = covered.groupBy("rid").agg(F.sum("c").alias("shared_tokens"))
     n = F.size(F.split(F.trim(F.regexp_replace("text", "[ \\t\\n\\r\\f\\u000b\\u0085\\u2028\\u2029]+", " ")), " "))
-    names = src.join(covered.select("rid"), "rid", "left_semi").groupBy("rid").agg(F.first("key").alias("key"), F.max(n).cast("long").alias("tokens"))
+    names = src.join(covered.select("rid"), "rid", "left_semi").groupBy("rid").agg(F.first("scope").alias("scope"), F.first("key").alias("key"), F.max(n).cast("long").alias("tokens"))
     out = names.join(covered, "rid").join(top, "rid")
-    return out.select("key", "tokens", "shared_tokens", F.round(F.col("shared_tokens") / F.col("tokens"), 6).alias("shared_share"), "level")
+    return out.select(*["scope"] * bool(scope), "key", "tokens", "shared_tokens", F.round(F.col("shared_tokens") / F.col("tokens"), 6).alias("shared_share"), "level")
