@@ -168,11 +168,11 @@ def _jaccard(k: int):
 def _verify(edges: DataFrame, texts: DataFrame, k: int, threshold: float, max_broadcast: int) -> DataFrame:
     """Edges (a, b) whose texts are alike enough, with their similarity. edges: distinct and at hand."""
     ids = edges.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    n = ids.count()
-    need = texts.join(bounded_broadcast(ids, n, max_broadcast), "rid", "left_semi")
+    m = edges.count()
+    need = texts.join(bounded_broadcast(ids, 2 * m, max_broadcast), "rid", "left_semi")
     need = need.groupBy("rid").agg(F.first("text").alias("text"))
-    one = salted_join(edges, need.withColumnsRenamed({"rid": "a", "text": "ta"}), "a")
-    two = salted_join(one, need.withColumnsRenamed({"rid": "b", "text": "tb"}), "b")
+    one = salted_join(edges, need.withColumnsRenamed({"rid": "a", "text": "ta"}), "a", rows=m)
+    two = salted_join(one, need.withColumnsRenamed({"rid": "b", "text": "tb"}), "b", rows=m)
     return two.select("a", "b", "ta", "tb").mapInPandas(_jaccard(k), "a long, b long, similarity double").where(F.col("similarity") >= threshold - 1e-12)
 
 
@@ -204,17 +204,18 @@ def near_duplicates(
     classes = durable(whole.join(whole.groupBy("whole").agg(F.min("rid").alias("cls")), "whole").select("rid", "cls"))
 
     def classed(e: DataFrame) -> DataFrame:
-        e = salted_join(e, classes.withColumnsRenamed({"rid": "a", "cls": "ca"}), "a")
-        e = salted_join(e, classes.withColumnsRenamed({"rid": "b", "cls": "cb"}), "b")
+        m = e.count()
+        e = salted_join(e, classes.withColumnsRenamed({"rid": "a", "cls": "ca"}), "a", rows=m)
+        e = salted_join(e, classes.withColumnsRenamed({"rid": "b", "cls": "cb"}), "b", rows=m)
         return e.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).where("a < b").distinct()
 
     texts = src.select("rid", "text")
-    tried = durable(classed(starred.where("s = 2").select("a", "b").distinct()))
+    tried = durable(classed(starred.where("s = 2").select("a", "b")))
     links = fresh = durable(_verify(tried, texts, shingle, threshold, max_broadcast))
     while not fresh.isEmpty():
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         new = fresh.select("a", "b").unionByName(fresh.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        wedges = salted_join(new.withColumnsRenamed({"a": "m", "b": "x"}), both.withColumnsRenamed({"a": "m", "b": "y"}), "m")
+        wedges = salted_join(new.withColumnsRenamed({"a": "m", "b": "x"}), both.withColumnsRenamed({"a": "m", "b": "y"}), "m", rows=2 * fresh.count())
         wedges = wedges.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         more = durable(wedges.join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
@@ -223,7 +224,7 @@ def near_duplicates(
         links, tried = links.unionByName(fresh), tried.unionByName(more)
     names = src.select("rid", "scope", "key").distinct()
     other = names.select("rid", F.col("key").alias("other"))
-    members = salted_join(classes.join(names, "rid"), other.withColumnsRenamed({"rid": "cls", "other": "class_key"}), "cls")
+    members = salted_join(classes.join(names, "rid"), other.withColumnsRenamed({"rid": "cls", "other": "class_key"}), "cls", rows=classes.count())
     named = links.join(names.withColumnsRenamed({"rid": "a", "key": "ka"}), "a").join(other.withColumnsRenamed({"rid": "b", "other": "kb"}), "b")
     lead = ["scope"] if scope else []
     return (
