@@ -37,6 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer splits than there are cores, as a single small file has; inputs with
+    more splits stay as they are read."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the folder that all executors share.
 
