@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import table
+from ..session import spread, table
 from . import cooccurrence, eval_leaks, mixing, near_duplicates, noise, repetition, shared_spans, splitting
 
 #: Texts of the two tables: table, key, text.
@@ -14,14 +14,18 @@ TEXTS = (("works", "celex_id", "full_text"), ("text_units", "id", "text"))
 
 
 def _both(spark: SparkSession, d: str, f) -> DataFrame:
-    parts = [f(table(spark, d, t), t, k, x).withColumn("table_name", F.lit(t)) for t, k, x in TEXTS]
+    parts = [f(spread(table(spark, d, t).select(k, x)), t, k, x).withColumn("table_name", F.lit(t)) for t, k, x in TEXTS]
     return reduce(DataFrame.unionByName, parts)
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     """Both tables as (table_name, key, text), for operators that tell scopes apart."""
     parts = [table(spark, d, t).select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("key"), F.col(x).alias("text")) for t, k, x in TEXTS]
-    return reduce(DataFrame.unionByName, parts)
+    return spread(reduce(DataFrame.unionByName, parts))
+
+
+def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text", *columns))
 
 
 def p2_found(spark, d):
@@ -69,8 +73,7 @@ def p4_pairs(spark, d):
 
 
 def _noise(spark, d, repaired):
-    src = {t: table(spark, d, t).select(F.col(k).cast("string").alias("key"), F.col(x).alias("text")) for t, k, x in TEXTS}
-    model = noise.fit(src["works"].select("text").unionByName(src["text_units"].select("text")))
+    model = noise.fit(_texts(spark, d).select("text"))
     return _both(spark, d, lambda df, t, k, x: noise.scanned_noise(df, k, x, repaired, model))
 
 
@@ -93,7 +96,7 @@ def p6_shared(spark, d):
 
 
 def _leaks(spark, d):
-    return eval_leaks.leaked_items(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text", 15)
+    return eval_leaks.leaked_items(_documents(spark, d), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text", 15)
 
 
 def p7_found(spark, d):
@@ -106,7 +109,7 @@ def p7_leaks(spark, d):
 
 
 def _mix(spark, d):
-    return mixing.mix_sources(table(spark, d, "documents"), "doc_id", "text", "source", table(spark, d, "mix_targets"))
+    return mixing.mix_sources(_documents(spark, d, "source"), "doc_id", "text", "source", table(spark, d, "mix_targets"))
 
 
 def p8_mix(spark, d):
@@ -118,11 +121,11 @@ def p8_shares(spark, d):
 
 
 def p9_found(spark, d):
-    return repetition.repetitive(table(spark, d, "documents"), "doc_id", "text", "lang")
+    return repetition.repetitive(_documents(spark, d, "lang"), "doc_id", "text", "lang")
 
 
 def p9_scores(spark, d):
-    return repetition.judge(table(spark, d, "documents"), "doc_id", "text", "lang").select("doc_id", "lang", "words", "windows", "share", "verdict")
+    return repetition.judge(_documents(spark, d, "lang"), "doc_id", "text", "lang").select("doc_id", "lang", "words", "windows", "share", "verdict")
 
 
 QUERIES = {
