@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import com_units, html_units, ids as I, markdown_units, text as T
 from ..functions.splitter import UNIT
 from ..operators import relational as R, store as S, structure
+from ..session import durable
 from ..sources.config import Config
 
 RELATION_TYPES = ("cites", "amends", "adopts", "based_on", "proposes_to_amend", "consolidates")
@@ -43,6 +44,7 @@ def parse_units(content: DataFrame, granularity: str = "article", recitals: bool
 
 def tidy_units(units: DataFrame, strip: bool = True) -> DataFrame:
     """Closing formulas off the last article, then units without content off."""
+    units = durable(units)  # parsed once: numbering reads the rows more than once
     if not strip:
         return structure.number_units(units)
     n = structure.last_of_type(units, "article", order="pos")

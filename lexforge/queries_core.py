@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .functions import ids, quality, text as T
 from .operators import relational as R, repair, store, structure, validate as V
-from .session import table
+from .session import spread, table
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -598,7 +598,7 @@ def markdown_units(spark, d):
     """Structural acts read from PDF."""
     from .functions.markdown_units import md_units
 
-    w = _t(spark, d, "works").where("full_text is not null and content_source like '%pdf%'")
+    w = spread(_t(spark, d, "works").where("full_text is not null and content_source like '%pdf%'").select("celex_id", "document_type", "full_text"))
     return _exploded(w.where(ids.route(F.col("document_type")) == "structural"), md_units(F.col("full_text"), "paragraph"))
 
 
@@ -635,7 +635,7 @@ def parsed_dataset(spark, d):
     from .plans import pipeline
 
     w = _t(spark, d, "works").where("full_text is not null")
-    c = w.select("celex_id", "document_type", F.lit("text").alias("content_type"), F.col("full_text").alias("body"))
+    c = spread(w.select("celex_id", "document_type", F.lit("text").alias("content_type"), F.col("full_text").alias("body")))
     return pipeline.tidy_units(pipeline.parse_units(c)).drop("pos")
 
 
