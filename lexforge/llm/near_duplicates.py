@@ -1,15 +1,17 @@
-"""Near-duplicate records: one-permutation hashing, banded buckets, star-shaped candidate edges.
+"""Near-duplicate records: one-permutation hashing, banded buckets, all pairs of a bucket's classes as candidates.
 
 1. Each record's distinct word shingles fall into `bins` bins by the top bits of one hash; a bin keeps its
    least value, and an empty bin takes that of a full one picked by a seeded sequence of probes (optimal
    densification). `rows` bins, picked by a seeded draw, make the key of one of `bands` buckets.
-2. A bucket gives the star of edges from its least record to each other one: m - 1 edges, not m(m-1)/2.
-   Records with equal shingle sets are one class from the start, and within an Arrow batch a bucket is
-   reduced to its hub before anything is shuffled, so a group that holds a third of all rows sends a few
-   rows a batch. After the shuffle the buckets stream by in sorted order and nothing is collected.
-3. Candidate edges are verified on the whole texts (exact Jaccard of the distinct shingles).
-4. What stars leave out (two records that only met under a third one) is added back by closing wedges:
-   two classes linked to the same class are verified too, until no new link comes.
+2. Records with equal shingle sets are one class from the start, and a class stands in a bucket once, under the
+   hash of its set, however many records it has: a group of copies that holds a third of all rows makes no pairs.
+   The classes of a bucket are all paired, since two that are alike may both be unlike any third one. After the
+   shuffle the buckets stream by in sorted order; one of more than `block` classes leaves as numbered blocks,
+   whose pairs are made afterwards by as many tasks as there are pairs of blocks. The number of candidates is
+   therefore quadratic in the classes that share a bucket, alike or not.
+3. Candidates are verified on the whole texts (exact Jaccard of the distinct shingles).
+4. Two classes that share no bucket but are linked to the same third one are verified too (wedges), until no new
+   link comes.
 
 Defined cases: null keys are no records; null, empty and short texts (fewer than `min_words` words) are
 like no other; rows repeated under one key are one record; an empty table gives no rows; extra columns
@@ -103,47 +105,128 @@ def _sign(k: int, min_words: int, bins: int, rows: int, bands: int):
             order = np.lexsort((rid, whole))
             hub = order[_first_of_runs(whole[order]) == np.arange(len(order))]  # one record a class
             sig = one_permutation(v, off, bins, probes)[hub]
-            own = rid[hub]
-            keys, ids, edges = [], [], []
+            own = whole[hub]
+            keys = []
             for band in range(bands):
                 h = apart[hub] + U64(band + 1)
                 for c in cols[band]:
                     h = H.mix(h * U64(0x9E3779B97F4A7C15) + sig[:, c])
-                h = h.view(np.int64)
-                order = np.lexsort((own, h))
-                lead = _first_of_runs(h[order])
-                here = lead == np.arange(len(order))
-                keys.append(h[order][here])
-                ids.append(own[order][here])
-                edges.append(np.stack([own[order[lead[~here]]], own[order[~here]]]))
-            yield pd.DataFrame({"a": np.concatenate(keys), "b": np.concatenate(ids), "s": 0})
-            e = np.unique(np.concatenate(edges, axis=1), axis=1)
-            e = e[:, e[0] != e[1]]
-            if e.shape[1]:
-                yield pd.DataFrame({"a": e[0], "b": e[1], "s": 2})
+                keys.append(h.view(np.int64))
+            yield pd.DataFrame({"a": np.concatenate(keys), "b": np.tile(own, bands), "s": 0})
 
     return run
 
 
-def _stars(batches):
-    """Buckets in sorted order go by: the edges from the first record of each to the others."""
-    last_key = last_hub = None
+def _triples(a: np.ndarray, b: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.int32))], names=["a", "b", "s"])
+
+
+def _pairs_of(x: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int = 1 << 21):
+    """All pairs of each stretch of x, in portions of about `most` pairs; repeats within a portion are dropped."""
+    pairs = sizes * (sizes - 1) // 2
+    portion = np.cumsum(pairs) // most
+    for cut in np.split(np.flatnonzero(sizes > 1), np.flatnonzero(np.diff(portion[sizes > 1])) + 1):
+        left, right = [], []
+        for m in np.unique(sizes[cut]):
+            rows = starts[cut][sizes[cut] == m][:, None] + np.arange(m)
+            i, j = np.triu_indices(m, 1)
+            left.append(x[rows[:, i]].ravel())
+            right.append(x[rows[:, j]].ravel())
+        if left:
+            i, j = np.concatenate(left), np.concatenate(right)
+            o = np.lexsort((j, i))
+            i, j = i[o], j[o]
+            keep = np.ones(len(i), bool)
+            keep[1:] = (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            yield i[keep], j[keep]
+
+
+def _buckets(block: int):
+    """Buckets in sorted order go by: the pairs (s = 2) of each, and the classes of those larger than a block with the
+    number of their block (s = 3, 4, ...). Class rows (s = 1) pass."""
+
+    def whole_buckets(key, x):
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        starts = np.flatnonzero(new)
+        for i, j in _pairs_of(x, starts, np.diff(np.append(starts, len(key)))):
+            yield _triples(i, j, np.full(len(i), 2))
+
+    def run(batches):
+        hk, hx = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last bucket, which may go on
+        gone, before = 0, None  # its blocks that have left, and the last class of these
+        for b in batches:
+            a, x, s = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            if (s != 0).any():
+                yield _triples(a[s != 0], x[s != 0], s[s != 0])
+            key, x = np.concatenate([hk, a[s == 0]]), np.concatenate([hx, x[s == 0]])
+            if not len(key):
+                continue
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (x[1:] != x[:-1])
+            if gone and before == (key[0], x[0]):
+                new &= (key != key[0]) | (x != x[0])
+            key, x = key[new], x[new]
+            if gone and len(key) and key[0] != before[0]:
+                gone, before = 0, None
+            while len(key):
+                first = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+                sizes = np.diff(first)
+                big = np.flatnonzero(sizes > block)
+                if gone and key[0] == before[0]:
+                    big = np.union1d([0], big)
+                to = first[big[0]] if len(big) else first[-2]
+                yield from whole_buckets(key[:to], x[:to])
+                if to:
+                    gone, before = 0, None
+                key, x = key[to:], x[to:]
+                if not len(big):
+                    break
+                n = sizes[big[0]]
+                last = n == len(key)  # may go on: what does not fill a block is held
+                take = n if not last else n // block * block
+                if take:
+                    yield _triples(key[:take], x[:take], 3 + gone + np.arange(take) // block)
+                    gone, before = gone + take // block, (key[take - 1], x[take - 1])
+                key, x = key[take:], x[take:]
+                if last:
+                    break
+                gone, before = 0, None
+            hk, hx = key, x
+        if gone and len(hk):
+            yield _triples(hk, hx, np.full(len(hk), 3 + gone))
+        else:
+            yield from whole_buckets(hk, hx)
+
+    return run
+
+
+def _block_pairs(batches):
+    """Pairs within a block (y is null) and between two blocks of a bucket."""
     for b in batches:
-        a, x, s = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        other = s != 0
-        if other.any():
-            yield pa.RecordBatch.from_arrays([pa.array(a[other]), pa.array(x[other]), pa.array(s[other])], names=["a", "b", "s"])
-        key, ids = a[~other], x[~other]
-        if not len(key):
-            continue
-        hub = ids[_first_of_runs(key)]
-        if last_key is not None:
-            hub = np.where(key == last_key, last_hub, hub)
-        last_key, last_hub = key[-1], hub[-1]
-        m = hub != ids
-        if m.any():
-            e = np.unique(np.stack([np.minimum(hub[m], ids[m]), np.maximum(hub[m], ids[m])]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(e[0]), pa.array(e[1]), pa.array(np.full(e.shape[1], 2, s.dtype))], names=["a", "b", "s"])
+        for x, y in zip(b.column(0), b.column(1)):
+            x = np.asarray(x.values)
+            if y.is_valid:
+                y = np.asarray(y.values)
+                i, j = np.repeat(x, len(y)), np.tile(y, len(x))
+            else:
+                p, q = np.triu_indices(len(x), 1)
+                i, j = x[p], x[q]
+            if len(i):
+                yield _triples(np.minimum(i, j), np.maximum(i, j), np.full(len(i), 2))
+
+
+def _candidates(signed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Of signed rows: (rid, whole), and all pairs (a, b) of classes, by their hash, that share a bucket."""
+    met = durable(signed.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_buckets(block), "a long, b long, s int"))
+    pairs = met.where("s = 2").select("a", "b")
+    blocks = met.where("s > 2").groupBy("a", "s").agg(F.collect_list("b").alias("x"))
+    if not met.where("s > 2").isEmpty():
+        other = blocks.select("a", F.col("s").alias("t"), F.col("x").alias("y"))
+        two = blocks.join(other, "a").where("s <= t").select("x", F.when(F.col("s") < F.col("t"), F.col("y")).alias("y"), F.xxhash64("a", "s", "t").alias("h"))
+        two = two.repartition("h").select("x", "y").mapInArrow(_block_pairs, "a long, b long, s int")
+        pairs = pairs.unionByName(two.select("a", "b"))
+    return met.where("s = 1").select(F.col("a").alias("rid"), F.col("b").alias("whole")).distinct(), pairs.distinct()
 
 
 def _jaccard(k: int):
@@ -188,6 +271,7 @@ def near_duplicates(
     bands: int = 44,
     max_broadcast: int = 2_000_000,
     scope: str | None = None,
+    block: int = 512,
 ) -> tuple[DataFrame, DataFrame]:
     """Links (key_a, key_b, similarity) between classes, and members (key, class_key). With a scope column both
     begin with it: keys are told apart by it, and records of different scopes are not compared.
@@ -199,18 +283,15 @@ def near_duplicates(
     src = df.select(zone.alias("scope"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
     src = src.withColumn("rid", F.xxhash64("key", "scope") if scope else F.xxhash64("key"))
     signed = src.select("rid", F.xxhash64("scope").alias("apart"), "text").mapInPandas(_sign(shingle, min_words, bins, rows, bands), "a long, b long, s int")
-    starred = durable(signed.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_stars, "a long, b long, s int"))
-    whole = starred.where("s = 1").select(F.col("a").alias("rid"), F.col("b").alias("whole")).distinct()
-    classes = durable(whole.join(whole.groupBy("whole").agg(F.min("rid").alias("cls")), "whole").select("rid", "cls"))
-
-    def classed(e: DataFrame) -> DataFrame:
-        m = e.count()
-        e = salted_join(e, classes.withColumnsRenamed({"rid": "a", "cls": "ca"}), "a", rows=m)
-        e = salted_join(e, classes.withColumnsRenamed({"rid": "b", "cls": "cb"}), "b", rows=m)
-        return e.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).where("a < b").distinct()
-
+    whole, pairs = _candidates(signed, block)
+    named = durable(whole.groupBy("whole").agg(F.min("rid").alias("cls")))
+    classes = durable(whole.join(named, "whole").select("rid", "cls"))
     texts = src.select("rid", "text")
-    tried = durable(classed(starred.where("s = 2").select("a", "b")))
+    pairs = durable(pairs)
+    m = pairs.count()
+    one = salted_join(pairs, named.withColumnsRenamed({"whole": "a", "cls": "ca"}), "a", rows=m)
+    two = salted_join(one, named.withColumnsRenamed({"whole": "b", "cls": "cb"}), "b", rows=m)
+    tried = durable(two.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")))
     links = fresh = durable(_verify(tried, texts, shingle, threshold, max_broadcast))
     while not fresh.isEmpty():
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -225,10 +306,10 @@ def near_duplicates(
     names = src.select("rid", "scope", "key").distinct()
     other = names.select("rid", F.col("key").alias("other"))
     members = salted_join(classes.join(names, "rid"), other.withColumnsRenamed({"rid": "cls", "other": "class_key"}), "cls", rows=classes.count())
-    named = links.join(names.withColumnsRenamed({"rid": "a", "key": "ka"}), "a").join(other.withColumnsRenamed({"rid": "b", "other": "kb"}), "b")
+    linked = links.join(names.withColumnsRenamed({"rid": "a", "key": "ka"}), "a").join(other.withColumnsRenamed({"rid": "b", "other": "kb"}), "b")
     lead = ["scope"] if scope else []
     return (
-        named.select(*lead, F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity"),
+        linked.select(*lead, F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity"),
         members.select(*lead, "key", "class_key"),
     )
 

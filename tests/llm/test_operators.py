@@ -181,3 +181,27 @@ def test_noise(spark):
     fixed = {x.key: x.text for x in noise.scanned_noise(df, "id", "t", True).collect()}
     assert len(fixed) == len({a for a, _ in got}) and "Realm" not in " ".join(fixed.values()) and "\n" not in fixed["k30"]
     assert noise.scanned_noise(df.limit(0), "id", "t").count() == 0
+
+
+def _family(r, size, shared, own, same):
+    """Texts that share their first words; each odd one shares more words with the one before."""
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+    head, out = [word() for _ in range(shared)], []
+    for i in range(size):
+        tail = [word() for _ in range(own)]
+        if i % 2:
+            tail = out[-1].split()[shared : shared + same] + tail[same:]
+        out.append(" ".join(head + tail))
+    return out
+
+
+def test_near_duplicates_in_families_below_the_threshold(spark):
+    r = random.Random(5)
+    rows = [(f"f{k}-{i:02}", t) for k in range(6) for i, t in enumerate(_family(r, 60, 152, 60, 24))]
+    s = {k: shingles(t, 3)[0] for k, t in rows}
+    like = lambda a, b: len(s[a] & s[b]) / len(s[a] | s[b])
+    want = {(f"f{k}-{i:02}", f"f{k}-{i + 1:02}") for k in range(6) for i in range(0, 60, 2)}
+    assert min(like(*p) for p in want) > 0.7 and like("f0-00", "f0-02") < 0.59
+    for block in ({}, {"block": 4}):  # whole buckets, and buckets in blocks
+        links, _ = near_duplicates.near_duplicates(table(spark, rows), "id", "t", 0.65, 3, 25, **block)
+        assert {(x.key_a, x.key_b) for x in links.collect()} == want
