@@ -1,5 +1,6 @@
 """A run from ids to a written dataset: fetch, parse by route, repair, number, save, check off. Everything between the
-source and the store is one DataFrame plan; failures are rows, not exceptions; the checkpoint is written last."""
+source and the store is one DataFrame plan; requests that failed are rows, not exceptions, and are checked off as failed;
+the checkpoint is written last."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ from ..functions import com_units, html_units, ids as I, markdown_units, text as
 from ..functions.splitter import UNIT
 from ..operators import relational as R, store as S, structure
 from ..session import durable
+from ..sources import pdf
 from ..sources.config import Config
 
 RELATION_TYPES = ("cites", "amends", "adopts", "based_on", "proposes_to_amend", "consolidates")
@@ -86,10 +88,37 @@ def decode_enrichment(rows: DataFrame, categories: tuple[str, ...] = S.CATEGORIE
     return meta, S.clean_relations(rel), voc, ok
 
 
+def negotiated(attempts: DataFrame, load_pdf=None) -> DataFrame:
+    """Attempts as `lex_rest` gives them (celex_id, lang, fmt, status, body): content rows with outcome (ok, missing or
+    retry) and error. A PDF goes through the injected readers (see sources/pdf.py); one that they cannot convert, or that
+    no reader was given for, is to be retried. The answers are kept, so that nothing is requested twice."""
+    t = durable(attempts)
+    best = R.negotiate(t.select(F.col("celex_id").alias("id"), "lang", "fmt", "status", F.col("body").isNull().alias("empty"))).withColumnRenamed("id", "celex_id")
+    said = F.concat(F.lit("request failed: "), F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "lang", "fmt", F.coalesce(F.col("status").cast("string"), F.lit("no answer"))))), ", "))
+    said = t.groupBy("celex_id").agg(said.alias("said"))
+    body = t.groupBy("celex_id", "lang", "fmt").agg(F.first("body", ignorenulls=True).alias("raw"))
+    c = best.join(body, ["celex_id", "lang", "fmt"], "left").join(said, "celex_id")
+    files = c.where("outcome = 'ok' and fmt = 'pdf'").select("celex_id", "raw")
+    md = pdf.convert(files, "celex_id", "raw", load_pdf or (lambda: (None, None)))
+    c = c.join(durable(md).withColumnRenamed("key", "celex_id"), "celex_id", "left")
+    unread = (F.col("outcome") == "ok") & (F.col("fmt") == "pdf") & F.col("markdown").isNull()
+    text = F.when(F.col("fmt") == "pdf", F.col("markdown")).otherwise(F.col("raw").cast("string"))
+    return c.select(
+        "celex_id", F.col("fmt").alias("content_type"), F.col("lang").alias("language"), text.alias("body"), F.when(unread, "retry").otherwise(F.col("outcome")).alias("outcome"),
+        F.when(unread, F.concat_ws(": ", F.lit("PDF not converted"), F.col("reason"), F.col("error"))).when(F.col("outcome") == "retry", F.col("said")).alias("error"),
+    )
+
+
 def process(data: S.Dataset, config: Config, metadata: DataFrame, content: DataFrame) -> dict[str, int]:
     """One batch into the dataset. metadata: catalogue rows; content (celex_id, content_type, language, body), body null
-    where the document had none. Tables are written in order, the checkpoint last, so a broken run repeats the batch."""
+    where the document had none, and, where the source tells them, outcome and error. A document whose outcome is
+    'retry' is checked off as failed with its error and changes no other table; it remains to be done. Tables are written
+    in order, the checkpoint last, so a broken run repeats the batch."""
     p = config.processing
+    failed = content.limit(0).select("celex_id", F.lit(None).cast("string").alias("error"))
+    if "outcome" in content.columns:
+        failed = content.where("outcome = 'retry'").groupBy("celex_id").agg(F.coalesce(F.min("error") if "error" in content.columns else F.lit(None), F.lit("request failed")).alias("error"))
+        metadata, content = (df.join(failed, "celex_id", "left_anti") for df in (metadata, content))
     meta, rel, voc = decode_metadata(metadata)
     c = content.join(meta.select("celex_id", "document_type"), "celex_id", "left")
     units = tidy_units(parse_units(c, p.text_unit_granularity, p.include_recitals, p.include_articles, p.include_annexes), p.strip_boilerplate)
@@ -110,7 +139,8 @@ def process(data: S.Dataset, config: Config, metadata: DataFrame, content: DataF
     data.write("text_units", _with_ids(state, ["unit_key", "celex_id", "unit_order"]).select(*S.SCHEMAS["text_units"].names))
     data.write("relations", _with_ids(S.save_relations(data.read("relations"), rel, ids, works), ["source_celex", "target_celex", "relation_type"]).select(*S.SCHEMAS["relations"].names))
     data.write("eurovoc", S.replace_by_key(data.read("eurovoc"), voc, ids).distinct())
-    mark = ids.select("celex_id", F.lit("processed").alias("status"), F.lit(None).cast("string").alias("error"), F.current_timestamp().alias("timestamp"))
+    mark = ids.select("celex_id", F.lit("processed").alias("status"), F.lit(None).cast("string").alias("error"))
+    mark = mark.unionByName(failed.select("celex_id", F.lit("failed").alias("status"), "error")).withColumn("timestamp", F.current_timestamp())
     data.write("work_checkpoint", S.upsert(data.read("work_checkpoint"), mark, ["celex_id"]))
     return {r["status"]: r["n"] for r in S.checkpoint_summary(data.read("work_checkpoint")).collect()}
 

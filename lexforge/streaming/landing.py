@@ -11,7 +11,7 @@ from ..operators import store as S
 from ..plans import pipeline
 from ..sources.config import Config
 
-LANDING = "celex_id string, content_type string, language string, body string, metadata array<struct<data_type:string,value:string>>, arrived_at timestamp"
+LANDING = "celex_id string, content_type string, language string, body string, outcome string, error string, metadata array<struct<data_type:string,value:string>>, arrived_at timestamp"
 
 
 def intake(spark: SparkSession, folder: str, max_files: int = 1000, late: str | None = "7 days") -> DataFrame:
@@ -22,11 +22,11 @@ def intake(spark: SparkSession, folder: str, max_files: int = 1000, late: str |
 
 def process_batch(data: S.Dataset, config: Config):
     def run(batch: DataFrame, _: int) -> None:
-        newest = S.latest(batch, ["celex_id"], [F.col("arrived_at").desc_nulls_last(), F.xxhash64("body").desc()]).persist()
+        newest = S.latest(batch, ["celex_id"], [(F.coalesce("outcome", F.lit("ok")) == "retry").asc(), F.col("arrived_at").desc_nulls_last(), F.xxhash64("body").desc()]).persist()
         try:
             if not newest.isEmpty():
                 rows = newest.select("celex_id", F.explode_outer("metadata").alias("m")).select("celex_id", "m.data_type", "m.value")
-                pipeline.process(data, config, rows, newest.select("celex_id", "content_type", "language", "body"))
+                pipeline.process(data, config, rows, newest.select("celex_id", "content_type", "language", "body", "outcome", "error"))
         finally:
             newest.unpersist()
 

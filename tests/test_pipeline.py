@@ -85,3 +85,19 @@ def test_joins_both_ways(spark):
     assert {tuple(r) for r in R.substring_join(long, l, max_keywords=0).select("keyword", "label").collect()} == {x for x in one if x[0] == "Air"}
     p = spark.createDataFrame([("p", None, "52000PC0001"), ("p", "32000R0001", "52000PC0001"), ("q", None, "52000PC0001(01)")], "procedure string, work string, proposal string")
     assert {r.celex_id for r in R.procedures_to_ids(p).collect()} == {"52000PC0001", "32000R0001"}
+
+
+def test_failed_requests_remain(spark, tmp_path):
+    tries = [("32000R0001", "eng", "html", 200, PAGE.encode()), ("52000DC0001", "eng", "html", 503, None), ("32000R0002", "eng", "html", 404, None), ("32000R0003", "eng", "pdf", 200, b"%PDF-1"), ("32000R0004", "eng", "pdf", 200, b"%PDF-2")]
+    attempts = spark.createDataFrame(tries, "celex_id string, lang string, fmt string, status int, body binary")
+    layer = lambda: (None, lambda c: "# Article 1\n\nText of it." if c == b"%PDF-2" else None)
+    rows = spark.createDataFrame([(x[0], *m) for x in tries for m in META], "celex_id string, data_type string, value string")
+    ids = [x[0] for x in tries]
+    d = S.Dataset(spark, str(tmp_path))
+    assert pipeline.run(d, Config.of({"data": {"mode": "fixed", "celex_ids": ids}}), lambda todo: (rows, pipeline.negotiated(attempts, layer))) == "complete_with_failures"
+    cp = {r.celex_id: (r.status, r.error) for r in d.read("work_checkpoint").collect()}
+    assert cp.pop("52000DC0001") == ("failed", "request failed: eng html 503") and cp.pop("32000R0003") == ("failed", "PDF not converted: startup")
+    assert cp == {x: ("processed", None) for x in ("32000R0001", "32000R0002", "32000R0004")}
+    todo = S.remaining(spark.createDataFrame([(i,) for i in ids], "celex_id string"), d.read("work_checkpoint"))
+    assert [r.celex_id for r in todo.collect()] == ["32000R0003", "52000DC0001"]
+    assert {r.celex_id: r.full_text for r in d.read("works").collect()} == {"32000R0001": "Body of it. It ends. Done at Town, 1 May 1999.", "32000R0002": None, "32000R0004": "# Article 1\n\nText of it."}
