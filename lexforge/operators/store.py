@@ -103,9 +103,10 @@ def clean_relations(rows: DataFrame) -> DataFrame:
 def save_relations(old: DataFrame, batch: DataFrame, ids: DataFrame, works: DataFrame, owned: tuple[str, ...] = ENRICHMENT_RELATIONS) -> DataFrame:
     """Base relations of the refreshed documents are replaced; those the enrichment owns, and other documents',
     stay. Malformed rows, rows of unknown sources and repeated triples do not enter."""
-    gone = old.join(ids.select(F.col("celex_id").alias("source_celex")).distinct(), "source_celex", "left_semi").where(~F.col("relation_type").isin(*owned))
+    hit = ids.select(F.col("celex_id").alias("source_celex"), F.lit(True).alias("_hit")).distinct()
     triple = ["source_celex", "target_celex", "relation_type"]
-    kept = old.join(gone.select("id"), "id", "left_anti").select(*old.columns)
+    stays = F.col("_hit").isNull() | F.coalesce(F.col("relation_type").isin(*owned), F.lit(True))
+    kept = old.join(hit, "source_celex", "left").where(stays).select(*old.columns)
     new = clean_relations(batch).join(works.select(F.col("celex_id").alias("source_celex")), "source_celex", "left_semi")
     new = new.join(kept.select(*triple), triple, "left_anti").select(*triple)
     return kept.select(*triple).unionByName(new)

@@ -8,8 +8,9 @@ import json
 import platform
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import com_units, html_units, ids as I, markdown_units, text as T
 from ..functions.splitter import UNIT
@@ -18,6 +19,7 @@ from ..session import durable
 from ..sources import pdf
 from ..sources.config import Config
 
+TRIPLE = ["source_celex", "target_celex", "relation_type"]
 RELATION_TYPES = ("cites", "amends", "adopts", "based_on", "proposes_to_amend", "consolidates")
 
 
@@ -133,11 +135,13 @@ def process(data: S.Dataset, config: Config, metadata: DataFrame, content: DataF
     works = S.save_works(data.read("works"), w)
     data.write("works", works)
     works = data.read("works")
-    old = data.read("text_units").drop("id")
+    before = data.read("text_units")
+    old = before.drop("id")
     fresh = units.withColumn("text_translated", F.col("text_translated")).select(*old.columns)
     state = S.replace_by_key(old, fresh, got)
-    data.write("text_units", _with_ids(state, ["unit_key", "celex_id", "unit_order"]).select(*S.SCHEMAS["text_units"].names))
-    data.write("relations", _with_ids(S.save_relations(data.read("relations"), rel, ids, works), ["source_celex", "target_celex", "relation_type"]).select(*S.SCHEMAS["relations"].names))
+    data.write("text_units", _with_ids(state, before, ["unit_key", "celex_id", "unit_order"]).select(*S.SCHEMAS["text_units"].names))
+    linked = data.read("relations")
+    data.write("relations", _with_ids(S.save_relations(linked, rel, ids, works), linked, TRIPLE).select(*S.SCHEMAS["relations"].names))
     data.write("eurovoc", S.replace_by_key(data.read("eurovoc"), voc, ids).distinct())
     mark = ids.select("celex_id", F.lit("processed").alias("status"), F.lit(None).cast("string").alias("error"))
     mark = mark.unionByName(failed.select("celex_id", F.lit("failed").alias("status"), "error")).withColumn("timestamp", F.current_timestamp())
@@ -148,9 +152,26 @@ def process(data: S.Dataset, config: Config, metadata: DataFrame, content: DataF
 html_full_text = html_units.T.html_full_text
 
 
-def _with_ids(df: DataFrame, key: list[str]) -> DataFrame:
-    """id: a hash of the row's key, the same in every run, unlike a sequence; it is no identity of the data."""
-    return df.drop("id").withColumn("id", F.xxhash64(*key).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+def _with_ids(df: DataFrame, old: DataFrame, key: list[str], most: int = 2**31 - 1) -> DataFrame:
+    """id: that of the row of the same key in the old state, else the next number after the greatest of the old state; no two
+    rows have the same. Where the numbers would exceed `most`, all rows are numbered anew."""
+    have = old.where("id is not null").groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.min("id").alias("id"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    rows = durable(df.drop("id").join(have, same, "left").drop(*[f"_{k}" for k in key]))
+    again = F.row_number().over(Window.partitionBy("id").orderBy(*key)) > 1
+    kept = rows.where("id is not null").withColumn("_again", again)
+    rows = durable(kept.withColumn("id", F.when(~F.col("_again"), F.col("id"))).drop("_again").unionByName(rows.where("id is null")))
+    top, new = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0], rows.where("id is null").count()
+    if top + new > most:
+        rows, top = rows.withColumn("id", F.lit(None).cast("int")), 0
+    fresh = rows.where("id is null").withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    offsets, at = [], top + 1
+    for p, n in sorted((r["_p"], r["count"]) for r in fresh.groupBy("_p").count().collect()):
+        offsets.append((p, at))
+        at += n
+    start = F.broadcast(df.sparkSession.createDataFrame(offsets, "_p int, _start long"))
+    fresh = fresh.join(start, "_p").withColumn("id", (F.col("_start") + F.col("_i")).cast("int")).drop("_p", "_i", "_start")
+    return rows.where("id is not null").unionByName(fresh.select(*rows.columns))
 
 
 def run_row(config: Config, version: str = "0.1.0") -> dict:
@@ -184,5 +205,5 @@ def enrich(data: S.Dataset, fetch, categories: tuple[str, ...] = S.CATEGORIES, f
     if n:
         new = S.save_enrichment(data.read("works"), data.read("relations"), data.read("eurovoc"), data.read("enrichment_checkpoint"), meta, rel, voc, ok, datetime.now(timezone.utc))
         for name, df in new.items():
-            data.write(name, (_with_ids(df, ["source_celex", "target_celex", "relation_type"]) if name == "relations" else df).select(*S.SCHEMAS[name].names))
+            data.write(name, (_with_ids(df, data.read(name), TRIPLE) if name == "relations" else df).select(*S.SCHEMAS[name].names))
     return n

@@ -101,3 +101,21 @@ def test_failed_requests_remain(spark, tmp_path):
     todo = S.remaining(spark.createDataFrame([(i,) for i in ids], "celex_id string"), d.read("work_checkpoint"))
     assert [r.celex_id for r in todo.collect()] == ["32000R0003", "52000DC0001"]
     assert {r.celex_id: r.full_text for r in d.read("works").collect()} == {"32000R0001": "Body of it. It ends. Done at Town, 1 May 1999.", "32000R0002": None, "32000R0004": "# Article 1\n\nText of it."}
+
+
+def test_ids_are_unique_and_stay(spark):
+    old = spark.createDataFrame([], S.SCHEMAS["relations"])
+    rows = spark.range(150_000).selectExpr("concat('s', id) as source_celex", "concat('t', id % 977) as target_celex", "'cites' as relation_type")
+    one = pipeline._with_ids(rows, old, pipeline.TRIPLE).select(*old.columns)
+    assert one.select("id").distinct().count() == 150_000 and one.agg(F.min("id"), F.max("id")).first() == (1, 150_000)
+    more = rows.limit(0).unionByName(one.where("id <= 100").select(*pipeline.TRIPLE)).unionByName(rows.selectExpr("source_celex", "target_celex", "'amends'").limit(50).toDF(*pipeline.TRIPLE))
+    two = pipeline._with_ids(more, one, pipeline.TRIPLE).select(*old.columns)
+    assert two.join(one, old.columns).count() == 100 and two.where("id > 150000").select("id").distinct().count() == 50
+    clash = spark.createDataFrame([(2**31 - 1, "a", "b", "cites"), (2**31 - 1, "c", "d", "cites")], S.SCHEMAS["relations"])
+    assert sorted(r.id for r in pipeline._with_ids(clash, clash, pipeline.TRIPLE).collect()) == [1, 2]
+
+
+def test_refresh_spares_relations_of_other_documents_with_the_same_id(spark):
+    old = spark.createDataFrame([(7, "A", "B", "cites"), (7, "C", "B", "cites")], S.SCHEMAS["relations"])
+    ids = spark.createDataFrame([("A",)], "celex_id string")
+    assert [tuple(r) for r in S.save_relations(old, old.limit(0), ids, ids).collect()] == [("C", "B", "cites")]
