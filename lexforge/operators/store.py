@@ -23,6 +23,7 @@ SCHEMAS = {
     "relations": _st(id=I, source_celex=S, target_celex=S, relation_type=S),
     "eurovoc": _st(celex_id=S, eurovoc_uri=S, eurovoc_label=S),
     "work_checkpoint": _st(celex_id=S, status=S, error=S, timestamp=TS),
+    "arrivals": _st(celex_id=S, arrived_at=TS),
     "enrichment_checkpoint": _st(celex_id=S, category=S, timestamp=TS),
     "dataset_runs": _st(run_id=S, started_at=TS, completed_at=TS, status=S, config_json=S, config_sha256=S, package_version=S, source_revision=S, source_dirty=B, python_version=S, dependency_versions=S),
     "translation_failures": _st(scope=S, record_id=S, celex_id=S, source_sha256=S, reason=S, policy_version=I, attempted_at=TS),

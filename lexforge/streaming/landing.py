@@ -1,6 +1,7 @@
 """Incremental intake: a landing folder of content files is read as a stream, each micro-batch goes through the batch
 plan. The stream's own checkpoint says which files were read; the dataset's checkpoint table says which documents are
-done, so a batch that runs twice changes nothing."""
+done, so a batch that runs twice changes nothing. No arrival is dropped for its age: the table `arrivals` holds the time of
+the newest content of each document, and only what is older than that is superseded."""
 
 from __future__ import annotations
 
@@ -14,27 +15,30 @@ from ..sources.config import Config
 LANDING = "celex_id string, content_type string, language string, body string, outcome string, error string, metadata array<struct<data_type:string,value:string>>, arrived_at timestamp"
 
 
-def intake(spark: SparkSession, folder: str, max_files: int = 1000, late: str | None = "7 days") -> DataFrame:
-    """The stream of arrivals, one row an id and time: repeats within the watermark are dropped."""
-    s = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", max_files).json(folder)
-    return s.withWatermark("arrived_at", late).dropDuplicatesWithinWatermark(["celex_id", "arrived_at"]) if late else s
+def intake(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
+    """The stream of arrivals, however late they are; repeats are left to the keyed store."""
+    return spark.readStream.schema(LANDING).option("maxFilesPerTrigger", max_files).json(folder)
 
 
 def process_batch(data: S.Dataset, config: Config):
     def run(batch: DataFrame, _: int) -> None:
+        known = data.read("arrivals").withColumnRenamed("arrived_at", "_known")
+        batch = batch.join(known, "celex_id", "left").where("_known is null or arrived_at is null or arrived_at >= _known").drop("_known")
         newest = S.latest(batch, ["celex_id"], [(F.coalesce("outcome", F.lit("ok")) == "retry").asc(), F.col("arrived_at").desc_nulls_last(), F.xxhash64("body").desc()]).persist()
         try:
             if not newest.isEmpty():
                 rows = newest.select("celex_id", F.explode_outer("metadata").alias("m")).select("celex_id", "m.data_type", "m.value")
                 pipeline.process(data, config, rows, newest.select("celex_id", "content_type", "language", "body", "outcome", "error"))
+                came = newest.where("arrived_at is not null and coalesce(outcome, 'ok') <> 'retry'").select("celex_id", "arrived_at")
+                data.write("arrivals", S.upsert(data.read("arrivals"), came, ["celex_id"], "arrived_at"))
         finally:
             newest.unpersist()
 
     return run
 
 
-def start(data: S.Dataset, config: Config, folder: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    w = intake(data.spark, folder).writeStream.option("checkpointLocation", checkpoint).foreachBatch(process_batch(data, config))
+def start(data: S.Dataset, config: Config, folder: str, checkpoint: str, available_now: bool = True, max_files: int = 1000) -> StreamingQuery:
+    w = intake(data.spark, folder, max_files).writeStream.option("checkpointLocation", checkpoint).foreachBatch(process_batch(data, config))
     return w.trigger(availableNow=True).start() if available_now else w.start()
 
 

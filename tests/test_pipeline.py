@@ -1,4 +1,5 @@
 import json
+import os
 import time
 
 from lexforge.functions import ids, quality, text as T
@@ -119,3 +120,17 @@ def test_refresh_spares_relations_of_other_documents_with_the_same_id(spark):
     old = spark.createDataFrame([(7, "A", "B", "cites"), (7, "C", "B", "cites")], S.SCHEMAS["relations"])
     ids = spark.createDataFrame([("A",)], "celex_id string")
     assert [tuple(r) for r in S.save_relations(old, old.limit(0), ids, ids).collect()] == [("C", "B", "cites")]
+
+
+def test_old_arrivals_of_later_batches_are_processed(spark, tmp_path):
+    d = S.Dataset(spark, str(tmp_path / "d"))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    came = [("32000R0001", "2024-06-01", PAGE), ("32000R0002", "2024-06-02", PAGE), ("32000R0003", "2020-01-01", PAGE), ("32000R0001", "2020-01-01", "<p>Old.</p>"), ("32000R0004", "2020-01-02", PAGE)]
+    for n, (i, at, body) in enumerate(came):
+        row = {"celex_id": i, "content_type": "html", "language": "eng", "body": body, "metadata": [{"data_type": k, "value": v} for k, v in META], "arrived_at": at + "T00:00:00Z"}
+        (folder / f"{n}.json").write_text(json.dumps(row))
+        os.utime(folder / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    landing.start(d, CFG, str(folder), str(tmp_path / "cp"), max_files=1).awaitTermination()
+    assert {r.celex_id for r in d.read("work_checkpoint").collect()} == {"32000R0001", "32000R0002", "32000R0003", "32000R0004"}
+    assert d.read("works").where("celex_id = '32000R0001'").first().full_text.startswith("Body of it.")
