@@ -10,8 +10,9 @@ counts different neighbours and so does not learn a phrase that many documents r
 log-perplexity itself (too predictable), and an upper band (too unlikely: broken text). Documents under a lower band are rejected as repetitive;
 what share of their n-grams is repeated follows from the top order's types and tokens and is checked exactly.
 
-Bounds: the arrays hold at most `max_words` words and `max_bigrams` bigrams; where there are more, the rarest
-go (their probability falls to the next order), while counts, counts of counts and scores cover every row.
+Where there are at most `max_words` words and `max_bigrams` bigrams, the model goes to the workers as arrays; where
+there are more, the same probabilities are worked out by Spark and joined to blocks of documents by the bigrams that
+each block has. The scores are the same both ways, and no word or bigram is left out.
 
 Defined cases: null and empty texts and those of fewer than `order` words have no windows, ratio 1 and
 share 0, and are never rejected; null or unknown languages form the band 'und'; a language with fewer than
@@ -25,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import durable
+from ..session import durable, salted_join
 from . import hashing as H
 
 U64 = np.uint64
@@ -128,61 +129,125 @@ class Model:
         return np.where(self.codes[i] == code, self.mass[i], 0) + self.gamma[before] * self.unigram[word]
 
 
-def fit(docs: DataFrame, order: int = 5, max_words: int = 1 << 20, max_bigrams: int = 4_000_000) -> Model:
-    """Counts over all rows of docs (text); see the module's bounds."""
+def _counts(docs: DataFrame, order: int) -> tuple[DataFrame, np.ndarray, np.ndarray, int]:
+    """(a, b, n) of all bigrams of docs (text), the discounts of the top order and of the bigrams, and the number of bigrams."""
     counted = docs.mapInPandas(_count(order), "kind int, a long, b long, n long")
     counted = durable(counted.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
     top = {r["a"]: r["n"] for r in counted.where("kind = 0").collect()}
     grams = counted.where("kind = 2")
     sizes = grams.agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in range(1, 5)], F.count(F.lit(1)).alias("all")).first()
-    least, left = 1, sizes["all"]
-    while left > max_bigrams:
-        least *= 2
-        left = grams.where(F.col("n") >= least).count()
-    pdf = grams.where(F.col("n") >= least).select("a", "b", "n").toPandas()
-    u = lambda c: pdf[c].to_numpy(np.int64).view(U64)
     low = discounts(*[sizes[f"n{i}"] for i in range(1, 5)])
-    return Model(discounts(*[top.get(i, 0) for i in range(1, 5)]), u("a"), u("b"), pdf["n"].to_numpy(np.int64), low, max_words)
+    return grams.select("a", "b", "n"), discounts(*[top.get(i, 0) for i in range(1, 5)]), low, sizes["all"]
+
+
+def _fit(grams: DataFrame, top: np.ndarray, low: np.ndarray, max_words: int) -> Model:
+    pdf = grams.toPandas()
+    u = lambda c: pdf[c].to_numpy(np.int64).view(U64)
+    return Model(top, u("a"), u("b"), pdf["n"].to_numpy(np.int64), low, max_words)
+
+
+def _scored(f: pd.DataFrame, order: int, top: np.ndarray, look) -> pd.DataFrame:
+    """The scores of a batch. look(before, word): of hashes of neighbours, the lower orders' probability and the unigram's."""
+    h, off = H.hash_words(f["text"].tolist())
+    at, d, first, gi, gn, ci, cn = _document_grams(h, off, order)
+    nd = len(f)
+    tokens = np.bincount(d, minlength=nd)
+    types = np.bincount(d[first], minlength=nd)
+    low, one = look(h[at + order - 2], h[at + order - 1])
+    dg = top[np.minimum(gn, 3) - 1]
+    spare = np.bincount(ci[first], weights=dg, minlength=len(cn))  # the discounts taken in each context
+    seen, rest = (gn - dg)[gi] / cn[ci], spare[ci] / cn[ci]
+    p = seen + rest * low
+    over = lambda x: np.bincount(d, weights=-np.log(x), minlength=nd)
+    ratio = over(seen + rest * one) / np.maximum(over(one), 1e-9)
+    lp = over(p) / np.maximum(tokens, 1)
+    lq = over(low) / np.maximum(tokens, 1)
+    return pd.DataFrame(
+        {"doc_id": f["doc_id"].to_numpy(), "lang": f["lang"].to_numpy(), "words": np.diff(off), "windows": tokens,
+         "log_ppl": lp, "log_ppl_corpus": lq, "ratio": np.where(tokens > 0, ratio, 1.0),
+         "share": np.where(tokens > 0, 1 - types / np.maximum(tokens, 1), 0.0)}
+    )
 
 
 def _score(model, order: int):
     def run(frames):
         m: Model = model.value
+
+        def look(before, word):
+            ids = m.ids(word)
+            return m.lower(m.ids(before), ids), m.unigram[ids]
+
         for f in H.batches(frames, "text"):
-            h, off = H.hash_words(f["text"].tolist())
-            at, d, first, gi, gn, ci, cn = _document_grams(h, off, order)
-            nd = len(f)
-            tokens = np.bincount(d, minlength=nd)
-            types = np.bincount(d[first], minlength=nd)
-            ids = m.ids(h)
-            low = m.lower(ids[at + order - 2], ids[at + order - 1])
-            dg = m.top[np.minimum(gn, 3) - 1]
-            spare = np.bincount(ci[first], weights=dg, minlength=len(cn))  # the discounts taken in each context
-            seen, rest, one = (gn - dg)[gi] / cn[ci], spare[ci] / cn[ci], m.unigram[ids[at + order - 1]]
-            p = seen + rest * low
-            over = lambda x: np.bincount(d, weights=-np.log(x), minlength=nd)
-            ratio = over(seen + rest * one) / np.maximum(over(one), 1e-9)
-            lp = over(p) / np.maximum(tokens, 1)
-            lq = over(low) / np.maximum(tokens, 1)
-            yield pd.DataFrame(
-                {"doc_id": f["doc_id"].to_numpy(), "lang": f["lang"].to_numpy(), "words": np.diff(off), "windows": tokens,
-                 "log_ppl": lp, "log_ppl_corpus": lq, "ratio": np.where(tokens > 0, ratio, 1.0),
-                 "share": np.where(tokens > 0, 1 - types / np.maximum(tokens, 1), 0.0)}
-            )
+            yield _scored(f, order, m.top, look)
 
     return run
 
 
-def scores(df: DataFrame, doc_id: str, text: str, lang: str | None = None, order: int = 5, **bounds: int) -> DataFrame:
+def _code(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return H.mix(a * U64(0x9E3779B97F4A7C15) + H.mix(b))
+
+
+def _probabilities(grams: DataFrame, low: np.ndarray, n_grams: int, n_words: int) -> DataFrame:
+    """(a, b, low, one) of every bigram, as Model has them: contexts that never follow a word are one context."""
+    words = durable(grams.groupBy("b").agg(F.count(F.lit(1)).alias("cont")))
+    d = F.when(F.col("n") == 1, float(low[0])).when(F.col("n") == 2, float(low[1])).otherwise(float(low[2]))
+    g = salted_join(grams, words.select(F.col("b").alias("a"), F.lit(True).alias("known")), "a", "left", rows=n_grams)
+    g = durable(g.select("a", "b", F.when(F.col("known"), F.col("a")).otherwise(F.lit(0)).alias("ctx"), "n", d.alias("d")))
+    total = g.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("spare"))
+    kept = g.groupBy("ctx", "b").agg(F.sum(F.col("n") - F.col("d")).alias("kept"))
+    g = salted_join(g.select("ctx", "a", "b").join(kept, ["ctx", "b"]), total, "ctx", rows=n_grams)
+    g = salted_join(g, words, "b", rows=n_grams)
+    one = (F.col("cont") + 0.5) / (n_grams + 0.5 * (n_words + 1))
+    return g.select("a", "b", (F.col("kept") / F.col("total") + F.col("spare") / F.col("total") * one).alias("low"), one.alias("one"))
+
+
+def _block_bigrams(frames):
+    for f in H.batches(frames, "text"):
+        h, off = H.hash_words(f["text"].tolist())
+        doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
+        ok = doc[1:] == doc[:-1]
+        d = pd.DataFrame({"block": f["block"].to_numpy()[doc[:-1][ok]], "a": h[:-1][ok].view(np.int64), "b": h[1:][ok].view(np.int64)}) if len(h) > 1 else None
+        if d is not None and len(d):
+            yield d.drop_duplicates()
+
+
+def _score_blocks(docs: DataFrame, probabilities: DataFrame, top: np.ndarray, order: int, schema: str, chars: int = 2_000_000) -> DataFrame:
+    """Scores with the bigrams of each block of documents (about `chars` characters) joined to it."""
+    n = int((docs.agg(F.sum(F.length("text"))).first()[0] or 0) // chars) + 1
+    d = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)))
+    has = d.mapInPandas(_block_bigrams, "block long, a long, b long").distinct()
+    has = has.join(probabilities, ["a", "b"]).select("block", "a", "b", "low", "one")
+
+    def score(f, m):
+        if not len(f):
+            return _scored(f, order, top, lambda x, y: (np.zeros(0), np.zeros(0)))
+        u = lambda c: m[c].to_numpy(np.int64).view(U64)
+        code = _code(u("a"), u("b"))
+        o = np.argsort(code)
+        code, low, one = code[o], m["low"].to_numpy(float)[o], m["one"].to_numpy(float)[o]
+
+        def look(before, word):
+            i = np.searchsorted(code, _code(before, word))
+            return low[i], one[i]
+
+        return pd.concat([_scored(x, order, top, look) for x in H.batches(iter([f]), "text")])
+
+    return d.groupBy("block").cogroup(has.groupBy("block")).applyInPandas(score, schema)
+
+
+def scores(df: DataFrame, doc_id: str, text: str, lang: str | None = None, order: int = 5, max_words: int = 1 << 20, max_bigrams: int = 4_000_000) -> DataFrame:
     """(doc_id, lang, words, windows, log_ppl, log_ppl_corpus, ratio, share) of each row."""
     code = language(F.col(lang)) if lang else F.lit("und")
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), code.alias("lang"))
-    model = df.sparkSession.sparkContext.broadcast(fit(docs.select("text"), order, **bounds))
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInPandas(
-        _score(model, order),
-        f"doc_id {kind}, lang string, words long, windows long, log_ppl double, log_ppl_corpus double, ratio double, share double",
-    )
+    schema = f"doc_id {kind}, lang string, words long, windows long, log_ppl double, log_ppl_corpus double, ratio double, share double"
+    grams, top, low, n = _counts(docs.select("text"), order)
+    words = grams.select("b").distinct().count()
+    if n <= max_bigrams and words <= max_words:
+        model = df.sparkSession.sparkContext.broadcast(_fit(grams, top, low, max_words))
+        return docs.mapInPandas(_score(model, order), schema)
+    top = np.array([1.0, top[1], top[2]])  # as in Model
+    return _score_blocks(docs, _probabilities(grams, low, n, words), top, order, schema)
 
 
 def bands(scored: DataFrame, width: float = 3.0, least_ratio: float = 0.95, min_docs: int = 30) -> DataFrame:

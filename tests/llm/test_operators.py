@@ -205,3 +205,11 @@ def test_near_duplicates_in_families_below_the_threshold(spark):
     for block in ({}, {"block": 4}):  # whole buckets, and buckets in blocks
         links, _ = near_duplicates.near_duplicates(table(spark, rows), "id", "t", 0.65, 3, 25, **block)
         assert {(x.key_a, x.key_b) for x in links.collect()} == want
+
+
+def test_repetition_scores_are_the_same_beyond_the_bounds(spark):
+    rows = [(i, t, "en") for i, t in enumerate(texts(7, 60))] + [(100, "only " + texts(8, 1)[0], None), (101, None, "en"), (102, "", "en"), (103, "rare " + texts(9, 1)[0], "en")]
+    d = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    one, two = ({r.doc_id: r for r in repetition.scores(d, "doc_id", "text", "lang", **b).collect()} for b in ({}, {"max_bigrams": 10, "max_words": 5}))
+    assert len(one) == len(two) == len(rows)
+    assert all(one[k][c] == pytest.approx(two[k][c], abs=1e-9) for k in one for c in ("lang", "words", "windows", "log_ppl", "log_ppl_corpus", "ratio", "share"))
