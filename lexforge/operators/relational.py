@@ -9,17 +9,27 @@ from ..functions.ids import LANGUAGES
 
 def substring_join(keywords: DataFrame, labels: DataFrame, keyword: str = "keyword", label: str = "label", max_keywords: int = 100_000) -> DataFrame:
     """Keyword is in label, letter case aside. The keywords are the few side, and their size is checked; beyond it
-    keywords and labels meet on their shared three-letter pieces instead, each keyword under its rarest piece."""
+    keywords and labels meet on their shared three-letter pieces instead, each keyword under its rarest piece, one of
+    fewer than three letters under itself. The rows are the same both ways."""
     n = keywords.count()
     hit = F.contains(F.lower(F.col(label)), F.lower(F.col(keyword)))
     if n <= max_keywords:
         return labels.join(F.broadcast(keywords), hit)
-    gram = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substr(F.lower(c), i, F.lit(3))))
-    g = labels.select(label, F.explode(gram(F.col(label))).alias("g"))
+
+    def gram(c: Column, size: int) -> Column:
+        low = F.lower(c)
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - (size - 1), F.lit(1))), lambda i: F.substr(low, i, F.lit(size))))
+
+    each, some = labels.select(label).where(F.col(label).isNotNull()).distinct(), keywords.select(keyword).where(F.col(keyword).isNotNull()).distinct()
+    g = each.select(label, F.explode(gram(F.col(label), 3)).alias("g"))
     freq = g.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    k = keywords.select(keyword, F.explode(gram(F.col(keyword))).alias("g")).join(freq, "g", "left")
+    short = F.length(F.lower(keyword)) < 3
+    k = some.where(~short).select(keyword, F.explode(gram(F.col(keyword), 3)).alias("g")).join(freq, "g", "left")
     k = k.groupBy(keyword).agg(F.min_by("g", F.struct(F.coalesce("n", F.lit(0)), F.col("g"))).alias("g"))
-    return g.join(k, "g").where(hit).drop("g").distinct()
+    pieces = F.array_distinct(F.concat(F.array(F.lit("")), gram(F.col(label), 1), gram(F.col(label), 2)))
+    s = some.where(short).select(keyword, F.lower(keyword).alias("g"))
+    pairs = g.join(k, "g").unionByName(each.select(label, F.explode(pieces).alias("g")).join(s, "g")).where(hit).select(label, keyword).distinct()
+    return labels.join(pairs, label).join(keywords, keyword).select(*labels.columns, *keywords.columns)
 
 
 def metadata_rows(works: DataFrame, columns: list[str]) -> DataFrame:

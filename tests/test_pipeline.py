@@ -134,3 +134,10 @@ def test_old_arrivals_of_later_batches_are_processed(spark, tmp_path):
     landing.start(d, CFG, str(folder), str(tmp_path / "cp"), max_files=1).awaitTermination()
     assert {r.celex_id for r in d.read("work_checkpoint").collect()} == {"32000R0001", "32000R0002", "32000R0003", "32000R0004"}
     assert d.read("works").where("celex_id = '32000R0001'").first().full_text.startswith("Body of it.")
+
+
+def test_substring_join_of_short_keywords_and_repeats(spark):
+    k = spark.createDataFrame([("Air",), ("qu",), ("qu",), ("Q",), ("",), ("xyz",), (None,), ("zz",)], "keyword string")
+    l = spark.createDataFrame([("clean air", 1), ("quota", 2), ("quota", 2), ("q", 3), ("", 4), (None, 5)], "label string, n int")
+    one, two = (sorted(map(tuple, R.substring_join(k, l, max_keywords=m).collect())) for m in (100, 0))
+    assert one == two and two.count(("quota", 2, "qu")) == 4 and ("q", 3, "Q") in two
