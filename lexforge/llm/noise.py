@@ -13,7 +13,7 @@
    word, misread words corrected, lines reflowed into paragraphs.
 
 Bounds: the lexicon has at most `max_lexicon` words (where there are more, the least count is doubled until it
-fits), templates at most `max_templates` (likewise), vectors `dims_words` x 32. Counts cover every row.
+fits), vectors `dims_words` x 32. Counts cover every row; running headings are decided by Spark, all of them.
 
 Defined cases: null keys are no records; null, empty and blank texts hold no noise; rows repeated under one key
 give one result; an empty table gives no rows; extra columns are ignored.
@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import durable
+from ..session import durable, salted_join
 
 #: What a page reader makes of a glyph, and the glyph (fixed values).
 GLYPHS = [
@@ -186,7 +186,15 @@ class Lexicon:
 WORD_TAIL = re.compile(r"[^\W_]+(?:[-‐][^\W_]+)*$")
 
 
-def fit(texts: DataFrame, least: float = 5e-7, max_lexicon: int = 500_000, max_templates: int = 50_000, dims_words: int = 1024, dims: int = 32) -> Lexicon:
+def _template_words(frames):
+    """Of each template (x, n) its words of four letters and more, as often as they stand in it."""
+    for f in frames:
+        got = [(x, w, n) for x, n in zip(f["x"], f["n"].tolist()) for w in WORD.findall(x.lower()) if len(w) >= 4 and not w.isdigit()]
+        if got:  # an empty column of strings does not pass Arrow
+            yield pd.DataFrame(got, columns=["x", "w", "n"])
+
+
+def fit(texts: DataFrame, least: float = 5e-7, max_lexicon: int = 500_000, dims_words: int = 1024, dims: int = 32) -> Lexicon:
     """The model over all rows of texts (text)."""
     c = texts.mapInPandas(_count, "kind string, x string, n long, m long")
     c = durable(c.groupBy("kind", "x").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
@@ -197,22 +205,12 @@ def fit(texts: DataFrame, least: float = 5e-7, max_lexicon: int = 500_000, max_t
     pdf = c.where((F.col("kind") != "t") & (F.col("n") >= floor)).toPandas()
     words, compounds = (dict(zip(p["x"], p["n"].tolist())) for p in (pdf[pdf["kind"] == "w"], pdf[pdf["kind"] == "c"]))
     # headings: templates that break into sentences, with words of their own
-    often = c.where("kind = 't' and n >= 5 and m >= 3 and m >= 0.15 * n")
-    few = 5
-    while often.where(F.col("n") >= few).count() > max_templates:
-        few *= 2
-    t = often.where(F.col("n") >= few).toPandas()
-    inside: Counter = Counter()
-    for x, n in zip(t["x"], t["n"].tolist()):
-        for w in WORD.findall(x.lower()):
-            inside[w] += n
-    own = {w for w in inside if len(w) >= 4 and not w.isdigit()}
-    counts = {r["x"]: r["n"] for r in c.where("kind = 'w'").join(F.broadcast(texts.sparkSession.createDataFrame([(w,) for w in sorted(own)], "x string")), "x").collect()} if own else {}
-    headings = set()
-    for x in t["x"]:
-        ws = [w for w in WORD.findall(x.lower()) if w in own]
-        if ws and sum(inside[w] >= 0.7 * counts.get(w, 0) for w in ws) * 2 >= len(ws):
-            headings.add(x)
+    often = c.where("kind = 't' and n >= 5 and m >= 3 and m >= 0.15 * n").select("x", "n")
+    ws = durable(often.mapInPandas(_template_words, "x string, w string, n long"))
+    inside = ws.groupBy("w").agg(F.sum("n").alias("inside")).join(c.where("kind = 'w'").select(F.col("x").alias("w"), F.col("n").alias("all")), "w", "left")
+    own = inside.select("w", (F.col("inside") >= 0.7 * F.coalesce("all", F.lit(0))).alias("own"))
+    headings = salted_join(ws, own, "w").groupBy("x").agg(F.count_if("own").alias("k"), F.count(F.lit(1)).alias("n")).where("2 * k >= n")
+    headings = {r["x"] for r in headings.select("x").collect()}
     lex = Lexicon(words, compounds, headings)
     _learn_vectors(lex, texts, dims_words, dims)
     lex.purge()

@@ -213,3 +213,10 @@ def test_repetition_scores_are_the_same_beyond_the_bounds(spark):
     one, two = ({r.doc_id: r for r in repetition.scores(d, "doc_id", "text", "lang", **b).collect()} for b in ({}, {"max_bigrams": 10, "max_words": 5}))
     assert len(one) == len(two) == len(rows)
     assert all(one[k][c] == pytest.approx(two[k][c], abs=1e-9) for k in one for c in ("lang", "words", "windows", "log_ppl", "log_ppl_corpus", "ratio", "share"))
+
+
+def test_more_headings_than_the_former_cap(spark):
+    words = ["".join(w) for w in itertools.islice(itertools.product("gjkpsxz", repeat=6), 50_100)]  # no glyph edits
+    lines = ["".join(f"it goes\nHead {w}\non so\n" for w in words[i::100]) for i in range(100)]
+    d = spark.createDataFrame([(t,) for t in lines * 5], "text string").repartition(4)
+    assert len(noise.fit(d).headings) == 50_100
