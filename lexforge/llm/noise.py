@@ -8,7 +8,8 @@
    word vectors by a seeded randomised SVD.
 3. A word outside the lexicon is linked to the lexicon words that plausible glyph edits (GLYPHS, at most
    `max_edits`) turn it into; lexicon words far rarer than such a neighbour with like vectors count as misread
-   too. Of several neighbours the one whose vector fits the words around is taken.
+   too. Of several neighbours the one whose vector fits the words around is taken; whether a rare word is misread
+   at all is decided by edits and counts only.
 4. Furniture lines are removed, words cut at line ends joined unless the compound with the hyphen is the known
    word, misread words corrected, lines reflowed into paragraphs.
 
