@@ -29,4 +29,6 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
         e = new
         if same:
             break
+    else:
+        raise RuntimeError(f"components: no end after {max_rounds} rounds; allow more")
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).select("node", F.least("node", "component").alias("component"))

@@ -17,9 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import blank_trim, salted_join
-
-BITS = 6
-
+from . import bloom
 
 def normal_id(c: Column) -> Column:
     """Upper case, without surrounding blanks; null where nothing is left."""
@@ -27,25 +25,6 @@ def normal_id(c: Column) -> Column:
     return F.when(F.length(t) > 0, t)
 
 
-def _mask(key: Column) -> Column:
-    h = F.xxhash64(key, F.lit(1))
-    m = F.lit(0).cast("long")
-    for i in range(BITS):
-        # 1 << n, n taken from six bits of the second hash
-        m = m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, i * 6).bitwiseAND(F.lit(63)).cast("int")))
-    return m
-
-
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def bloom_words(parents: DataFrame, key: str, blocks: int) -> DataFrame:
-    """The filter as rows (block, word); at most `blocks` rows."""
-    k = parents.select(F.col(key).cast("string").alias("k")).where(F.col("k").isNotNull())
-    return k.groupBy(_block(F.col("k"), blocks).alias("block")).agg(F.bit_or(_mask(F.col("k"))).alias("word"))
-
-
 def orphan_references(
     children: DataFrame,
     child_id: str,
@@ -53,26 +32,25 @@ def orphan_references(
     parents: DataFrame,
     parent_key: str,
     period: Column | None = None,
-    max_blocks: int = 1 << 20,
+    max_blocks: int = bloom.MAX_BLOCKS,
     bits_per_key: int = 16,
 ) -> DataFrame:
     """(id, side, ref[, period]) of each distinct reference without a parent.
 
     sides: name of the side -> column with the reference. period: an expression over the children.
     """
-    spark = children.sparkSession
-    n = parents.select(parent_key).count()
-    blocks = max(64, min(max_blocks, n * bits_per_key // 64))
-    words = bloom_words(parents, parent_key, blocks)
+    keyed = parents.select(F.col(parent_key).cast("string").alias("ref"))
+    blocks = bloom.blocks_for(keyed.count(), bits_per_key, max_blocks)
+    words = bloom.words(keyed, "ref", blocks)
     stack = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), normal_id(F.col(c)).alias("ref")) for s, c in sides.items()]))
     refs = children.select(F.col(child_id).alias("id"), (period if period is not None else F.lit(None).cast("int")).alias("period"), stack.alias("s"))
     refs = refs.select("id", "period", "s.side", "s.ref").where(F.col("ref").isNotNull())
-    tested = refs.join(F.broadcast(words), _block(F.col("ref"), blocks) == F.col("block"), "left")
-    passes = F.coalesce(F.col("word").bitwiseAND(_mask(F.col("ref"))) == _mask(F.col("ref")), F.lit(False))
+    tested = refs.join(F.broadcast(words), bloom.block(F.col("ref"), blocks) == F.col("block"), "left")
+    passes = F.coalesce(F.col("word").bitwiseAND(bloom.mask(F.col("ref"))) == bloom.mask(F.col("ref")), F.lit(False))
     tested = tested.select("id", "period", "side", "ref", passes.alias("maybe"))
     definite = tested.where(~F.col("maybe")).drop("maybe")
     maybe = tested.where("maybe").drop("maybe")
-    keys = parents.select(F.col(parent_key).cast("string").alias("ref")).where(F.col("ref").isNotNull()).distinct()
+    keys = keyed.where(F.col("ref").isNotNull()).distinct()
     missing = maybe.select("ref").distinct().join(keys, "ref", "left_anti")
     verified = salted_join(maybe, missing, "ref", "left_semi").select("id", "period", "side", "ref")
     out = definite.unionByName(verified).distinct()

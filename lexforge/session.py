@@ -62,24 +62,17 @@ def bounded_broadcast(small: DataFrame, rows: int, max_rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= max_rows else small
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", salts: int = 16, rows: int | None = None) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", salts: int = 16) -> DataFrame:
     """Equi-join where one key may hold a large share of `big`.
 
     Keys with more than 1/64 of the rows of `big` (at most 63 of them, so the list is bounded) are hot:
     their rows are spread over `salts` and the matching rows of `small` repeated once per salt. All other
     rows keep salt 0. The salt is a hash of the row, so a task that runs again makes the same rows. `small` should hold
-    few rows per key. how: inner, left_semi, left_anti or left. rows: the counted size of `big` where it is known;
-    under 200,000 rows one key cannot make a long task, and the join is a plain one.
+    few rows per key. how: inner, left_semi, left_anti or left. The plan is the same whatever the size.
     """
-    if rows is not None and rows < 200_000:
-        return big.join(small, key, how)
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t"))
-    hot = (
-        counts.join(F.broadcast(total), F.col("_n") * 64 > F.col("_t"))
-        .where(F.col("_n") > 10_000)
-        .select(F.col(key).alias("_hot"))
-    )
+    hot = counts.join(F.broadcast(total), F.col("_n") * 64 > F.col("_t")).select(F.col(key).alias("_hot"))
     b = big.join(F.broadcast(hot), big[key] == F.col("_hot"), "left")
     b = b.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))).drop("_hot")
     s = small.join(F.broadcast(hot), small[key] == F.col("_hot"), "left")
