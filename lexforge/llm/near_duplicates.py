@@ -1,21 +1,25 @@
-"""Near-duplicate records: one-permutation hashing, banded buckets, all pairs of a bucket's classes as candidates.
+"""Near-duplicate records: one-permutation hashing, banded buckets, star-shaped candidate edges.
 
 1. Each record's distinct word shingles fall into `bins` bins by the top bits of one hash; a bin keeps its
    least value, and an empty bin takes that of a full one picked by a seeded sequence of probes (optimal
    densification). `rows` bins, picked by a seeded draw, make the key of one of `bands` buckets.
 2. Records with equal shingle sets are one class from the start, and a class stands in a bucket once, under the
    hash of its set, however many records it has: a group of copies that holds a third of all rows makes no pairs.
-   The classes of a bucket are all paired, since two that are alike may both be unlike any third one. After the
-   shuffle the buckets stream by in sorted order; one of more than `block` classes leaves as numbered blocks,
-   whose pairs are made afterwards by as many tasks as there are pairs of blocks. The number of candidates is
-   therefore quadratic in the classes that share a bucket, alike or not.
-3. Candidates are verified on the whole texts (exact Jaccard of the distinct shingles).
-4. Two classes that share no bucket but are linked to the same third one are verified too (wedges), until no new
-   link comes.
+   The buckets stream by in sorted order, and each gives a star: edges from its first class, the hub, to every
+   other class. So a class has at most one edge a bucket, and the candidates grow in proportion to the records.
+3. The text of each class goes once to each of its hubs. Around a hub all classes are compared exactly (Jaccard of
+   the distinct shingles of whole texts), at once and in memory, so two classes that are alike but both unlike the hub
+   are found too: every pair that shares a bucket is tried. A hub with more than `block` classes is worked in blocks.
+4. `links` asks for every link, so a hub's blocks meet pairwise. `groups` asks only who belongs together: a block
+   meets the hub first, and only classes that this leaves apart from the hub meet the other blocks, so a group of
+   any size whose members are like their hub costs one pass.
+
+Only links between classes come out. The blocks of a hub that hold more than one text are the sole place where work is
+quadratic, and only in classes that share a bucket without being alike (or whose links are all asked for).
 
 Defined cases: null keys are no records; null, empty and short texts (fewer than `min_words` words) are
-like no other; rows repeated under one key are one record; an empty table gives no rows; extra columns
-are ignored. Keys are carried as xxhash64 until the end.
+like no other; rows repeated under one key are one record, taken by one of their texts if they differ; an empty
+table gives no rows; extra columns are ignored. Keys are carried as xxhash64 until the end.
 """
 
 from __future__ import annotations
@@ -27,7 +31,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import bounded_broadcast, durable, salted_join
+from ..operators.bloom import may_contain
+from ..operators.components import connected_components
+from ..session import durable, salted_join
 from . import hashing as H
 
 U64 = np.uint64
@@ -117,146 +123,220 @@ def _sign(k: int, min_words: int, bins: int, rows: int, bands: int):
     return run
 
 
-def _triples(a: np.ndarray, b: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.int32))], names=["a", "b", "s"])
-
-
-def _pairs_of(x: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int = 1 << 21):
-    """All pairs of each stretch of x, in portions of about `most` pairs; repeats within a portion are dropped."""
-    pairs = sizes * (sizes - 1) // 2
-    portion = np.cumsum(pairs) // most
-    for cut in np.split(np.flatnonzero(sizes > 1), np.flatnonzero(np.diff(portion[sizes > 1])) + 1):
-        left, right = [], []
-        for m in np.unique(sizes[cut]):
-            rows = starts[cut][sizes[cut] == m][:, None] + np.arange(m)
-            i, j = np.triu_indices(m, 1)
-            left.append(x[rows[:, i]].ravel())
-            right.append(x[rows[:, j]].ravel())
-        if left:
-            i, j = np.concatenate(left), np.concatenate(right)
-            o = np.lexsort((j, i))
-            i, j = i[o], j[o]
-            keep = np.ones(len(i), bool)
-            keep[1:] = (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-            yield i[keep], j[keep]
-
-
-def _buckets(block: int):
-    """Buckets in sorted order go by: the pairs (s = 2) of each, and the classes of those larger than a block with the
-    number of their block (s = 3, 4, ...). Class rows (s = 1) pass."""
-
-    def whole_buckets(key, x):
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        starts = np.flatnonzero(new)
-        for i, j in _pairs_of(x, starts, np.diff(np.append(starts, len(key)))):
-            yield _triples(i, j, np.full(len(i), 2))
-
-    def run(batches):
-        hk, hx = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last bucket, which may go on
-        gone, before = 0, None  # its blocks that have left, and the last class of these
-        for b in batches:
-            a, x, s = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if (s != 0).any():
-                yield _triples(a[s != 0], x[s != 0], s[s != 0])
-            key, x = np.concatenate([hk, a[s == 0]]), np.concatenate([hx, x[s == 0]])
-            if not len(key):
-                continue
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (x[1:] != x[:-1])
-            if gone and before == (key[0], x[0]):
-                new &= (key != key[0]) | (x != x[0])
-            key, x = key[new], x[new]
-            if gone and len(key) and key[0] != before[0]:
-                gone, before = 0, None
-            while len(key):
-                first = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-                sizes = np.diff(first)
-                big = np.flatnonzero(sizes > block)
-                if gone and key[0] == before[0]:
-                    big = np.union1d([0], big)
-                to = first[big[0]] if len(big) else first[-2]
-                yield from whole_buckets(key[:to], x[:to])
-                if to:
-                    gone, before = 0, None
-                key, x = key[to:], x[to:]
-                if not len(big):
-                    break
-                n = sizes[big[0]]
-                last = n == len(key)  # may go on: what does not fill a block is held
-                take = n if not last else n // block * block
-                if take:
-                    yield _triples(key[:take], x[:take], 3 + gone + np.arange(take) // block)
-                    gone, before = gone + take // block, (key[take - 1], x[take - 1])
-                key, x = key[take:], x[take:]
-                if last:
-                    break
-                gone, before = 0, None
-            hk, hx = key, x
-        if gone and len(hk):
-            yield _triples(hk, hx, np.full(len(hk), 3 + gone))
-        else:
-            yield from whole_buckets(hk, hx)
-
-    return run
+def _triples(a: np.ndarray, b: np.ndarray, s: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), s, np.int32))], names=["a", "b", "s"])
+
+
+def _stars(batches):
+    """Buckets (a: key, b: class, s = 0) in sorted order go by: an edge (a: hub, b: class, s = 2) from the first class of
+    each to each other one. Class rows (s = 1) pass."""
+    key = hub = last = None
+    for batch in batches:
+        a, b, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        if (s != 0).any():
+            yield _triples(a[s != 0], b[s != 0], 1)
+            a, b = a[s == 0], b[s == 0]
+        if not len(a):
+            continue
+        first = b[_first_of_runs(a)]
+        fresh = np.ones(len(a), bool)
+        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        if key == a[0]:  # the bucket goes on
+            run = a == key
+            first = np.where(run, hub, first)
+            fresh[0] = b[0] != last
+        key, hub, last = a[-1], first[-1], b[-1]
+        edge = fresh & (b != first)
+        if edge.any():
+            e = np.unique(np.stack([first[edge], b[edge]]), axis=1)
+            yield _triples(e[0], e[1], 2)
+
+
+def _met(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of signed rows: the class of each record (rid, whole), and the star edges (hub, whole) of the buckets."""
+    met = durable(signed.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_stars, "a long, b long, s int"))
+    whole = met.where("s = 1").groupBy(F.col("a").alias("rid")).agg(F.min("b").alias("whole"))
+    return whole, met.where("s = 2").select(F.col("a").alias("hub"), F.col("b").alias("whole")).distinct()
+
+
+def _alike(v: np.ndarray, off: np.ndarray, group: np.ndarray, side: np.ndarray, threshold: float):
+    """Pairs (i, j, similarity) of sets of one group that are alike enough; v: sorted distinct shingles of each set.
+    group: the number of each set's group, rising. Sets of side 1 are not paired among each other, nor are those of side
+    2; side 0 are paired with all."""
+    n = np.diff(off)
+    sizes = np.bincount(group)
+    begin = np.cumsum(sizes) - sizes
+    doc = np.repeat(np.arange(len(n)), n)
+    small = sizes[group] <= 12
+    parts = []
+    pick = small[doc]
+    if pick.any():  # runs of equal shingles in equal groups, all pairs of each short run
+        d, x = doc[pick], v[pick]
+        o = np.lexsort((d, x, group[d]))
+        d, x = d[o], x[o]
+        g = group[d]
+        new = np.ones(len(d), bool)
+        new[1:] = (x[1:] != x[:-1]) | (g[1:] != g[:-1])
+        at = np.flatnonzero(new)
+        length = np.diff(np.append(at, len(d)))
+        for m in np.unique(length):
+            if m > 1:
+                rows = d[at[length == m][:, None] + np.arange(m)]
+                i, j = np.triu_indices(m, 1)
+                parts.append(np.stack([rows[:, i].ravel(), rows[:, j].ravel()]))
+        if parts:
+            ij, both = np.unique(np.concatenate(parts, axis=1), axis=1, return_counts=True)
+            parts = [(ij[0], ij[1], both)]
+    for g in np.flatnonzero(sizes > 12):  # intersections of all sets of the group as a matrix product
+        lo, hi = begin[g], begin[g] + sizes[g]
+        vals, col = np.unique(v[off[lo] : off[hi]], return_inverse=True)
+        seen = np.bincount(col)
+        col = np.where(seen > 1, np.cumsum(seen > 1)[np.arange(len(seen))] - 1, -1)[np.arange(len(seen))][col]
+        row = doc[off[lo] : off[hi]] - lo
+        wide = int((seen > 1).sum())
+        total = np.zeros((sizes[g], sizes[g]), np.float32)
+        order = np.argsort(col, kind="stable")
+        order = order[np.searchsorted(col[order], 0) :]
+        for at in range(0, wide, 16384):  # in strips, so that memory is bounded whatever the texts
+            p, q = np.searchsorted(col[order], [at, at + 16384])
+            m = np.zeros((sizes[g], min(16384, wide - at)), np.float32)
+            m[row[order[p:q]], col[order[p:q]] - at] = 1
+            total += m @ m.T
+        i, j = np.triu_indices(sizes[g], 1)
+        both = np.rint(total[i, j]).astype(np.int64)
+        parts.append((i[both > 0] + lo, j[both > 0] + lo, both[both > 0]))
+    if not parts:
+        z = np.zeros(0, np.int64)
+        return z, z, np.zeros(0)
+    i, j, both = (np.concatenate(x) for x in zip(*parts))
+    sim = both / (n[i] + n[j] - both)
+    ok = (sim >= threshold - 1e-12) & ((side[i] != side[j]) | (side[i] == 0))
+    return i[ok], j[ok], sim[ok]
+
+
+def _around(k: int, threshold: float, joined: bool, hold: int = 2048):
+    """Rows (hub, p, q, side, whole, text) in order of (hub, p, q) go by, group by group. Links (a, b, similarity), or if
+    joined (a, b, hub, apart): each class with the first one that it hangs together with in the group, and whether the
+    hub is not among these."""
+
+    def work(f: pd.DataFrame):
+        f = f.reset_index(drop=True)
+        cut = np.ones(len(f), bool)
+        for c in ("hub", "p", "q"):
+            x = f[c].to_numpy()
+            cut[1:] &= x[1:] == x[:-1]
+        cut[1:] = ~cut[1:]
+        group = np.cumsum(cut) - 1
+        ok, v, off = _shingle_sets(f["text"].tolist(), k, 0)
+        whole, side = f["whole"].to_numpy(np.int64), f["side"].to_numpy()
+        _, gr = np.unique(group[ok], return_inverse=True)
+        i, j, sim = _alike(v, off, gr, side[ok], threshold) if len(ok) else (np.zeros(0, np.int64),) * 3
+        i, j = ok[i], ok[j]
+        if not joined:
+            return pd.DataFrame({"a": np.minimum(whole[i], whole[j]), "b": np.maximum(whole[i], whole[j]), "similarity": sim}).drop_duplicates(["a", "b"])
+        low = np.arange(len(f))
+        while True:  # least place of each component
+            old = low.copy()
+            np.minimum.at(low, i, old[j])
+            np.minimum.at(low, j, old[i])
+            low = low[low]
+            if (low == old).all():
+                break
+        hubs, hub = f["hub"].to_numpy(np.int64), np.full(group[-1] + 1, -1)
+        at = whole == hubs
+        hub[group[at]] = low[at]
+        apart = low != hub[group]
+        tell = apart | (whole != whole[low])
+        return pd.DataFrame({"a": whole[tell], "b": whole[low[tell]], "hub": hubs[tell], "apart": apart[tell]})
 
-
-def _block_pairs(batches):
-    """Pairs within a block (y is null) and between two blocks of a bucket."""
-    for b in batches:
-        for x, y in zip(b.column(0), b.column(1)):
-            x = np.asarray(x.values)
-            if y.is_valid:
-                y = np.asarray(y.values)
-                i, j = np.repeat(x, len(y)), np.tile(y, len(x))
-            else:
-                p, q = np.triu_indices(len(x), 1)
-                i, j = x[p], x[q]
-            if len(i):
-                yield _triples(np.minimum(i, j), np.maximum(i, j), np.full(len(i), 2))
-
-
-def _candidates(signed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """Of signed rows: (rid, whole), and all pairs (a, b) of classes, by their hash, that share a bucket."""
-    met = durable(signed.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_buckets(block), "a long, b long, s int"))
-    pairs = met.where("s = 2").select("a", "b")
-    blocks = met.where("s > 2").groupBy("a", "s").agg(F.collect_list("b").alias("x"))
-    if not met.where("s > 2").isEmpty():
-        other = blocks.select("a", F.col("s").alias("t"), F.col("x").alias("y"))
-        two = blocks.join(other, "a").where("s <= t").select("x", F.when(F.col("s") < F.col("t"), F.col("y")).alias("y"), F.xxhash64("a", "s", "t").alias("h"))
-        two = two.repartition("h").select("x", "y").mapInArrow(_block_pairs, "a long, b long, s int")
-        pairs = pairs.unionByName(two.select("a", "b"))
-    return met.where("s = 1").select(F.col("a").alias("rid"), F.col("b").alias("whole")).distinct(), pairs.distinct()
-
-
-def _jaccard(k: int):
     def run(frames):
-        for f in H.batches(frames, "ta", H.CHUNK // 2):
-            both = pd.concat([f["ta"], f["tb"]]).tolist()
-            ok, v, off = _shingle_sets(both, k, 0)
-            n, at = len(f), np.full(2 * len(f), -1)
-            at[ok] = np.arange(len(ok))
-            sim = np.zeros(n)
-            for i in range(n):
-                p, q = at[i], at[n + i]
-                if p >= 0 and q >= 0:
-                    x, y = v[off[p] : off[p + 1]], v[off[q] : off[q + 1]]
-                    inter = len(np.intersect1d(x, y, assume_unique=True))
-                    sim[i] = inter / (len(x) + len(y) - inter)
-            yield pd.DataFrame({"a": f["a"].to_numpy(), "b": f["b"].to_numpy(), "similarity": sim})
+        held: list[pd.DataFrame] = []
+        key, rows, chars = None, 0, 0
+        for frame in frames:
+            for f in H.batches([frame], "text", H.CHUNK):
+                last = f[["hub", "p", "q"]].iloc[-1].tolist()
+                same = (f["hub"].to_numpy() == last[0]) & (f["p"].to_numpy() == last[1]) & (f["q"].to_numpy() == last[2])
+                tail = len(f) if same.all() else len(f) - np.argmin(same[::-1])
+                if not same.all() or (key is not None and last != key):
+                    done = f.iloc[:tail] if not same.all() else f.iloc[:0]
+                    whole = pd.concat([*held, done]) if held else done
+                    if len(whole):
+                        yield work(whole)
+                    held, f = [], (f.iloc[tail:] if not same.all() else f)
+                held.append(f)
+                key = last
+        if held:
+            yield work(pd.concat(held))
 
     return run
 
 
-def _verify(edges: DataFrame, texts: DataFrame, k: int, threshold: float, max_broadcast: int) -> DataFrame:
-    """Edges (a, b) whose texts are alike enough, with their similarity. edges: distinct and at hand."""
-    ids = edges.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    m = edges.count()
-    need = texts.join(bounded_broadcast(ids, 2 * m, max_broadcast), "rid", "left_semi")
-    need = need.groupBy("rid").agg(F.first("text").alias("text"))
-    one = salted_join(edges, need.withColumnsRenamed({"rid": "a", "text": "ta"}), "a", rows=m)
-    two = salted_join(one, need.withColumnsRenamed({"rid": "b", "text": "tb"}), "b", rows=m)
-    return two.select("a", "b", "ta", "tb").mapInPandas(_jaccard(k), "a long, b long, similarity double").where(F.col("similarity") >= threshold - 1e-12)
+def _spread(edges: DataFrame, block: int) -> DataFrame:
+    """(hub, whole, b, blocks): the classes around each hub, itself with them, dealt into blocks of about `block`."""
+    size = edges.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    many = size.where("blocks > 1")
+    e = salted_join(edges, many, "hub", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    e = e.withColumn("b", F.pmod(F.xxhash64("whole"), F.col("blocks")).cast("int")).select("hub", "whole", "b", "blocks")
+    return e.unionByName(size.select("hub", F.col("hub").alias("whole"), F.lit(-1).alias("b"), "blocks"))
+
+
+def _compare(rows: DataFrame, texts: DataFrame, k: int, threshold: float, joined: bool) -> DataFrame:
+    """rows (hub, p, q, side, whole) with the texts (whole, text) of their classes, compared around each (hub, p, q)."""
+    r = rows.join(texts, "whole").select("hub", "p", "q", "side", "whole", "text").repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q")
+    return r.mapInPandas(_around(k, threshold, joined), "a long, b long, hub long, apart boolean" if joined else "a long, b long, similarity double")
+
+
+def _every_block(e: DataFrame, here: str = "b") -> tuple:
+    """Where a class of block b meets the other blocks: with the lower number first, and on the side it comes from."""
+    j = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")
+    d = e.select("hub", "whole", "b", j)
+    side = F.when(F.col("b") == F.col("j"), 0).when(F.col("b") < F.col("j"), 1).otherwise(2)
+    return d.select("hub", F.least("b", "j").alias("p"), F.greatest("b", "j").alias("q"), side.alias("side"), "whole")
+
+
+def _links(edges: DataFrame, texts: DataFrame, k: int, threshold: float, block: int) -> DataFrame:
+    """All links (a, b, similarity) of classes that share a bucket."""
+    e = _spread(edges, block)
+    # the hub is dealt into a block like any other class
+    e = e.withColumn("b", F.when(F.col("b") < 0, F.pmod(F.xxhash64("whole"), F.col("blocks")).cast("int")).otherwise(F.col("b")))
+    return _compare(_every_block(e), texts, k, threshold, False).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+
+def _joined(edges: DataFrame, texts: DataFrame, k: int, threshold: float, block: int) -> DataFrame:
+    """Edges (a, b) that hang together exactly the classes that links would."""
+    e = durable(_spread(edges, block))
+    with_hub = F.when(F.col("b") < 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("b"))
+    first = e.select("hub", F.explode(with_hub).alias("p"), "whole").select("hub", "p", F.lit(0).alias("q"), F.lit(0).alias("side"), "whole")
+    met = durable(_compare(first, texts, k, threshold, True))
+    out = met.select("a", "b")
+    # classes of hubs with several blocks that are apart from their hub meet all its other blocks
+    many = e.where("blocks > 1 and b >= 0")
+    apart = many.join(met.where("apart").select("hub", F.col("a").alias("whole")).distinct(), ["hub", "whole"], "left_semi")
+    if not apart.isEmpty():
+        left = apart.select("hub", "whole", F.col("b").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+        there = apart.select("hub", F.col("b").alias("i")).distinct()
+        right = many.select("hub", "whole", F.col("b").alias("j")).join(there, "hub").select("hub", "whole", "i", "j")
+        rows = left.where("i <> j").select("hub", F.col("i").alias("p"), F.col("j").alias("q"), F.lit(1).alias("side"), "whole")
+        rows = rows.unionByName(right.where("i <> j").select("hub", F.col("i").alias("p"), F.col("j").alias("q"), F.lit(2).alias("side"), "whole"))
+        out = out.unionByName(_compare(rows, texts, k, threshold, True).select("a", "b"))
+    return out.where("a <> b").distinct()
+
+
+def _prepare(df: DataFrame, key: str, text: str, shingle: int, min_words: int, bins: int, rows: int, bands: int, scope: str | None):
+    """Records (rid, scope, key, text), their classes (rid, whole), star edges, and the texts (whole, text) of the classes
+    that have an edge."""
+    zone = F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit("")
+    src = df.select(zone.alias("scope"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
+    src = src.withColumn("rid", F.xxhash64("key", "scope") if scope else F.xxhash64("key"))
+    signed = src.select("rid", F.xxhash64("scope").alias("apart"), "text").mapInPandas(_sign(shingle, min_words, bins, rows, bands), "a long, b long, s int")
+    whole, edges = _met(signed)
+    edges = durable(edges)
+    ends = edges.select("whole").unionByName(edges.select(F.col("hub").alias("whole"))).distinct()
+    whole = durable(whole)
+    speaks = durable(whole.groupBy("whole").agg(F.min("rid").alias("rid")).join(ends, "whole", "left_semi"))
+    near = may_contain(src.select("rid", "text"), "rid", speaks, "rid")
+    texts = durable(near.join(speaks, "rid").groupBy("whole").agg(F.first("text").alias("text")))
+    return src, whole, edges, texts
 
 
 def near_duplicates(
@@ -269,9 +349,8 @@ def near_duplicates(
     bins: int = 128,
     rows: int = 5,
     bands: int = 44,
-    max_broadcast: int = 2_000_000,
     scope: str | None = None,
-    block: int = 512,
+    block: int = 256,
 ) -> tuple[DataFrame, DataFrame]:
     """Links (key_a, key_b, similarity) between classes, and members (key, class_key). With a scope column both
     begin with it: keys are told apart by it, and records of different scopes are not compared.
@@ -279,49 +358,56 @@ def near_duplicates(
     A class is the set of records with equal distinct shingles, named by one of its records; its members
     are alike with similarity 1 and are not paired with each other. Every other link has key_a < key_b.
     """
-    zone = F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit("")
-    src = df.select(zone.alias("scope"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
-    src = src.withColumn("rid", F.xxhash64("key", "scope") if scope else F.xxhash64("key"))
-    signed = src.select("rid", F.xxhash64("scope").alias("apart"), "text").mapInPandas(_sign(shingle, min_words, bins, rows, bands), "a long, b long, s int")
-    whole, pairs = _candidates(signed, block)
-    named = durable(whole.groupBy("whole").agg(F.min("rid").alias("cls")))
-    classes = durable(whole.join(named, "whole").select("rid", "cls"))
-    texts = src.select("rid", "text")
-    pairs = durable(pairs)
-    m = pairs.count()
-    one = salted_join(pairs, named.withColumnsRenamed({"whole": "a", "cls": "ca"}), "a", rows=m)
-    two = salted_join(one, named.withColumnsRenamed({"whole": "b", "cls": "cb"}), "b", rows=m)
-    tried = durable(two.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")))
-    links = fresh = durable(_verify(tried, texts, shingle, threshold, max_broadcast))
-    while not fresh.isEmpty():
-        both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        new = fresh.select("a", "b").unionByName(fresh.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        wedges = salted_join(new.withColumnsRenamed({"a": "m", "b": "x"}), both.withColumnsRenamed({"a": "m", "b": "y"}), "m", rows=2 * fresh.count())
-        wedges = wedges.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        more = durable(wedges.join(tried, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            break
-        fresh = durable(_verify(more, texts, shingle, threshold, max_broadcast))
-        links, tried = links.unionByName(fresh), tried.unionByName(more)
-    names = src.select("rid", "scope", "key").distinct()
-    other = names.select("rid", F.col("key").alias("other"))
-    members = salted_join(classes.join(names, "rid"), other.withColumnsRenamed({"rid": "cls", "other": "class_key"}), "cls", rows=classes.count())
-    linked = links.join(names.withColumnsRenamed({"rid": "a", "key": "ka"}), "a").join(other.withColumnsRenamed({"rid": "b", "other": "kb"}), "b")
+    src, whole, edges, texts = _prepare(df, key, text, shingle, min_words, bins, rows, bands, scope)
+    links = durable(_links(edges, texts, shingle, threshold, block))
+    records = durable(whole.join(src.select("rid", "scope", "key").distinct(), "rid"))
+    named = durable(records.groupBy("whole").agg(F.min("key").alias("class_key")))
+    members = salted_join(records, named, "whole")
+    linked = links.join(named.withColumnsRenamed({"whole": "a", "class_key": "ka"}), "a").join(named.withColumnsRenamed({"whole": "b", "class_key": "kb"}), "b")
     lead = ["scope"] if scope else []
+    if scope:
+        linked = linked.join(records.groupBy(F.col("whole").alias("a")).agg(F.first("scope").alias("scope")), "a")
     return (
         linked.select(*lead, F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity"),
         members.select(*lead, "key", "class_key"),
     )
 
 
-def expand_pairs(links: DataFrame, members: DataFrame) -> DataFrame:
+def groups(
+    df: DataFrame,
+    key: str,
+    text: str,
+    threshold: float = 0.8,
+    shingle: int = 5,
+    min_words: int = 1,
+    bins: int = 128,
+    rows: int = 5,
+    bands: int = 44,
+    scope: str | None = None,
+    block: int = 256,
+) -> DataFrame:
+    """([scope,] key, group_key, group_size) of each record that hangs together with another one by links, or is its copy.
+    group_key is the least key of the group."""
+    src, whole, edges, texts = _prepare(df, key, text, shingle, min_words, bins, rows, bands, scope)
+    comp = connected_components(_joined(edges, texts, shingle, threshold, block))
+    records = durable(whole.join(src.select("rid", "scope", "key").distinct(), "rid"))
+    at = salted_join(records, comp.select(F.col("node").alias("whole"), "component"), "whole", "left")
+    at = durable(at.select("scope", "key", F.coalesce("component", "whole").alias("g")))
+    size = at.groupBy("g").agg(F.min("key").alias("group_key"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    return salted_join(at, size, "g").select(*["scope"] * bool(scope), "key", "group_key", "group_size")
+
+
+def expand_pairs(links: DataFrame, members: DataFrame, salts: int = 64) -> DataFrame:
     """All alike pairs of records (key_a < key_b): links between classes times their members, and the
-    pairs within a class. Its size is that of the result asked for."""
+    pairs within a class. Its size is that of the result asked for; the members of a class are dealt over `salts`."""
     lead = ["scope"] if "scope" in members.columns else []
     m = members.select(*lead, F.col("class_key").alias("ca"), F.col("key").alias("x"))
     n = members.select(*lead, F.col("class_key").alias("cb"), F.col("key").alias("y"))
     between = links.select(*lead, F.col("key_a").alias("ca"), F.col("key_b").alias("cb")).join(m, [*lead, "ca"]).join(n, [*lead, "cb"]).select(*lead, "x", "y")
-    many = members.groupBy(*lead, "class_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*lead, F.col("class_key").alias("ca"))
-    within = m.join(many, [*lead, "ca"], "left_semi")
-    within = within.join(within.withColumnsRenamed({"x": "y"}), [*lead, "ca"]).where("x < y").select(*lead, "x", "y")
+    many = members.groupBy(*lead, F.col("class_key").alias("ca")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    parts = F.when(F.col("n") > 1000, salts).otherwise(1)
+    within = m.join(many, [*lead, "ca"]).withColumn("parts", parts)
+    left = within.select(*lead, "ca", "x", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("salt"))
+    right = within.select(*lead, "ca", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
+    within = left.join(right, [*lead, "ca", "salt"]).where("x < y").select(*lead, "x", "y")
     return between.unionByName(within).select(*lead, F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).where("key_a < key_b").distinct()

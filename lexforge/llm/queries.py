@@ -34,21 +34,9 @@ def p2_found(spark, d):
 
 
 def p2_groups(spark, d):
-    """Group of every record that is like another one at the usual setting (five words, 0.8), with its number of links."""
-    from ..operators.components import connected_components
-
-    links, members = near_duplicates.near_duplicates(_texts(spark, d), "key", "text", scope="table_name")
-    node = lambda c: F.concat_ws("\t", "scope", c)
-    groups = connected_components(links.select(node("key_a").alias("a"), node("key_b").alias("b")))
-    groups = groups.select(F.col("node").alias("at"), F.substring_index("component", "\t", -1).alias("group_key"))
-    many = members.groupBy("scope", "class_key").agg(F.count(F.lit(1)).alias("copies"))
-    ends = links.select("scope", F.explode(F.array("key_a", "key_b")).alias("class_key")).groupBy("scope", "class_key").agg(F.count(F.lit(1)).alias("links"))
-    m = members.join(many, ["scope", "class_key"]).join(ends, ["scope", "class_key"], "left").withColumn("at", node("class_key"))
-    m = m.join(groups, "at", "left").where("copies > 1 or links > 0")
-    return m.select(
-        F.col("scope").alias("table_name"), F.col("key").alias("record_key"), F.coalesce("group_key", "class_key").alias("group_key"),
-        F.col("class_key"), F.coalesce("links", F.lit(0)).cast("long").alias("links"),
-    )
+    """Group of every record that is like another one, or its copy, at the usual setting (five words, 0.8)."""
+    out = near_duplicates.groups(_texts(spark, d), "key", "text", scope="table_name")
+    return out.select(F.col("scope").alias("table_name"), F.col("key").alias("record_key"), "group_key", "group_size")
 
 
 LIMITS = {"works": 8000, "text_units": 2000}

@@ -191,12 +191,12 @@ def _probabilities(grams: DataFrame, low: np.ndarray, n_grams: int, n_words: int
     """(a, b, low, one) of every bigram, as Model has them: contexts that never follow a word are one context."""
     words = durable(grams.groupBy("b").agg(F.count(F.lit(1)).alias("cont")))
     d = F.when(F.col("n") == 1, float(low[0])).when(F.col("n") == 2, float(low[1])).otherwise(float(low[2]))
-    g = salted_join(grams, words.select(F.col("b").alias("a"), F.lit(True).alias("known")), "a", "left", rows=n_grams)
+    g = salted_join(grams, words.select(F.col("b").alias("a"), F.lit(True).alias("known")), "a", "left")
     g = durable(g.select("a", "b", F.when(F.col("known"), F.col("a")).otherwise(F.lit(0)).alias("ctx"), "n", d.alias("d")))
     total = g.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("spare"))
     kept = g.groupBy("ctx", "b").agg(F.sum(F.col("n") - F.col("d")).alias("kept"))
-    g = salted_join(g.select("ctx", "a", "b").join(kept, ["ctx", "b"]), total, "ctx", rows=n_grams)
-    g = salted_join(g, words, "b", rows=n_grams)
+    g = salted_join(g.select("ctx", "a", "b").join(kept, ["ctx", "b"]), total, "ctx")
+    g = salted_join(g, words, "b")
     one = (F.col("cont") + 0.5) / (n_grams + 0.5 * (n_words + 1))
     return g.select("a", "b", (F.col("kept") / F.col("total") + F.col("spare") / F.col("total") * one).alias("low"), one.alias("one"))
 

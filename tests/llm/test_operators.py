@@ -202,7 +202,7 @@ def test_near_duplicates_in_families_below_the_threshold(spark):
     like = lambda a, b: len(s[a] & s[b]) / len(s[a] | s[b])
     want = {(f"f{k}-{i:02}", f"f{k}-{i + 1:02}") for k in range(6) for i in range(0, 60, 2)}
     assert min(like(*p) for p in want) > 0.7 and like("f0-00", "f0-02") < 0.59
-    for block in ({}, {"block": 4}):  # whole buckets, and buckets in blocks
+    for block in ({}, {"block": 4}):  # whole hubs, and hubs in blocks
         links, _ = near_duplicates.near_duplicates(table(spark, rows), "id", "t", 0.65, 3, 25, **block)
         assert {(x.key_a, x.key_b) for x in links.collect()} == want
 
@@ -220,3 +220,18 @@ def test_more_headings_than_the_former_cap(spark):
     lines = ["".join(f"it goes\nHead {w}\non so\n" for w in words[i::100]) for i in range(100)]
     d = spark.createDataFrame([(t,) for t in lines * 5], "text string").repartition(4)
     assert len(noise.fit(d).headings) == 50_100
+
+
+def test_near_duplicate_groups_are_the_components_of_the_links(spark):
+    r = random.Random(11)
+    rows = [(f"k{i}", t) for i, t in enumerate(texts(12, 60))] + [(f"f-{i:02}", t) for i, t in enumerate(_family(r, 40, 152, 60, 24))] + DIRT
+    rows += [("c1", rows[4][1]), ("c2", rows[4][1])]
+    for block in ({}, {"block": 4}):
+        links, members = near_duplicates.near_duplicates(table(spark, rows), "id", "t", 0.65, 3, 25, **block)
+        pairs = [tuple(x) for x in near_duplicates.expand_pairs(links, members).collect()]
+        at = {k: k for p in pairs for k in p}
+        for _ in at:
+            for a, b in pairs:
+                at[a] = at[b] = min(at[a], at[b])
+        got = {x.key: (x.group_key, x.group_size) for x in near_duplicates.groups(table(spark, rows), "id", "t", 0.65, 3, 25, **block).collect()}
+        assert got == {k: (g, sum(v == g for v in at.values())) for k, g in at.items()} and len(got) > 40
