@@ -11,8 +11,8 @@ neither item is on more than records / min_lift records; items beyond are left o
 follow from the definitions, so no asked-for pair is lost.
 
 Defined cases: null and blank records or items do not count; repeated (record, item) rows count once; a
-record with one item gives no pair, whatever its size a record is never held whole: items are paired block
-by block; an empty table gives no rows; extra columns are ignored.
+record with one item gives no pair; whatever its size a record is never held whole, as its blocks of about
+BLOCK items meet two by two; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -84,15 +84,18 @@ def together(df: DataFrame, record: Column, item: Column, min_count: int = 1, mi
     part = items.withColumn("p", F.pmod(F.xxhash64("x"), F.lit(4096)).cast("int"))
     rank = F.row_number().over(Window.partitionBy("p").orderBy("x")) - 1
     coded = durable(part.select("x", "n", (F.shiftleft(rank, 12).bitwiseOR(F.col("p"))).cast("long").alias("code")))
-    k = salted_join(rows, coded.select("x", "code"), "x").select("r", "code")
-    place = F.floor((F.row_number().over(Window.partitionBy("r").orderBy("code")) - 1) / BLOCK)
-    blocks = k.withColumn("b", place).groupBy("r", "b").agg(F.collect_list("code").alias("xs"))
-    pairs = blocks.alias("u").join(
-        blocks.withColumnsRenamed({"r": "r2", "b": "b2", "xs": "ys"}), (F.col("r") == F.col("r2")) & (F.col("b") <= F.col("b2"))
-    ).select("xs", "ys", (F.col("b") == F.col("b2")).alias("same"))
+    k = durable(salted_join(rows, coded.select("x", "code"), "x").select("r", "code"))
+    # a record of more than BLOCK items is dealt into blocks by a hash, and each two of its blocks meet in a task of their own
+    many = k.groupBy("r").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    k = salted_join(k, many, "r", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    k = k.select("r", "code", F.pmod(F.xxhash64("code"), F.col("blocks")).cast("int").alias("b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    p, q = F.least("b", "j"), F.greatest("b", "j")
+    own, other = (F.collect_list(F.when(c, F.col("code"))) for c in (F.col("b") == F.col("p"), F.col("b") != F.col("p")))
+    met = k.select("r", "code", "b", p.alias("p"), q.alias("q")).groupBy("r", "p", "q").agg(own.alias("xs"), other.alias("ys"))
+    pairs = met.select("xs", "ys", (F.col("p") == F.col("q")).alias("same"))
     codes = pairs.mapInPandas(_pair_blocks, "code long, n long")
     counted = codes.repartition("code").sortWithinPartitions("code").mapInArrow(_run_lengths, "code long, n long")
-    counted = counted.where(F.col("n") >= min_count).select(F.shiftright("code", 32).alias("ca"), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)).alias("cb"), "n")
+    counted = counted.where(F.col("n") >= min_count).select(F.shiftrightunsigned("code", 32).alias("ca"), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)).alias("cb"), "n")
     a = coded.select(F.col("code").alias("ca"), F.col("x").alias("xa"), F.col("n").alias("na"))
     b = coded.select(F.col("code").alias("cb"), F.col("x").alias("xb"), F.col("n").alias("nb"))
     j = counted.join(a, "ca").join(b, "cb")

@@ -6,14 +6,14 @@ placeholder; the hash of `window` canonical words is a template window. Names ar
 themselves write with a capital inside a sentence and never in small letters; as the list is applied to
 lower-cased words on both sides, equal words always give equal templates.
 
-The templates of the items (a held-out set, small by nature) are broadcast if they are at most
-`max_windows`; the documents' windows are tested against them where they are made, and the few that hit are
-hash-joined with the items. A set larger than that is joined by a shuffle of all windows. The slots of each
-hit are then compared: the same words in all slots is a verbatim leak; other words, the same for the same
-item word throughout the hit, is a re-parameterised one; anything else is no leak.
-
-Defined cases: null and empty texts hold nothing; items shorter than the window cannot leak; null ids keep
-a null id; repeated rows give one result; an empty table on either side gives no rows; extra columns are
+The documents' windows are tested against a bitmap of the items' templates (its size has a bound, see bitmap.py)
+where they are made, and the few that pass are hash-joined with the items. Where a window and an item's window have
+equal words in all slots the item has leaked verbatim. Otherwise all windows of a document that lie at the same distance
+from the item's own form one copy, and the item is re-parameterised there if over the whole copy each item word in a
+slot stands for one word of the document and the other way round; anything else is no leak.
+
+Defined cases: null and empty texts hold nothing, null ids are no records; items shorter than the window have no
+window and so no leak by definition; repeated rows give one result; an empty table on either side gives no rows; extra columns are
 ignored.
 """
 
@@ -23,7 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from . import hashing as H
+from ..session import bounded_broadcast, durable
+from . import bitmap, hashing as H
 
 U64 = np.uint64
 #: Units of measure, time and money (fixed values, in small letters).
@@ -62,12 +63,11 @@ def canonical(texts, names: np.ndarray, units: np.ndarray):
     return h, c, number | name | unit, off
 
 
-def _windows(column: str, window: int, names: list[str], wanted):
-    """Rows (id, tmpl, words, slots) of the windows whose template is wanted; all of them if wanted is None."""
+def _windows(column: str, window: int, names: list[str], wanted, blocks: int):
+    """Rows (id, at, tmpl, slots) of the windows whose template is wanted; all of them if wanted is None."""
 
     def run(frames):
         nm, un = _word_hashes(names), _word_hashes(UNITS)
-        among = None if wanted is None else wanted.value
         for f in H.batches(frames, column):
             h, c, slot, off = canonical(f[column].tolist(), nm, un)
             g = H.windows(c, window)
@@ -75,50 +75,42 @@ def _windows(column: str, window: int, names: list[str], wanted):
                 continue
             doc = np.repeat(np.arange(len(f)), np.diff(off))
             ok = doc[: len(g)] == doc[window - 1 :]
-            if among is not None:
-                ok &= _isin(g, among)
+            if wanted is not None:
+                ok &= bitmap.has(wanted.value, g.view(np.int64), blocks)
             at = np.flatnonzero(ok)
             if not len(at):
                 continue
             grid = at[:, None] + np.arange(window)
             slots = np.where(slot[grid], h[grid], U64(0)).view(np.int64)
-            yield pd.DataFrame({"id": f["id"].to_numpy()[doc[at]], "tmpl": g[at].view(np.int64), "slots": list(slots)})
+            yield pd.DataFrame({"id": f["id"].to_numpy()[doc[at]], "at": at - off[doc[at]], "tmpl": g[at].view(np.int64), "slots": list(slots)})
 
     return run
 
 
-def _slot_kind(frames):
-    for f in frames:
-        if not len(f):
-            continue
-        kinds = []
-        for a, b in zip(f["slots"], f["item_slots"]):
-            if np.array_equal(a, b):
-                kinds.append("verbatim")
-                continue
-            there, back, ok = {}, {}, True
-            for x, y in zip(list(a), list(b)):
-                ok = ok and there.setdefault(y, x) == x and back.setdefault(x, y) == y
-            kinds.append("reparameterised" if ok else "inconsistent")
-        yield pd.DataFrame({"id": f["id"].to_numpy(), "item_id": f["item_id"].to_numpy(), "kind": kinds})
+def slot_kinds(hits: DataFrame) -> DataFrame:
+    """hits (id, item_id, copy, slots, item_slots): (id, item_id, kind) of the pairs with a verbatim window or a copy
+    whose slots are consistent."""
+    verbatim = hits.where("slots = item_slots").select("id", "item_id").distinct()
+    pairs = hits.select("id", "item_id", "copy", F.explode(F.arrays_zip("slots", "item_slots")).alias("x")).where("x.slots <> 0")
+    pairs = pairs.select("id", "item_id", "copy", F.col("x.slots").alias("x"), F.col("x.item_slots").alias("y")).distinct()
+    one = pairs.groupBy("id", "item_id", "copy").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("x").alias("nx"), F.countDistinct("y").alias("ny"), F.max(F.col("x") != F.col("y")).alias("other"))
+    copies = one.where("other and n = nx and n = ny").select("id", "item_id").distinct()
+    return verbatim.withColumn("kind", F.lit("verbatim")).unionByName(copies.join(verbatim, ["id", "item_id"], "left_anti").withColumn("kind", F.lit("reparameterised")))
+
 
+def leaked_items(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, window: int = 15, blocks: int = 1 << 23, max_broadcast: int = 1_000_000) -> DataFrame:
+    """(doc_id, item_id, kind) with kind 'verbatim' or 'reparameterised'; a pair that is both is verbatim.
 
-def leaked_items(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, window: int = 15, max_windows: int = 4_000_000) -> DataFrame:
-    """(doc_id, item_id, kind) with kind 'verbatim' or 'reparameterised'; a pair that is both is verbatim."""
+    blocks: of the bitmap, a power of two. Up to max_broadcast item windows are broadcast, more are joined by a shuffle.
+    """
     spark = docs.sparkSession
-    it = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
-    d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("text is not null")
+    it = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).where("text is not null and id is not null")
+    d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("text is not null and id is not null")
     names = item_names(it, "text")
-    schema = "id long, tmpl long, slots array<long>"
-    of_items = it.mapInPandas(_windows("text", window, names, None), schema).distinct()
-    n = of_items.select("tmpl").distinct().count()
-    wanted = None
-    if n <= max_windows:
-        pdf = of_items.select("tmpl").distinct().toPandas()
-        wanted = spark.sparkContext.broadcast(np.sort(pdf["tmpl"].to_numpy(np.int64).view(U64)))
-    of_docs = d.mapInPandas(_windows("text", window, names, wanted), schema)
-    right = of_items.withColumnsRenamed({"id": "item_id", "slots": "item_slots"})
-    hits = of_docs.join(F.broadcast(right) if n <= max_windows else right, "tmpl")
-    kinds = hits.select("id", "item_id", "slots", "item_slots").mapInPandas(_slot_kind, "id long, item_id long, kind string")
-    best = kinds.where("kind <> 'inconsistent'").groupBy("id", "item_id").agg(F.max("kind").alias("kind"))
-    return best.select(F.col("id").alias("doc_id"), "item_id", "kind")
+    schema = "id long, at int, tmpl long, slots array<long>"
+    of_items = durable(it.mapInPandas(_windows("text", window, names, None, blocks), schema).distinct())
+    wanted = spark.sparkContext.broadcast(bitmap.of_keys(of_items.select(F.col("tmpl").alias("k")), blocks))
+    of_docs = d.mapInPandas(_windows("text", window, names, wanted, blocks), schema)
+    right = of_items.withColumnsRenamed({"id": "item_id", "slots": "item_slots", "at": "item_at"})
+    hits = of_docs.join(bounded_broadcast(right, right.count(), max_broadcast), "tmpl").select("id", "item_id", (F.col("at") - F.col("item_at")).alias("copy"), "slots", "item_slots")
+    return slot_kinds(durable(hits)).select(F.col("id").alias("doc_id"), "item_id", "kind")

@@ -6,7 +6,8 @@ tokens go one by one to the source with the highest quotient share / (2 seats +
 documents, each used max_repeats times, hold no further block, and the rest goes to the others, so the shares
 reached are reported beside the targets. Each source's quota is apportioned in the same way to its shards
 (hash of the record id, a number of shards that grows with the source), and inside a shard whole passes are
-taken first, then the documents in seeded order until the quota is reached. No document is cut.
+taken first, then the documents in seeded order until the quota is reached. A block is thus a unit of account: what is
+selected is whole documents, as many as fill the shard's blocks, and no document is cut.
 
 Defined cases: source names are compared trimmed and in small letters; documents of unlisted, null or blank
 sources and those with null or empty text take no part; null max_repeats counts as 1, null or negative shares
@@ -27,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import durable
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splits text into pre-tokens (fixed value of the public vocabulary).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 _encoders: dict[str, object] = {}
@@ -55,7 +55,7 @@ def _count(path: str):
     return run
 
 
-def token_counts(docs: DataFrame, doc_id: str, text: str, source: Column, path: str = TOKENIZER) -> DataFrame:
+def token_counts(docs: DataFrame, doc_id: str, text: str, source: Column, path: str) -> DataFrame:
     """(id, source, tokens) of each row with a source and a text."""
     d = docs.select(F.col(doc_id).cast("string").alias("id"), source.alias("source"), F.col(text).cast("string").alias("text"))
     d = d.where("id is not null and source is not null and length(text) > 0")
@@ -63,18 +63,28 @@ def token_counts(docs: DataFrame, doc_id: str, text: str, source: Column, path:
 
 
 def sainte_lague(weights: list[float], seats: int, most: list[int] | None = None) -> list[int]:
-    """Seats by highest quotients w / (2s + 1), none beyond `most`; ties go to the earlier one."""
-    got = [0] * len(weights)
+    """Seats by highest quotients w / (2s + 1), none beyond `most`; ties go to the earlier one.
+
+    The quotient of the last seat is found by bisection, so the work does not grow with the number of seats, whether or
+    not some are capped; what rounding and ties leave over is given one by one.
+    """
     most = most if most is not None else [seats] * len(weights)
-    total = sum(w for w, m in zip(weights, most) if m > 0 and w > 0)
-    if total <= 0:
-        return got
-    # the bulk at once: nobody's final seats are less than the floor of its quota less one, unless capped
-    for i, w in enumerate(weights):
-        if w > 0:
-            got[i] = max(0, min(most[i], int(seats * w / total) - 1))
+    open_ = [i for i, w in enumerate(weights) if w > 0 and most[i] > 0]
+    if sum(most[i] for i in open_) <= seats:
+        return [most[i] if i in set(open_) else 0 for i in range(len(weights))]
+
+    def at(q: float) -> list[int]:
+        return [min(most[i], int((weights[i] / q + 1) / 2)) if w > 0 and most[i] > 0 else 0 for i, w in enumerate(weights)]
+
+    low, high = 0.0, 2 * max(weights[i] for i in open_)  # at(high) gives none, at(low) too many
+    for _ in range(200):
+        mid = (low + high) / 2
+        if mid in (low, high):
+            break
+        low, high = (low, mid) if sum(at(mid)) <= seats else (mid, high)
+    got = at(high)
     left = seats - sum(got)
-    heap = [(-w / (2 * got[i] + 1), i) for i, w in enumerate(weights) if w > 0 and got[i] < most[i]]
+    heap = [(-weights[i] / (2 * got[i] + 1), i) for i in open_ if got[i] < most[i]]
     heapq.heapify(heap)
     while left > 0 and heap:
         _, i = heapq.heappop(heap)
@@ -86,11 +96,14 @@ def sainte_lague(weights: list[float], seats: int, most: list[int] | None = None
 
 
 def mix_sources(
-    docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFrame, block: int = 1024, total_tokens: int | None = None,
-    shard_tokens: int = 20_000_000, seed: int = 17, path: str = TOKENIZER,
+    docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFrame, path: str, block: int = 1024, total_tokens: int | None = None,
+    shard_tokens: int = 20_000_000, max_shards: int = 4096, seed: int = 17,
 ) -> tuple[DataFrame, DataFrame]:
     """Selection (id, source, tokens, uses) and report (source, target_share, available_tokens, blocks,
-    selected_tokens, actual_share)."""
+    selected_tokens, actual_share).
+
+    path: the vocabulary file, where every worker can read it. A source has at most max_shards shards, which are larger
+    where it would need more, so the plan of quotas that goes to all tasks has at most sources x max_shards rows."""
     spark = docs.sparkSession
     name = lambda c: F.lower(F.trim(F.regexp_replace(c, "[\\t\\u00a0]", " ")))
     goal = targets.select(name(F.col("source")).alias("source"), F.greatest(F.coalesce("target_share", F.lit(0.0)), F.lit(0.0)).alias("share"), F.coalesce("max_repeats", F.lit(1)).alias("most"))
@@ -103,11 +116,11 @@ def mix_sources(
     names = sorted(goals)
     total = total_tokens if total_tokens is not None else sum(size.values())
     quota = sainte_lague([goals[s][0] for s in names], total // block, [goals[s][1] * size.get(s, 0) // block for s in names])
-    shards = {s: max(1, -(-size.get(s, 0) // shard_tokens)) for s in names}
+    shards = {s: min(max_shards, max(1, -(-size.get(s, 0) // shard_tokens))) for s in names}
     n_shards = F.element_at(F.from_json(F.lit(json.dumps(shards)), "map<string,long>"), F.col("source"))
     placed = counted.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(seed)), n_shards))
     sizes: dict[str, list[tuple[int, int]]] = {}
-    for r in placed.groupBy("source", "shard").agg(F.sum("tokens").alias("t")).collect():  # bounded: total / shard_tokens
+    for r in placed.groupBy("source", "shard").agg(F.sum("tokens").alias("t")).collect():  # at most sources x max_shards rows
         sizes.setdefault(r["source"], []).append((r["shard"], r["t"]))
     plan = []
     for s, q in zip(names, quota):

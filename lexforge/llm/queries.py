@@ -52,6 +52,18 @@ def p3_pieces(spark, d):
     return _both(spark, d, f).select("table_name", F.col("key").alias("record_key"), "piece", "pieces", "start", "text")
 
 
+def p3_whole(spark, d):
+    """Whether the pieces of each record keep the limit, share 100 characters with the piece before and make up its text."""
+    out = p3_pieces(spark, d).withColumn("limit", F.when(F.col("table_name") == "works", LIMITS["works"]).otherwise(LIMITS["text_units"]))
+    own = F.when(F.col("piece") == 1, F.col("text")).otherwise(F.substring("text", 101, 1 << 30))
+    begins = F.struct(F.col("piece"), F.substring("text", 1, 100).alias("head"), F.expr("right(text, 100)").alias("tail"), own.alias("own"))
+    g = out.groupBy("table_name", "record_key").agg(F.array_sort(F.collect_list(begins)).alias("p"), F.max(F.length("text") - F.col("limit")).alias("over"))
+    n = F.size("p")
+    follow = F.forall(F.sequence(F.lit(2), n), lambda i: F.element_at(F.col("p"), i)["head"] == F.element_at(F.col("p"), i - 1)["tail"])
+    whole = F.array_join(F.transform("p", lambda x: x["own"]), "")
+    return g.select("table_name", "record_key", (F.col("over") <= 0).alias("within"), follow.alias("shares"), F.length(whole).cast("long").alias("length"), F.md5(whole).alias("digest"))
+
+
 def p4_found(spark, d):
     return cooccurrence.labels_together(table(spark, d, "eurovoc"), "celex_id", "eurovoc_label").select("label_a", "label_b")
 
@@ -96,8 +108,13 @@ def p7_leaks(spark, d):
     return _leaks(spark, d)
 
 
+def _vocabulary(spark) -> str:
+    """The vocabulary file that the session names, else the one of this box."""
+    return spark.conf.get("spark.lexforge.tokenizer", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
 def _mix(spark, d):
-    return mixing.mix_sources(_documents(spark, d, "source"), "doc_id", "text", "source", table(spark, d, "mix_targets"))
+    return mixing.mix_sources(_documents(spark, d, "source"), "doc_id", "text", "source", table(spark, d, "mix_targets"), _vocabulary(spark))
 
 
 def p8_mix(spark, d):
@@ -118,7 +135,7 @@ def p9_scores(spark, d):
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_groups, p3_found, p3_pieces, p4_found, p4_pairs, p5_found, p5_repaired, p6_found, p6_shared, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_scores)
+    for f in (p2_found, p2_groups, p3_found, p3_pieces, p3_whole, p4_found, p4_pairs, p5_found, p5_repaired, p6_found, p6_shared, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_scores)
 }
 
 _E = """with e as (select distinct upper(trim(celex_id, ' ' || chr(9) || chr(160))) as r,
@@ -139,8 +156,19 @@ _P6 = f"""with r as ({_ROWS_SQL}), w as (select tn, k, regexp_extract_all(text,
 g as (select distinct tn, k, hash(w[i:i+29]) as h from w, unnest(range(1, greatest(len(w) - 28, 1))) u(i) where len(w) >= 30),
 s as (select tn, h from g group by tn, h having count(distinct k) > 1)
 select distinct tn as table_name, k as record_key from g join s using (tn, h)"""
+_P2_GROUPS = f"""with recursive r as ({_ROWS_SQL}), w as (select tn, k, {_W} as w from r),
+g as (select distinct tn, k, hash(w[i:i+4]) as h from w, unnest(range(1, len(w) - 3)) u(i) where len(w) >= 5),
+n as (select tn, k, count(*) as n from g group by tn, k),
+c as (select a.tn, a.k as ka, b.k as kb, count(*) as c from g a join g b on a.tn = b.tn and a.h = b.h and a.k <> b.k group by 1, 2, 3),
+e as (select c.tn, ka, kb from c join n x on x.tn = c.tn and x.k = ka join n y on y.tn = c.tn and y.k = kb where c >= 0.8 * (x.n + y.n - c)),
+t as (select tn, ka, kb from e union select t.tn, t.ka, e.kb from t join e on t.tn = e.tn and t.kb = e.ka)
+select tn as table_name, ka as record_key, min(kb) as group_key, count(*) as group_size from t group by 1, 2"""
 SQL = {
+    "p2_groups": _P2_GROUPS,
     "p3_found": "select distinct 'works' as table_name, celex_id as record_key from works where length(full_text) > 8000 and celex_id is not null union all select distinct 'text_units', cast(id as varchar) from text_units where length(text) > 2000 and id is not null",
+    "p3_whole": """with r as (select distinct 'works' as table_name, celex_id as record_key, full_text as t from works where length(full_text) > 8000 and celex_id is not null
+union all select 'text_units', cast(id as varchar), min(text) from text_units where length(text) > 2000 and id is not null group by id)
+select table_name, record_key, true as within, true as shares, length(t) as length, md5(t) as digest from r""",
     "p4_found": _E + "select label_a, label_b from p join n na on na.x = label_a join n nb on nb.x = label_b, t where c >= 5 and c * t >= 3 * na.n * nb.n",
     "p4_pairs": _E
     + """select label_a, label_b, c as n_both, na.n as n_a, nb.n as n_b, t as n_records, round(c::double * t / (na.n::double * nb.n), 6) as lift,

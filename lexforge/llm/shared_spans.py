@@ -5,7 +5,9 @@ kept, the least hash of every stretch of min_tokens/2 + 1 consecutive windows. A
 holds such a stretch whole, and its anchor depends on nothing outside it, so two records that share the
 span share the anchor: no span is lost. Anchors that one record alone has are dropped.
 Level 2 (the given length): only windows of min_tokens tokens around a repeated anchor are hashed, and
-those that are in another record too are the shared windows.
+those that are in another record too are the shared windows. Which anchors are repeated is told to the second pass
+over the texts by a bitmap of 64 x `blocks` bits, so that what is broadcast has a bound (12 bytes x blocks) and no text
+is shuffled; a bit that two anchors share only adds windows, which are then counted exactly like all others.
 Each further level pairs shared windows of one length that follow on each other into windows of twice the
 length and keeps the repeated ones, until no candidates survive.
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import durable
-from . import hashing as H
+from . import bitmap, hashing as H
 from .near_duplicates import _first_of_runs
 
 U64 = np.uint64
@@ -136,23 +138,22 @@ def _anchor_rows(k: int, w: int):
     return run
 
 
-def _window_rows(k: int, w: int, length: int):
+def _window_rows(k: int, w: int, length: int, repeated, blocks: int):
     """Windows of `length` tokens that hold a repeated anchor."""
 
     def run(frames):
+        bits = repeated.value
         for f in H.batches(frames, "text"):
             h, off = H.hash_words(f["text"].tolist(), "token")
             g = H.windows(h, length)
             if not len(g):
                 continue
-            near = np.zeros(len(h) + 1, np.int32)
-            for i, ps in enumerate(f["ps"]):
-                p = np.asarray(ps, np.int64) + off[i]
-                last = off[i + 1] - length
-                lo, hi = np.maximum(p - (length - k), off[i]), np.minimum(p, last)
-                ok = lo <= hi
-                np.add.at(near, lo[ok], 1)
-                np.add.at(near, hi[ok] + 1, -1)
+            a, doc, pos = anchors(h, off, k, w)
+            hit = bitmap.has(bits, (a ^ _apart(f)[doc]).view(np.int64), blocks)
+            doc, p = doc[hit], pos[hit] + off[doc[hit]]
+            lo, hi = np.maximum(p - (length - k), off[doc]), np.minimum(p, off[doc + 1] - length)
+            ok = lo <= hi
+            near = np.bincount(lo[ok], minlength=len(h) + 1) - np.bincount(hi[ok] + 1, minlength=len(h) + 1)
             at = np.flatnonzero(np.cumsum(near)[: len(g)] > 0)
             if len(at):
                 doc = np.searchsorted(off, at, "right") - 1
@@ -161,19 +162,17 @@ def _window_rows(k: int, w: int, length: int):
     return run
 
 
-def shared_windows(src: DataFrame, min_tokens: int, max_broadcast: int = 4_000_000) -> DataFrame:
+def shared_windows(src: DataFrame, min_tokens: int, blocks: int = 1 << 23) -> DataFrame:
     """(k, rid, pos): the windows of min_tokens tokens of each record that another record holds too.
 
-    src: (rid, apart, text). At most max_broadcast anchors are broadcast (12 bytes each); more are joined by a shuffle.
+    src: (rid, apart, text). blocks: a power of two, of the bitmap.
     """
     half = min_tokens // 2
     w = min_tokens - half + 1
     texts = src.where("text is not null")
-    level1 = _settle(texts.mapInPandas(_anchor_rows(half, w), _ROWS)).select("rid", "pos").distinct()
-    found = durable(level1.groupBy("rid").agg(F.collect_list("pos").alias("ps")))
-    n = found.agg(F.sum(F.size("ps") + 2)).first()[0] or 0
-    with_text = texts.join(F.broadcast(found) if n <= max_broadcast else found, "rid")
-    return _settle(with_text.mapInPandas(_window_rows(half, w, min_tokens), _ROWS)).select("k", "rid", "pos").distinct()
+    level1 = _settle(texts.mapInPandas(_anchor_rows(half, w), _ROWS))
+    repeated = src.sparkSession.sparkContext.broadcast(bitmap.of_keys(level1.select("k"), blocks))
+    return _settle(texts.mapInPandas(_window_rows(half, w, min_tokens, repeated, blocks), _ROWS)).select("k", "rid", "pos").distinct()
 
 
 def double(level: DataFrame, length: int) -> DataFrame:

@@ -89,11 +89,17 @@ def cut(text: str, limit: int, overlap: int) -> list[int]:
 def _pieces(limit: int, overlap: int):
     def run(frames):
         for f in frames:
-            for i in range(len(f)):
-                key, text = f["key"].iat[i], f["text"].iat[i]
+            out: dict[str, list] = {c: [] for c in ("key", "piece", "pieces", "start", "text")}
+            for key, text in zip(f["key"], f["text"]):
                 ends = cut(text, limit, overlap)
                 starts = [0] + [e - overlap for e in ends[:-1]]
-                yield pd.DataFrame({"key": key, "piece": np.arange(1, len(ends) + 1), "pieces": len(ends), "start": starts, "text": [text[s:e] for s, e in zip(starts, ends)]})
+                out["key"] += [key] * len(ends)
+                out["piece"] += range(1, len(ends) + 1)
+                out["pieces"] += [len(ends)] * len(ends)
+                out["start"] += starts
+                out["text"] += [text[s:e] for s, e in zip(starts, ends)]
+            if out["key"]:
+                yield pd.DataFrame(out)
 
     return run
 

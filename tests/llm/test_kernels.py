@@ -117,8 +117,9 @@ def test_sainte_lague_against_one_seat_at_a_time():
             want[i] += 1
         got = mixing.sainte_lague(w, seats, most)
         assert sum(got) == sum(want) and all(g <= m for g, m in zip(got, most))
-        if sum(want) == seats and all(x < m for x, m in zip(want, most)):
-            assert got == want
+        assert got == want
+    much = mixing.sainte_lague([0.4, 0.3, 0.3], 10**12, [10**11, 10**12, 10**12])  # a capped source, no step a seat
+    assert much == [10**11, 45 * 10**10, 45 * 10**10]
     assert mixing.sainte_lague([], 5) == [] and mixing.sainte_lague([0.0], 5) == [0]
 
 
@@ -144,13 +145,6 @@ def test_pair_blocks():
     assert got == {(1, 2): 1, (1, 3): 1, (2, 3): 1, (1, 7): 1, (2, 7): 1}
 
 
-def test_slots():
-    import pandas as pd
-
-    f = pd.DataFrame({"id": [1, 2, 3], "item_id": [1, 1, 1], "slots": [[0, 5, 0, 5], [0, 6, 0, 6], [0, 6, 0, 7]], "item_slots": [[0, 5, 0, 5]] * 3})
-    assert next(eval_leaks._slot_kind([f]))["kind"].tolist() == ["verbatim", "reparameterised", "inconsistent"]
-
-
 def lexicon():
     words = dict.fromkeys("declaration border competent pending within under cross the rule plant committee".split(), 5000)
     return noise.Lexicon(words, {"cross-border": 300}, {"No C #/# Gazette of the Land #. #. #"})

@@ -1,6 +1,7 @@
 """Whole operators on small tables against brute force, with nulls, empties, repeats, ties and clashing columns."""
 
 import itertools
+import os
 import random
 import re
 
@@ -9,6 +10,8 @@ from lexforge.llm import cooccurrence, eval_leaks, mixing, near_duplicates, nois
 from pyspark.sql import functions as F
 
 WORDS = [a + b for a in ("ba", "ke", "li", "mo", "nu", "ra") for b in ("ton", "ver", "sil", "dor", "mak", "pel")]
+#: Where the public vocabularies are in tests.
+VOCABULARY = os.environ.get("LEXFORGE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 EXTRA = "key string, text string, rid string, a string, n string, lang string, id2 int"
 
 
@@ -91,8 +94,8 @@ def test_eval_leaks(spark):
     want = {(1, 1, "verbatim"), (2, 2, "verbatim"), (4, 1, "reparameterised")}
     got = {tuple(x) for x in eval_leaks.leaked_items(d, "doc_id", "text", items, "item_id", "text").collect()}
     assert want <= got and {x for x in got - want if x[2] == "verbatim"} == {(4, 1, "verbatim")} - {(4, 1, "verbatim")}
-    wide = {tuple(x) for x in eval_leaks.leaked_items(d, "doc_id", "text", items, "item_id", "text", max_windows=0).collect()}
-    assert wide == got  # joined by a shuffle instead
+    wide = {tuple(x) for x in eval_leaks.leaked_items(d, "doc_id", "text", items, "item_id", "text", blocks=1, max_broadcast=0).collect()}
+    assert wide == got  # a bitmap that is nearly full, and joined by a shuffle
     assert eval_leaks.leaked_items(d.limit(0), "doc_id", "text", items, "item_id", "text").count() == 0
     assert eval_leaks.leaked_items(d, "doc_id", "text", items.limit(0), "item_id", "text").count() == 0
 
@@ -144,15 +147,15 @@ def test_mixing(spark):
     rows = [(i, "word " * (5 + i % 7), ["Big", " big\t", "BIG"][i % 3]) for i in range(300)] + [(1000 + i, "tiny text here", "small") for i in range(5)] + [(2000, "no part", None), (2001, "none", "other"), (2002, None, "big"), (0, "word " * 5, "Big")]
     d = spark.createDataFrame(rows, "doc_id int, text string, source string").withColumns({"id": F.lit(1), "tokens": F.lit(2), "share": F.lit(3)})
     t = spark.createDataFrame([("big", 0.5, 2), ("small", 0.5, 3), ("none", None, None), (None, 1.0, 1)], "source string, target_share double, max_repeats int")
-    sel, rep = mixing.mix_sources(d, "doc_id", "text", "source", t, block=4)
+    sel, rep = mixing.mix_sources(d, "doc_id", "text", "source", t, VOCABULARY, block=4)
     r = {x.source: x for x in rep.collect()}
     s = {x.id: x for x in sel.collect()}
     assert max(x.uses for x in s.values() if x.source == "small") <= 3 and {"2000", "2001", "2002"}.isdisjoint(s)
     assert r["small"].selected_tokens <= 3 * r["small"].available_tokens and r["none"].selected_tokens == 0
     assert abs(r["big"].selected_tokens - 4 * r["big"].blocks) <= 20 and abs(sum(x.actual_share for x in r.values()) - 1) < 1e-4
-    again, _ = mixing.mix_sources(d.repartition(3), "doc_id", "text", "source", t, block=4, shard_tokens=500)
+    again, _ = mixing.mix_sources(d.repartition(3), "doc_id", "text", "source", t, VOCABULARY, block=4, shard_tokens=500)
     assert abs(again.agg(F.sum(F.col("tokens") * F.col("uses"))).first()[0] - sum(x.tokens * x.uses for x in s.values())) < 80
-    assert mixing.mix_sources(d.limit(0), "doc_id", "text", "source", t)[0].count() == 0
+    assert mixing.mix_sources(d.limit(0), "doc_id", "text", "source", t, VOCABULARY)[0].count() == 0
 
 
 def test_noise(spark):
@@ -235,3 +238,46 @@ def test_near_duplicate_groups_are_the_components_of_the_links(spark):
                 at[a] = at[b] = min(at[a], at[b])
         got = {x.key: (x.group_key, x.group_size) for x in near_duplicates.groups(table(spark, rows), "id", "t", 0.65, 3, 25, **block).collect()}
         assert got == {k: (g, sum(v == g for v in at.values())) for k, g in at.items()} and len(got) > 40
+
+
+def test_shared_spans_with_a_bitmap_that_is_full(spark):
+    r = random.Random(14)
+    rows = [(f"k{i}", " ".join(r.choice(WORDS) for _ in range(90))) for i in range(60)]
+    rows += [(f"m{i}", " ".join(t.split()[20 : 50 + i]) + f" own{i}") for i, (_, t) in enumerate(rows[:30])]
+    src = shared_spans._source(table(spark, rows), "id", "t", None).select("rid", "apart", "text")
+    one, two = ({tuple(x) for x in shared_spans.shared_windows(src, 30, b).collect()} for b in (1 << 23, 1))
+    assert one == two and len({x[1] for x in one}) == 60
+
+
+def test_slots_are_consistent_over_a_whole_copy(spark):
+    rows = [(1, 0, [0, 5, 0, 5], [0, 5, 0, 5]), (2, 0, [0, 6, 0, 6], [0, 5, 0, 5]), (3, 0, [0, 6, 0, 7], [0, 5, 0, 5]), (4, 0, [0, 6], [0, 5]), (4, 0, [7, 0], [5, 0]), (5, 0, [6, 0], [5, 0]), (5, 9, [7, 0], [5, 0])]
+    hits = spark.createDataFrame([(i, 1, c, a, b) for i, c, a, b in rows], "id long, item_id long, copy int, slots array<long>, item_slots array<long>")
+    got = {(x.id, x.kind) for x in eval_leaks.slot_kinds(hits).collect()}
+    assert got == {(1, "verbatim"), (2, "reparameterised"), (5, "reparameterised")}  # 4: one copy, two words for one; 5: two copies
+
+
+def test_planted_reparameterised_leaks(spark):
+    r = random.Random(21)
+    items, docs, want = [], [], set()
+    for i in range(40):
+        w = [r.choice(WORDS) for _ in range(24)]
+        for j in (4, 11, 19):
+            w[j] = str(r.randrange(1000))
+        items.append((i, " ".join(w)))
+        if i % 2:
+            v = list(w)
+            for j in (4, 11, 19):
+                v[j] = str(1000 + 7 * i + j)
+            docs.append((100 + i, "before " + ", ".join(v) + " after"))
+            want.add((100 + i, i, "reparameterised"))
+        docs.append((i, " ".join(r.choice(WORDS) for _ in range(80))))
+    d, it = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    assert {tuple(x) for x in eval_leaks.leaked_items(d, "doc_id", "text", it, "item_id", "text").collect()} == want
+
+
+def test_one_record_with_many_items(spark):
+    rows = [("big", f"l{i:04}") for i in range(1500)] + [("small", "l0001"), ("small", "l0002")]
+    d = spark.createDataFrame(rows, "celex_id string, eurovoc_label string")
+    out = cooccurrence.labels_together(d, "celex_id", "eurovoc_label", 1, 0)
+    n = out.agg(F.count(F.lit(1)).alias("n"), F.sum("n_both").alias("s")).first()
+    assert n.n == 1500 * 1499 // 2 and n.s == n.n + 1
