@@ -101,11 +101,9 @@ def _count(order: int):
 class Model:
     """Sorted hash arrays of a modified Kneser-Ney bigram model, and the discounts of the top order."""
 
-    def __init__(self, top: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, low: np.ndarray, max_words: int):
+    def __init__(self, top: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, low: np.ndarray):
         self.top = np.array([1.0, top[1], top[2]])  # seen once: all of it goes to the lower order
-        words, inv, seen = np.unique(b, return_inverse=True, return_counts=True)
-        if len(words) > max_words:
-            words = words[np.sort(np.argsort(-seen, kind="stable")[:max_words])]
+        words = np.unique(b)
         self.words = words if len(words) else np.zeros(1, U64)
         v = self.size = len(self.words) + 1  # the last stands for all other words
         ia, ib = self.ids(a), self.ids(b)
@@ -140,10 +138,10 @@ def _counts(docs: DataFrame, order: int) -> tuple[DataFrame, np.ndarray, np.ndar
     return grams.select("a", "b", "n"), discounts(*[top.get(i, 0) for i in range(1, 5)]), low, sizes["all"]
 
 
-def _fit(grams: DataFrame, top: np.ndarray, low: np.ndarray, max_words: int) -> Model:
+def _fit(grams: DataFrame, top: np.ndarray, low: np.ndarray) -> Model:
     pdf = grams.toPandas()
     u = lambda c: pdf[c].to_numpy(np.int64).view(U64)
-    return Model(top, u("a"), u("b"), pdf["n"].to_numpy(np.int64), low, max_words)
+    return Model(top, u("a"), u("b"), pdf["n"].to_numpy(np.int64), low)
 
 
 def _scored(f: pd.DataFrame, order: int, top: np.ndarray, look) -> pd.DataFrame:
@@ -244,15 +242,17 @@ def scores(df: DataFrame, doc_id: str, text: str, lang: str | None = None, order
     grams, top, low, n = _counts(docs.select("text"), order)
     words = grams.select("b").distinct().count()
     if n <= max_bigrams and words <= max_words:
-        model = df.sparkSession.sparkContext.broadcast(_fit(grams, top, low, max_words))
+        model = df.sparkSession.sparkContext.broadcast(_fit(grams, top, low))
         return docs.mapInPandas(_score(model, order), schema)
     top = np.array([1.0, top[1], top[2]])  # as in Model
     return _score_blocks(docs, _probabilities(grams, low, n, words), top, order, schema)
 
 
-def bands(scored: DataFrame, width: float = 3.0, least_ratio: float = 0.95, min_docs: int = 30) -> DataFrame:
+def bands(scored: DataFrame, width: float = 3.0, least_ratio: float = 0.85, min_docs: int = 30) -> DataFrame:
     """(lang, low_ratio, low_log_ppl, high_log_ppl): the lower bands of the ratio and of the log-perplexity and
-    the upper band of the latter, median -/+ width x scaled quartile distance of the language's documents."""
+    the upper band of the latter, median -/+ width x scaled quartile distance of the language's documents. The band of the
+    ratio is at least least_ratio, for a language in which so many documents repeat themselves that they draw its lower
+    quartile down."""
     s = scored.where("windows > 0")
     r, p = (F.percentile_approx(c, [0.25, 0.5, 0.75], F.lit(1000)) for c in ("ratio", "log_ppl_corpus"))
     q = [F.count(F.lit(1)).alias("n"), r.alias("r"), p.alias("p")]
