@@ -13,8 +13,9 @@
 4. Furniture lines are removed, words cut at line ends joined unless the compound with the hyphen is the known
    word, misread words corrected, lines reflowed into paragraphs.
 
-Bounds: the lexicon has at most `max_lexicon` words (where there are more, the least count is doubled until it
-fits), vectors `dims_words` x 32. Counts cover every row; running headings are decided by Spark, all of them.
+Bounds: a word is in the lexicon if it makes up `least` of all words, so by counting there are at most 1 / `least` such
+words (two million; natural language has some 100,000) and no other cap; vectors `dims_words` x 32. Counts cover every
+row; running headings are decided by Spark, all of them.
 
 Defined cases: null keys are no records; null, empty and blank texts hold no noise; rows repeated under one key
 give one result; an empty table gives no rows; extra columns are ignored.
@@ -195,14 +196,12 @@ def _template_words(frames):
             yield pd.DataFrame(got, columns=["x", "w", "n"])
 
 
-def fit(texts: DataFrame, least: float = 5e-7, max_lexicon: int = 500_000, dims_words: int = 1024, dims: int = 32) -> Lexicon:
-    """The model over all rows of texts (text)."""
+def fit(texts: DataFrame, least: float = 5e-7, dims_words: int = 1024, dims: int = 32) -> Lexicon:
+    """The model over all rows of texts (text). least: the share of all words from which on a word is in the lexicon."""
     c = texts.mapInPandas(_count, "kind string, x string, n long, m long")
     c = durable(c.groupBy("kind", "x").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
     total = c.where("kind = 'w'").agg(F.sum("n")).first()[0] or 0
     floor = max(5, int(total * least))
-    while c.where((F.col("kind") != "t") & (F.col("n") >= floor)).count() > max_lexicon:
-        floor *= 2
     pdf = c.where((F.col("kind") != "t") & (F.col("n") >= floor)).toPandas()
     words, compounds = (dict(zip(p["x"], p["n"].tolist())) for p in (pdf[pdf["kind"] == "w"], pdf[pdf["kind"] == "c"]))
     # headings: templates that break into sentences, with words of their own
