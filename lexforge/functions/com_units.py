@@ -11,88 +11,110 @@ from pyspark.sql.types import ArrayType
 from . import html_units as H, tree as T
 from .splitter import UNIT, unit
 
-HEADING_CLASSES = re.compile(r"^(?:li )?(?:Manual)?Heading[1-6]$|^(?:ManualHeading|Titre)[1-6]?$|^Annexetitre$|^Rubrique")
 #: Front matter and furniture that is no prose (fixed values).
-SKIP_CLASSES = {"Emission", "Rfrenceinterne", "Rfrencecroise", "Langue", "Langueoriginale", "Statut", "Titreobjet", "Titreobjet_cp", "Typedudocument", "Typedudocument_cp", "Sous-titreobjet", "Pagedecouverture", "Header", "Footer", "HeaderLandscape", "FooterLandscape", "TOC1", "TOC2", "TOC3", "TOCHeading", "Corrigendum"}
-BODY_CLASSES = re.compile(r"^(?:Normal|Text\d?|Point\d?|Bullet\d?|Dash\d?|Tiret\d?|List|NumPar\d?|ManualNumPar\d?|Considrant|ManualConsidrant|Body|Default|Quoted|Considerant|li )|^Style\d|size\d+")
-SIGNATURE = re.compile(r"^(?:Done at|For the Commission|For the President|The President)(?!\s[a-z])")
-SUB_NUMBERED = re.compile(r"^\d+(?:\.\d+)+\.?\s+\S")
-NUMBERED = re.compile(r"^\d+(?:\.\d+)*\.?\s+[^\W\d_]")
-OCR_NOISE = re.compile(r"^[\s.,;:'`|\\/_~*^°•\-–—=<>()\[\]]{1,4}$")
-COVER = re.compile(r"(?i)archiv|historical|document archived|ARCHIVES HISTORIQUES")
+SKIP_CLASSES = {
+    "Logo", "Emission", "Rfrenceinstitutionnelle", "Rfrenceinstitutionelle", "cpMarking", "Typedudocument_cp", "Titreobjet_cp",
+    "Prliminairetype", "Prliminairetitre", "Nomdelinstitution", "Confidentialit", "Langue", "TOCHeading", "TOC1", "TOC2", "TOC3",
+    "li TOC1", "li TOC2", "li TOC3", "FootnoteText", "FootnoteReference",
+}
+#: Classes of headings (fixed values).
+HEADING_CLASSES = {
+    "li Heading1", "li Heading2", "li Heading3", "Heading1", "Heading2", "Heading3",
+    "li ManualHeading1", "li ManualHeading2", "li ManualHeading3", "Heading", "li Heading", "li Heading110",
+}
+#: Classes of prose (fixed values).
+BODY_CLASSES = {
+    "Normal", "CommentText", "Default", "Text1", "Text2", "Text3", "ListParagraph", "li ListParagraph", "li Normal", "NormalWeb", "li NormalWeb",
+    "li ListBullet", "li ListBullet1", "li ListBullet2", "li ManualNumPar1", "Body", "li Body", "BodyText", "li BodyText", "Bodytext10", "li Bodytext10",
+    "Corps", "li Corps", "MBT", "li MBT", "EEATextbody", "li EEATextbody", "Text", "li Text", "paragraph", "li paragraph", "Textstand-alone", "DGTextstand-alone",
+}
+_SIZED_BODY = re.compile(r"(?:li\s+)?(?:Text\d+p|BodyText\d+|Corps\d+)")
+_SIZED_HEADING = re.compile(r"(?:li\s+)?(?:Heading\d+p|HEADER(?:TITLE)?\d*)")
+_SIZED_FIGURES = re.compile(r"(?:li\s+)?Figures\d+p")
+#: What begins the block of signatures (fixed values).
+SIGNS = ("for the commission", "for the president", "the president")
+NUMBERED = re.compile(r"\d+(?:\.\d+)*\.?\s+[A-Z]")
+CAPITALS = re.compile(r"[A-Z][A-Z\s,:()\-/]{5,}$")
+OCR_NOISE = re.compile(r"[\s;:,.·•■\-–—!?|*\\/<>'\"\[\](){}iIjJtlrA-Z0-9]{1,4}$")
+COVER = re.compile(r"(?i)archives historiques|collection reliee|^vol\.\s*\d{4}|^disclaimer$|^conformément au règlement|historical archives|historischen archive")
 
 
 def is_signature(t: str) -> bool:
-    return len(t) < 40 and bool(SIGNATURE.match(t))
+    """A short line that begins like a block of signatures and does not go on in small letters."""
+    low = t.lower()
+    m = re.match(r"done at \w+[,\s]+\d\b", low)
+    end = m.end() if m else next((len(s) for s in SIGNS if low.startswith(s) and not low[len(s) : len(s) + 1].isalnum()), 0)
+    return len(t) < 40 and bool(end) and not t[end:].lstrip(" ,.")[:1].islower()
 
 
 class _Prose:
     def __init__(self):
         self.heading: str | None = None
-        self.n, self.started, self.out = 0, False, []
-
-    def head(self, t: str) -> None:
-        self.heading, self.started = t, True
+        self.n, self.out = 0, []
 
     def add(self, t: str, subtype: str | None = None) -> None:
         self.n += 1
         self.out.append(unit("paragraph", str(self.n), t, title=self.heading, subtype=subtype))
 
 
+def _content(root: T.Node) -> list[T.Node]:
+    """The boxes that hold the page: div.content, else div.contentWrapper, else the body."""
+    for cls in ("content", "contentWrapper"):
+        if got := [n for n in root.find("div") if n.cls == cls]:
+            return got
+    return root.find("body")[:1] or [root]
+
+
 def modern(root: T.Node) -> list[dict]:
-    p = _Prose()
-    body = next(iter(root.find("body")), root)
-    top = body.children[0].children if len(body.children) == 1 and body.children[0].tag == "div" and body.children[0].children else body.children
-    for n in top:
-        cls = set(n.cls.split())
-        if cls & SKIP_CLASSES or n.cls.startswith("Figure") or n.tag == "dl":
-            continue
+    p, signed = _Prose(), False
+    for n in (n for box in _content(root) for n in box.children):
         if n.tag == "table":
-            if p.started and (t := T.table_text(n)):
+            if p.heading is not None and (t := T.table_text(n)):
                 p.add(t, "table")
-            continue
-        items = [c for c in n.children if c.tag == "p"] if n.tag == "div" and "border" in cls else [n]
-        for x in items:
-            t = x.text()
-            if not t:
+        elif n.tag == "div" and "border" in n.cls:
+            for x in n.find("p"):
+                if x.cls not in SKIP_CLASSES and (t := x.text()):
+                    p.add(t)
+        elif n.tag == "p" and n.cls not in SKIP_CLASSES and not _SIZED_FIGURES.match(n.cls):
+            t = n.text()
+            signed = signed or is_signature(t)
+            if not t or signed:
                 continue
-            if is_signature(t):
-                return p.out
-            if HEADING_CLASSES.match(x.cls) or re.fullmatch(r"h[1-6]", x.tag) or (SUB_NUMBERED.match(t) and len(t) < 80):
-                p.head(t)
-            elif not x.cls or BODY_CLASSES.match(x.cls):
+            body = n.cls in BODY_CLASSES or bool(_SIZED_BODY.match(n.cls))
+            if n.cls in HEADING_CLASSES or _SIZED_HEADING.match(n.cls) or (body and len(t) < 80 and re.match(r"\d+\.\d+[\.\d]*\s+[A-Z]", t)):
+                p.heading = t
+            elif body or not n.cls:
                 p.add(t)
     return p.out
 
 
-def _lines_to_prose(lines: list[str]) -> list[dict]:
-    first = next((i for i, x in enumerate(lines) if NUMBERED.match(x) and len(x) < 120 or (len(x) > 100 and "[pic]" not in x)), None)
-    if first is None:
+def legacy(root: T.Node) -> list[dict]:
+    """Old pages: prose from the first numbered heading or long line on, up to the notes at the end."""
+    only = next((n for n in root.find("div") if n.id == "TexteOnly"), None)
+    if only is None:
         return []
+    lines = [t for q in only.find("p") if (t := q.text())]
+    first = next((i for i, x in enumerate(lines) if NUMBERED.match(x) or (len(x) > 100 and not x.startswith("[pic]"))), 0)
     end = len(lines)
-    while end > first and re.match(r"^\[\d+\]", lines[end - 1]):
+    while end - 1 > first and re.match(r"\[\d+\]\s", lines[end - 1]):
         end -= 1
-    p, notes = _Prose(), lines[end:]
+    p = _Prose()
     for x in lines[first:end]:
-        if is_signature(x):
-            break
-        if (NUMBERED.match(x) and len(x) < 120) or (x.isupper() and len(x) >= 6):
-            p.head(x)
+        if (NUMBERED.match(x) and len(x) < 120) or CAPITALS.match(x):
+            p.heading = x
         else:
             p.add(x)
-    return p.out + [unit("footnote", m.group(1), m.group(2).strip()) for x in notes if (m := re.match(r"^\[(\d+)\]\s*(.+)$", x, re.S))]
-
-
-def legacy(root: T.Node) -> list[dict]:
-    return _lines_to_prose([t for p in T.leaf_paragraphs(root) if (t := p.text())])
+    return p.out
 
 
 def footnotes(root: T.Node) -> list[dict]:
     out = []
     for n in root.find("dd"):
         if n.id.startswith("footnote"):
-            mark = next((re.sub(r"\D", "", a.text()) for a in n.walk() if a.tag == "a" and "footnote" in a.cls.lower()), None) or re.sub(r"\D", "", n.id) or None
-            t = re.sub(rf"^\(?{mark}\)?\s*", "", n.text()) if mark else n.text()
+            mark = next((a.text().strip().strip("()") for a in n.find("a") if a.cls == "footnote"), None)
+            t = " ".join(t for q in n.find("p") if (t := q.text())) or n.text()
+            if mark:
+                t = t.removeprefix(f"({mark})").strip()
             if t:
                 out.append(unit("footnote", mark, t))
     return out
@@ -102,40 +124,44 @@ def com_units(page: str) -> list[dict]:
     root = T.parse(page)
     notes = footnotes(root)
     T.drop_footnote_marks(root)
-    out: list[dict] = []
-    if H.has(root, "com_modern"):
-        out = modern(root)
-    if not out:
+    out = modern(root) if H.has(root, "com_modern") else []
+    if not out and H.has(root, "com_legacy"):
         out = legacy(root)
-    if out:
+    if out or notes:
         return out + notes
     body = T.full_text(root)
     return [unit("body", None, body)] if body else []
 
 
+def _is_note(b: str) -> bool:
+    return bool(re.match(r"\[\d+\]\s|\(\s*\d+\s*\)\s*(?:OJ\b|Council\b|Commission\b|Second|Third|Initial|See\b)", b))
+
+
 def text_units(text: str) -> list[dict]:
-    """From plain text or markdown: blocks between blank lines; noise, comments and tables left out."""
-    p, notes, cover = _Prose(), [], True
-    for block in re.split(r"\n\s*\n", text):
-        b = block.strip()
-        if not b or OCR_NOISE.match(b) or b.startswith("<!--") or re.fullmatch(r"[.\s]+", b) or b.startswith("|"):
-            continue
-        if cover and COVER.search(b) and len(b) < 200:
-            continue
-        cover = False
-        if m := re.match(r"^(?:\[(\d+)\]|\((\d+)\))\s+(?=OJ|COM|See|Cf|Ibid|Council|Commission)(.+)$", b, re.S):
-            notes.append(unit("footnote", m.group(1) or m.group(2), m.group(3).strip()))
-            continue
-        one = " ".join(b.split())
-        if is_signature(one):
+    """From plain text or markdown: blocks between blank lines, from the first heading or long block on and up to the
+    notes at the end; noise, comments, tables and archive covers left out."""
+    blocks = [b.strip() for b in re.split(r"\n\s*\n", text)]
+    blocks = [b for b in blocks if b and not OCR_NOISE.match(b) and not re.match(r"<!--.*-->$|\.{3,}$", b) and not (b.startswith("|") and "|" in b[1:])]
+    first = 0
+    for i, b in enumerate(blocks):
+        md = re.match(r"#{1,3}\s+(.*)", b)
+        if COVER.search(b) or (md and len(md.group(1).strip()) < 20 and not NUMBERED.match(md.group(1).strip())):
+            first = i + 1
+        elif md or NUMBERED.match(b) or len(b) > 100:
+            first = i
             break
-        if b.startswith("#"):
-            p.head(one.lstrip("# "))
-        elif (NUMBERED.match(one) and len(one) < 120 and not one.endswith(".")) or (one.isupper() and len(one) >= 6):
-            p.head(one)
+    end = len(blocks)
+    while end - 1 > first and _is_note(blocks[end - 1]):
+        end -= 1
+    p = _Prose()
+    for b in blocks[first:end]:
+        md = re.match(r"#{1,3}\s+(.*)", b)
+        t = md.group(1).strip() if md else b
+        if (len(t) < 120 if md else (NUMBERED.match(b) and len(b) < 120) or CAPITALS.match(b)):
+            p.heading = t
         else:
-            p.add(one)
-    return p.out + notes or ([unit("body", None, text.strip())] if text.strip() else [])
+            p.add(t)
+    return p.out or ([unit("body", None, text.strip())] if text.strip() else [])
 
 
 @F.pandas_udf(ArrayType(UNIT))

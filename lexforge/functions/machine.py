@@ -1,187 +1,248 @@
-"""Acts as lines: one pass with a little memory, for text-only pages and for markdown. The two differ in the rules
-below and nowhere else."""
+"""Acts as lines: one pass with a little memory, for text-only pages and for markdown. What a line opens, continues or
+ends is decided by the part of the act the pass is in; only the rules of the preamble differ between the two."""
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
 from . import recitals as R
 from .splitter import quoted_regions, split_article
 
+#: Put before a line that opens an article whatever stands around it.
+FORCED = "\x01"
 
-@dataclass(frozen=True)
-class Rules:
-    markdown: bool
-    rising: bool  # numbered recitals only rise; else they may restart
-    formula_falls_through: bool
-    skip_chapters: bool
-    title_lines: bool
-    subparagraphs: bool
-    prefix: bool  # a recital's text is '(n) ' + body; else the line as it is
-    zone: re.Pattern
 
-    @staticmethod
-    def html() -> "Rules":
-        return Rules(False, True, True, True, True, True, True, re.compile(r"^\s*(?:Whereas|WHEREAS)\s*:?\s*$"))
+def looks_like_title(line: str) -> bool:
+    """A short capitalised line without the signs of a sentence, behind a bare article head."""
+    if not line or len(line) > 60 or "." in line or line[-1] in ":;,-" or not line[0].isupper():
+        return False
+    words = line.lower().split()
+    return "shall" not in re.findall(r"\w+", line.lower()) and not (words[0] == "this" and words[1:2] and re.match(r"regulation|decision|directive", words[1]))
 
-    @staticmethod
-    def md() -> "Rules":
-        return Rules(True, False, False, False, False, False, False, re.compile(r"^\s*(?:Whereas|WHEREAS|Considering(?: the following| that)?|Having regard to the following)\s*:?\s*$", re.I))
 
+class Preamble:
+    """Recitals before the first article. feed() takes a line, close() ends the recital at hand."""
 
-def _title(line: str) -> bool:
-    return len(line) <= 60 and "." not in line and line[-1] not in ":;,-" and line[:1].isupper() and " shall " not in f" {line} " and not re.match(r"This (?:Regulation|Directive|Decision)\b", line)
+    least = 3
 
-
-class _State:
     def __init__(self):
-        self.rec, self.art, self.anx = [], [], []
-        self.number = self.text = None  # the open recital
-        self.article = self.annex = None
-        self.zone = self.signed = self.formula = False
-        self.last = self.count = 0
-
-    def close_recital(self, rules: Rules) -> None:
-        if self.text is not None:
-            body = R.cut_journal_tail(self.text).strip()
-            if rules.prefix and self.number and R.letters(body) >= 3:
-                body = f"({self.number}) {body}"
-            if u := R.recital(self.number, body):
-                self.rec.append(u)
-        self.number = self.text = None
-
-
-def run_lines(lines: list[str], rules: Rules, granularity: str = "article") -> list[dict]:
+        self.out: list[dict] = []
+        self.zone = False
+        self.number: int | None = None  # of the last numbered recital
+        self.open: list[str] | None = None  # parts of the recital at hand
+        self.label: str | None = None
+        self.count = 0
+
+    def begin(self, label: str, *parts: str) -> None:
+        self.close()
+        self.label, self.open = label, [p for p in parts if p]
+
+    def text(self) -> str:
+        return " ".join(self.open)
+
+    def close(self) -> None:
+        if self.open is not None and (R.letters(" ".join(self.open)) >= self.least) and (u := R.recital(self.label, self.text(), self.least)):
+            self.out.append(u)
+        self.open = None
+
+    def counted(self, line: str) -> None:
+        self.count += 1
+        self.begin(str(self.count), line)
+
+
+class TextPreamble(Preamble):
+    """Of a text-only page: numbers only rise, and a recital that counts itself by 'Whereas' is one line."""
+
+    def text(self) -> str:
+        return f"({self.label}) " + " ".join(self.open)
+
+    def single(self, label: str, line: str) -> None:
+        self.close()
+        if u := R.recital(label, line):
+            self.out.append(u)
+
+    def start(self, n: int, body: str) -> None:
+        self.zone, self.number = True, n
+        self.begin(str(n), body)
+
+    def feed(self, line: str, column: bool) -> None:
+        """column: the line is one of several bare markers in a row, as a table has them."""
+        if line.rstrip(":").upper() == "WHEREAS":
+            self.close()
+            self.zone, self.number = True, None
+            return
+        got = R.numbered(line)
+        noise = bool(got) and (R.refers(got[1]) or R.cites(got[1]))
+        if self.zone:
+            if got and not column and (self.number is None or got[0] > self.number):
+                if not noise:
+                    self.start(*got)
+            elif plain := self.plain(line):
+                self.start(*plain)
+            elif self.open is not None:
+                self.open.append(line)
+            return
+        up = line.upper()
+        dotted = re.match(r"(?is)(\d+)\.\s+(whereas\b.*)$", line)
+        if got and "WHEREAS" in up:
+            self.start(*got)
+        elif dotted:
+            self.single(dotted.group(1), dotted.group(2))
+        elif "WHEREAS" in up[:50]:
+            self.count += 1
+            self.single(str(self.count), line)
+        elif got and not noise and (got[0] == 1 or self.out):
+            self.start(*got)
+
+    def plain(self, line: str) -> tuple[int, str] | None:
+        """'2 Text' that follows on number 1, unless it is a date or a value."""
+        m = re.match(r"(?s)(\d{1,3})\s+(.+)$", line)
+        if not m or int(m.group(1)) != (self.number or 0) + 1:
+            return None
+        body = m.group(2).lstrip("'\"‘’“”([")
+        if not body or (re.match(r"[a-z]+", body.lower()) or [""])[0] in R.MONTHS:
+            return None
+        return (int(m.group(1)), m.group(2)) if body[0].isupper() or re.match(r"\d+(?:\.\d+)*\.\s+\S", body) else None
+
+
+class MarkdownPreamble(Preamble):
+    """Of markdown: lines stay as they are, numbers may restart, and lines go on with the recital at hand."""
+
+    #: Lines that open the recitals (fixed values; the last two are how translators put the first).
+    ZONES = ("whereas", "considering", "considering the following", "having regard to the following")
+
+    def feed(self, line: str, column: bool) -> None:
+        body = re.sub(r"^#{1,3}\s+", "", line)
+        if " ".join(body.rstrip(": ").lower().split()) in self.ZONES:
+            self.close()
+            self.zone = True
+            return
+        got = R.numbered(line, dash=True)
+        small = bool(got) and got[1][:1].islower() and got[1][:1].isascii()
+        if self.zone:
+            if got and R.cites(got[1]):
+                return
+            if got:
+                at = int(self.label) if self.open is not None else None
+                if at is not None and got[0] <= at and small:
+                    self.open.append(line)
+                elif at is not None or not small or got[0] == 1:
+                    self.begin(str(got[0]), line)
+            elif self.open is not None:
+                self.open.append(line)
+            return
+        low = line.lower()
+        says = re.search(r"\b(?:whereas|considering)\b", low)
+        if got and (re.match(r"(?:whereas|considering)\b", got[1].lower()) or (self.open is None and says and not R.begins(got[1] + " ", R.FRAGMENT))):
+            self.zone = True
+            self.begin(str(got[0]), line)
+        elif re.match(r"(?:whereas|considering(?: that)?)[\s,;]", low):
+            self.counted(line)
+        elif self.open is not None:
+            self.open.append(line)
+
+
+def _column_marks(lines: list[str]) -> set[int]:
+    """Bare '(n)' lines that follow on each other."""
+    mark = [bool(re.fullmatch(r"\(\d+\)\s*", x)) for x in lines] + [False]
+    return {i for i, m in enumerate(mark) if m and (mark[i + 1] or (i and mark[i - 1]))}
+
+
+def run_lines(lines: list[str], markdown: bool = False, granularity: str = "article") -> list[dict]:
+    """Units of an act in the order in which they end."""
     lines = [x.strip() for x in lines if x and x.strip()]
-    flat = "\n".join(lines)
-    starts, at = [], 0
+    at, starts = 0, []
     for x in lines:
         starts.append(at)
         at += len(x) + 1
-    regions = quoted_regions(flat)
-    quoted = [any(a < s < b for a, b in regions) for s in starts]
-    s, skip = _State(), False
-
-    def open_article(num, rest):
-        s.article = {"num": num, "parts": [rest] if rest and (rules.markdown or re.search(r"\w", rest)) else [], "title": None, "fresh": not rest}
-        s.art.append(s.article)
-        s.zone = False
-
-    for i, raw in enumerate(lines):
-        line = re.sub(r"^#{1,6}\s*", "", raw) if rules.markdown else raw
-        nxt = lines[i + 1] if i + 1 < len(lines) else ""
-        if skip:
-            skip = False
-            continue
-        annex = R.annex_match(line, R.ANNEX_ANY if rules.markdown else R.ANNEX)
-        if s.signed:
-            if annex:
-                s.annex = {"num": annex[0], "title": annex[1] or None, "parts": []}
-                s.anx.append(s.annex)
-            elif s.annex is not None and not R.JOURNAL.match(line) and (rules.markdown or not (R.CHAPTER.match(line) or R.MARK.match(line))):
-                s.annex["parts"].append(line)
+    regions = quoted_regions("\n".join(lines))
+    columns = set() if markdown else _column_marks(lines)
+    pre = MarkdownPreamble() if markdown else TextPreamble()
+    annex_of = R.md_annex_head if markdown else R.annex_head
+    out: list[dict] = []
+    article: dict | None = None
+    annex: dict | None = None
+    signed = formula = after_division = False
+
+    def finish() -> None:
+        nonlocal article, annex
+        pre.close()
+        out.extend(pre.out)
+        pre.out = []
+        if article is not None:
+            parts, title = article["parts"], article["title"]
+            if title and not parts:  # one line that only looked like a title
+                parts, title = [title], None
+            out.extend(split_article(parts, article["num"], title, granularity, not markdown))
+        if annex is not None:
+            u = R.annex(annex["num"], annex["title"], annex["parts"])
+            if u or not markdown:
+                out.append(u or R.unit("annex", None, ""))
+        article = annex = None
+
+    def opens_article(i: int, line: str, forced: bool) -> tuple[str, str] | None:
+        head = R.article_head(re.sub(r"^#{1,3}\s+", "", line) if markdown else line)
+        if not head or (not forced and any(a <= starts[i] < b for a, b in regions)):
+            return None
+        num, rest = head
+        if R.bare(rest):
+            nxt = lines[i + 1] if i + 1 < len(lines) else ""
+            if nxt and (nxt[0].islower() or re.match(r"\(\d+\)\s*(?:of\b|thereof)", nxt)):
+                return None
+            return num, rest if markdown else ""
+        return None if R.reference(rest) and not (formula and rest[0].isupper()) else (num, rest)
+
+    for i, line in enumerate(lines):
+        forced = line.startswith(FORCED)
+        line = line.removeprefix(FORCED)
+        head = annex_of(line)
+        if signed:
+            if head:
+                finish()
+                annex = {"num": head[0], "title": head[1], "parts": []}
+            elif annex is not None and not R.JOURNAL_NOTE.match(line.removeprefix("-").lstrip() if markdown else line) and (markdown or not (R.division(line) or R.MARK.match(line))):
+                annex["parts"].append(line)
             continue
         if R.DONE_AT.match(line):
-            if not rules.markdown:
-                s.close_recital(rules)
-            s.signed = True
-            (s.article or s.annex or {"parts": []})["parts"].append(line)
-            s.annex = None
+            if not markdown:
+                pre.close()
+            signed = True
+            if article or annex:
+                (article or annex)["parts"].append(line)
             continue
-        if rules.skip_chapters and R.CHAPTER.match(line) and not quoted[i]:
-            skip = nxt.isupper() and len(nxt) < 80
-            continue
-        if R.MARK.match(line):
-            continue
-        if R.FORMULA.search(line) and len(line) < 200:
-            s.close_recital(rules)
-            s.zone, s.formula = False, True
-            if not rules.formula_falls_through:
+        if not markdown:
+            if R.division(line):
+                after_division = True
                 continue
-        m = R.ARTICLE.match(line)
-        if m and not quoted[i]:
-            num, rest = R.article_number(m), m.group("rest").strip()
-            alone = not rest
-            goes_on = bool(R.CONTINUES.match(rest)) and not (s.formula and rest[:1].isupper())
-            if alone and nxt and (nxt[0].islower() or re.match(r"\(\d+\)\s*(?:of|thereof)|thereof", nxt)):
-                goes_on = True
-            if num and not goes_on and (alone or rest[0].isupper() or rest[0] in "-–—(." or rest[0].isdigit()):
-                s.close_recital(rules)
-                s.annex = None
-                open_article(num, rest.lstrip("-–— .").strip() if rest[:1] in "-–—." else rest)
+            if R.MARK.match(line):
                 continue
-        if annex and not quoted[i] and (line[:5].isupper() or rules.markdown):
-            s.close_recital(rules)
-            s.article, s.zone = None, False
-            s.annex = {"num": annex[0], "title": annex[1] or None, "parts": []}
-            s.anx.append(s.annex)
-            continue
-        if s.annex is not None:
-            s.annex["parts"].append(line)
-            continue
-        if s.article is not None:
-            if rules.title_lines and s.article["fresh"] and _title(line):
-                s.article["title"] = line
+            caption = after_division and len(line) < 80 and re.fullmatch(r"[A-Z][A-Z\s,\-/()]+", line)
+            after_division = False
+            if caption:
+                continue
+        if R.FORMULA.match(re.sub(r"^#{1,3}\s+", "", line) if markdown else line):
+            if not markdown or pre.zone or pre.open is not None:
+                pre.close()
+                pre.zone = False
+            formula = True
+            if markdown:
+                continue
+        if got := opens_article(i, line, forced):
+            finish()
+            pre.zone = False
+            article = {"num": got[0], "title": None, "parts": [got[1]] if got[1] else []}
+        elif head:
+            finish()
+            pre.zone = False
+            annex = {"num": head[0], "title": head[1], "parts": []}
+        elif annex is not None:
+            annex["parts"].append(line)
+        elif article is not None:
+            if not markdown and not article["parts"] and article["title"] is None and looks_like_title(line):
+                article["title"] = line
             else:
-                s.article["parts"].append(line)
-            s.article["fresh"] = False
-            continue
-        if rules.zone.match(line):
-            s.close_recital(rules)
-            s.zone, s.last = True, 0
-            continue
-        _preamble(s, rules, line, lines, i)
-    s.close_recital(rules)
-    arts = []
-    for a in s.art:
-        parts, title = a["parts"], a["title"]
-        if title and not parts:
-            parts, title = [title], None
-        arts += split_article(parts, a["num"], title, granularity, rules.subparagraphs)
-    anx = [u for a in s.anx if (u := R.annex(a["num"], a["title"], a["parts"]))]
-    return s.rec + arts + anx
-
-
-def _preamble(s: _State, rules: Rules, line: str, lines: list[str], i: int) -> None:
-    """Recitals before the first article."""
-    m = R.NUMBERED.match(line.lstrip("- ") if rules.markdown else line)
-    bare = lambda j: 0 <= j < len(lines) and re.fullmatch(r"\(\s*\d+\s*\)", lines[j])
-
-    def begin(number, text):
-        s.close_recital(rules)
-        s.number, s.text = number, text
-
-    if m:
-        n, body = int(m.group(1)), m.group(2)
-        inline = bool(R.INLINE_REF.match(m.group(0)))
-        if s.zone or n == 1 or s.rec or s.text is not None or re.search("whereas", body, re.I):
-            taken = n > s.last if rules.rising else not (inline and n <= s.last)
-            if bare(i) and (bare(i - 1) or bare(i + 1)):
-                taken = False
-            if inline and s.last == 0 and n != 1:
-                return
-            if taken and not (rules.rising and inline):
-                s.zone, s.last = True, n
-                begin(str(n), body if rules.prefix else line)
-                return
-        if s.text is not None and (s.zone or rules.markdown):
-            s.text += " " + line
-        return
-    p = R.PLAIN.match(line)
-    if s.zone and p:
-        n, body = int(p.group(1)), p.group(2)
-        if n == s.last + 1 and (body[0].isupper() or re.match(r"\d+\.", body)) and not R.MONTH.match(body):
-            s.last = n
-            begin(str(n), body if rules.prefix else line)
-            return
-    if w := re.match(r"^(\d+)\.\s+(Whereas\b.*)$", line, re.S):
-        begin(w.group(1), w.group(2))
-        s.close_recital(rules)
-        return
-    if re.search(r"whereas|considering that" if rules.markdown else "whereas", line[:50], re.I) and len(line) > 12 and not s.zone:
-        s.count += 1
-        begin(str(s.count), line)
-        return
-    if s.text is not None and (s.zone or rules.markdown):
-        s.text += " " + line
+                article["parts"].append(line)
+        else:
+            pre.feed(line, i in columns)
+    finish()
+    return out

@@ -10,19 +10,39 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType
 
 from . import recitals as R
-from .machine import Rules, run_lines
+from .machine import FORCED, run_lines
 from .splitter import UNIT, quoted_regions, unit
 
-_PUBLISHED = re.compile(r"^This (?:Regulation|Directive|Decision) shall (?:be published|enter into force|be binding)")
-_INSTRUMENT = re.compile(r"\b(?:AGREEMENT|PROTOCOL|CONVENTION|EXCHANGE OF LETTERS|STATUTE|DECLARATION)\b")
-_BARE_ARTICLE = re.compile(r"^(?:#{1,3}\s*)?Article\s+\d+[a-z]?\s*$")
+ACTS = ("regulation", "directive", "decision")
+_FORMULA = re.compile(r"(?i)\bha(?:s|ve)\s+(?:adopted|decided|agreed)(?:\s+this\s+\w+|\s+as\s+follows)?\s*:?")
+_HEAD_AT_END = re.compile(r"(?i)(?<!\w)(?:sole\s+)?article\s+(\d+)[a-z]*\s*$")
+_HEAD_WITH_TEXT = re.compile(r"(?<!\w)(?i:(?:sole\s+)?article)\s+\d+[a-zA-Z]*(?=\s+(?:[-–—一]\s*)?[A-ZÀ-Þ'‘\"“])")
+_BARE_HEAD = re.compile(r"(?i)(?:#{1,3}\s+)?(?:sole\s+)?article(?!s)(?:\s+\d+[a-z]*)?\s*$")
+_SIGNATORY = re.compile(r"(?i)(?:for\s+(?:the\s+)?(?:commission|council)|the\s+president)\b")
+_ANNEX_LINE = re.compile(r"(?i)#{1,3}\s+annex\b")
+_ONLY_ANNEX = re.compile(r"(?i)#{1,3}\s+annex(?:\s+[ivxlcdm0-9]+)?$")
+#: Words that name an instrument of its own (fixed values).
+INSTRUMENTS = ("AGREEMENT", "PROTOCOL", "CONVENTION", "RESOLUTION", "ARRANGEMENT", "EXCHANGE OF LETTERS", "MEMORANDUM")
+#: Small words of a title (fixed values).
+SMALL = {"and", "between", "by", "concerning", "for", "in", "of", "on", "the", "to", "with"}
+
+
+def _this_act(line: str, goes_on: str) -> bool:
+    """Whether a line begins 'This Regulation shall ...'."""
+    w = line.lower().split()
+    return len(w) > 2 and w[0] == "this" and w[1] in ACTS and " ".join(w[2:]).startswith(goes_on)
+
+
+def _next_text(lines: list[str], i: int) -> str:
+    return next((x for x in lines[i + 1 :] if x), "")
 
 
 def join_split_headings(lines: list[str]) -> list[str]:
-    """'Article' above '1', 'ANNEX' above 'I'."""
+    """'... Article' above '1 ...', 'ANNEX' above 'I'."""
     out: list[str] = []
     for x in lines:
-        if out and re.fullmatch(r"(?:#+\s*)?(?:Article|ANNEX)", out[-1]) and re.fullmatch(r"\d+[a-z]?|[IVXLC]+", x):
+        last = (re.findall(r"\w+$", out[-1]) or [""])[0].lower() if out else ""
+        if (last == "article" and re.match(r"\d+\b", x)) or (last == "annex" and re.match(r"(?i)(?:[ivxlcdm]+|\d+)\b", x)):
             out[-1] += " " + x
         else:
             out.append(x)
@@ -30,77 +50,136 @@ def join_split_headings(lines: list[str]) -> list[str]:
 
 
 def markers_out_of_tables(lines: list[str]) -> list[str]:
-    """Article markers that a two-column table swallowed are moved before the closing provision, as headings."""
-    found, kept = [], []
-    for x in lines:
-        if x.startswith("|"):
-            cells = [c.strip() for c in x.strip("|").split("|")]
-            marks = [c for c in cells if _BARE_ARTICLE.match(c)]
-            if marks:
-                found += marks
-                rest = [c for c in cells if c not in marks]
-                if any(rest):
-                    kept.append("| " + " | ".join(rest) + " |")
-                continue
-        kept.append(x)
-    if not found:
-        return lines
-    at = next((i for i, x in enumerate(kept) if _PUBLISHED.match(x)), len(kept))
-    return kept[:at] + [f"### {m}" for m in found] + kept[at:]
+    """'... Article 2 This Decision shall ... Article 3' at the end of a row of a long table: both articles go before the
+    line of publication, whatever quotation the table is in."""
+    for i, x in enumerate(lines):
+        end = _HEAD_AT_END.search(x)
+        heads = [m for m in _HEAD_WITH_TEXT.finditer(x) if m.start() and end and m.end() < end.start()]
+        head = next((m for m in heads if _this_act(x[m.end() : end.start()].strip(), "shall")), None)
+        if head is None:
+            continue
+        kind = x[head.end() :].split()[1].lower()
+        at = next((j for j in range(i + 1, len(lines)) if lines[j].lower().startswith(f"this {kind} shall be published")), None)
+        if at is not None:
+            moved = [FORCED + head.group(), x[head.end() : end.start()].strip(), FORCED + end.group().strip()]
+            return [*lines[:i], x[: head.start()].strip(), *lines[i + 1 : at], *moved, *lines[at:]]
+    return lines
 
 
 def split_flattened(lines: list[str]) -> list[str]:
-    """The formula and article headings that were run into one line, outside quotations; references stay."""
-    out = []
-    for x in lines:
-        regions = quoted_regions(x)
-        cuts = {m.start() for m in re.finditer(r"(?<=[.,;:])\s+(?=(?:HAS|HAVE) (?:ADOPTED|DECIDED|AGREED)\b)", x)}
-        cuts |= {m.start() for m in re.finditer(r"(?<=[.:])\s+(?=Article \d+[a-z]?\s+[A-Z][a-z]+ )", x)}
-        cuts |= {m.end(1) for m in re.finditer(r"(\bTHIS (?:REGULATION|DIRECTIVE|DECISION):)\s+(?=Article \d+)", x)}
-        cuts = sorted(c for c in cuts if c > 0 and not any(a <= c < b for a, b in regions))
-        at = 0
-        for c in [*cuts, len(x)]:
-            if piece := x[at:c].strip():
-                out.append(piece)
-            at = c
+    """From the formula on, articles that were run into a line get lines of their own, outside quotations.
+
+    An article head with text counts behind a sign, one at the end of a line only if the next line begins the last
+    article. 'Article 1' at the end of the formula's own line is a head that columns have put behind the end of its
+    text: it goes first, and that end goes behind the text, before the next head or the end of the operative part.
+    """
+    regions = quoted_regions("\n".join(lines))
+    out: list[str] = []
+    started, late, at = False, "", 0
+
+    def quoted(i: int) -> bool:
+        return any(a <= i < b for a, b in regions)
+
+    def put(piece: str, ends_text: bool) -> None:
+        nonlocal late
+        if ends_text and late:
+            out.append(late)
+            late = ""
+        if piece:
+            out.append(piece)
+
+    for i, line in enumerate(lines):
+        begin, at = at, at + len(line) + 1
+        if line.startswith(FORCED):
+            out.append(line)
+            continue
+        formula = next((m for m in _FORMULA.finditer(line) if not quoted(begin + m.start())), None)
+        last = _this_act(_next_text(lines, i), "shall")
+        rest = 0
+        if formula:
+            put(line[: formula.start()].strip(), True)
+            out.append(formula.group().strip())
+            started, rest = True, formula.end()
+            end = _HEAD_AT_END.search(line, rest)
+            if end and end.group(1) == "1" and not quoted(begin + end.start()):
+                out.append(end.group().strip())
+                late = line[rest : end.start()].strip()
+                continue
+        elif started and late and (R.DONE_AT.match(line) or _SIGNATORY.match(line) or re.match(r"(?i)(?:#{1,3}\s*)?annex\b", line)):
+            put("", True)
+        if not started:
+            out.append(line)
+            continue
+        cuts = [m.start() for m in _HEAD_WITH_TEXT.finditer(line, rest) if not quoted(begin + m.start()) and (line[rest : m.start()].rstrip() or ":")[-1] in ":.;|!?"]
+        end = _HEAD_AT_END.search(line, rest) if last else None
+        if end and not quoted(begin + end.start()) and end.start() not in cuts:
+            cuts.append(end.start())
+        put(line[rest : min(cuts, default=len(line))].strip(), False)
+        for a, b in zip(cuts, [*cuts[1:], len(line)]):
+            put(line[a:b].strip(), True)
+    put("", True)
     return out
 
 
-def operative_before_signature(lines: list[str]) -> list[str]:
-    """An operative block that was read behind the signature is put back before it, unless an attachment begins there."""
-    sig = next((i for i, x in enumerate(lines) if R.DONE_AT.match(x)), None)
-    if sig is None or any(_BARE_ARTICLE.match(x) or re.match(r"^(?:#{1,3}\s*)?Article \d", x) for x in lines[:sig]):
+def annex_before_table(lines: list[str]) -> list[str]:
+    """Annex headings behind the last table, with nothing after them, go before it."""
+    head = len(lines)
+    while head and _ONLY_ANNEX.match(lines[head - 1]):
+        head -= 1
+    if head == len(lines):
         return lines
-    first = next((i for i in range(sig + 1, len(lines)) if re.match(r"^(?:#{1,3}\s*)?Article \d", lines[i])), None)
-    if first is None:
+    rows = [i for i in range(head) if lines[i].startswith("|")]
+    if not rows:
         return lines
-    for x in lines[sig + 1 : first]:
-        t = x.lstrip("# ")
-        caps = sum(c.isupper() for c in t) / max(1, R.letters(t))
-        if x.startswith("#") or _INSTRUMENT.search(t) or R.annex_match(t, R.ANNEX_ANY) or (R.letters(t) >= 6 and caps >= 0.8 and not R.FORMULA.search(t)) or (len(t.split()) > 2 and t.istitle()):
-            return lines
-    end = next((i for i in range(first, len(lines)) if R.annex_match(lines[i].lstrip("# "), R.ANNEX_ANY)), len(lines))
-    begin = next((i for i in range(sig + 1, first) if R.FORMULA.search(lines[i])), first)
-    return lines[:sig] + lines[begin:end] + lines[sig:begin] + lines[end:]
+    first = rows[-1]
+    while first and lines[first - 1].startswith("|"):
+        first -= 1
+    return lines[:first] + lines[head:] + lines[first:head]
 
 
-def annex_before_table(lines: list[str]) -> list[str]:
-    """A heading of an annex that stands behind its table at the end goes before it."""
-    if len(lines) >= 2 and R.annex_match(lines[-1].lstrip("# "), R.ANNEX_ANY) and lines[-2].startswith("|"):
-        i = len(lines) - 2
-        while i > 0 and lines[i - 1].startswith("|"):
-            i -= 1
-        return lines[:i] + [lines[-1]] + lines[i:-1]
+def without_leading_signature(lines: list[str]) -> list[str]:
+    """A signature that was read before the title goes, if a title and a formula follow."""
+    if lines and R.DONE_AT.match(lines[0]):
+        at = next((i for i, x in enumerate(lines) if re.match(r"(?i)#{1,3}\s+(?:commission|council|european\s+parliament)\s+(?:regulation|directive|decision)\b", x)), None)
+        if at is not None and any(R.FORMULA.match(x) for x in lines[at:]):
+            return lines[at:]
     return lines
 
 
-def without_leading_signature(lines: list[str]) -> list[str]:
-    return lines[1:] if lines and R.DONE_AT.match(lines[0]) else lines
+def _attachment(x: str) -> bool:
+    """Whether a line begins an instrument of its own: a heading, an instrument's name, capitals, or a title."""
+    if re.match(r"#{1,3}\s+\S", x) or any(re.search(rf"\b{w}\b", x.upper()) for w in INSTRUMENTS):
+        return True
+    if len(x) > 240:
+        return False
+    words = re.findall(r"[^\W\d_]+", x)
+    if R.letters(x) >= 4 and sum(c.isupper() for c in x) / R.letters(x) >= 0.8:
+        return True
+    return 2 <= len(words) <= 20 and x[-1] not in ".,;:" and all(w.lower() in SMALL or w[0].isupper() for w in words)
+
+
+def operative_before_signature(lines: list[str]) -> list[str]:
+    """An operative block that was read behind the signature is put back before it, unless an attachment begins there."""
+    formula = lambda x: R.FORMULA.match(x.lstrip("# "))
+    sig = next((i for i, x in enumerate(lines) if R.DONE_AT.match(x) and any(formula(y) or _BARE_HEAD.match(y) for y in lines[i + 1 :])), None)
+    if sig is None:
+        return lines
+    begin = next((i for i in range(sig + 1, len(lines)) if formula(lines[i])), None)
+    end = next((i for i in range(sig + 1 if begin is None else begin, len(lines)) if _ANNEX_LINE.match(lines[i]) or _SIGNATORY.match(lines[i])), len(lines))
+    if begin is not None:
+        if any(map(_attachment, lines[sig + 1 : begin])):
+            return lines
+        return lines[:sig] + lines[begin:end] + lines[sig:begin] + lines[end:]
+    first = next((i for i in range(sig + 1, end) if _BARE_HEAD.match(lines[i])), None)
+    if first is None or first - sig > 6 or any(map(_attachment, lines[sig + 1 : first])):
+        return lines
+    at = next((i for i in range(sig) if _this_act(lines[i], "shall be binding")), sig)
+    return lines[:at] + lines[sig + 1 : end] + lines[at : sig + 1] + lines[end:]
 
 
 def repair(text: str) -> list[str]:
-    lines = [x.strip() for x in text.split("\n") if x.strip() and not x.strip().startswith("<!--")]
-    for step in (join_split_headings, without_leading_signature, markers_out_of_tables, split_flattened, operative_before_signature, annex_before_table):
+    lines = [x.strip() for x in text.split("\n") if x.strip()]
+    for step in (join_split_headings, markers_out_of_tables, split_flattened, annex_before_table, without_leading_signature, operative_before_signature):
         lines = step(lines)
     return lines
 
@@ -109,18 +188,31 @@ def markdown_units(text: str, granularity: str = "article", recitals: bool = Tru
     keep = {k for k, v in (("recital", recitals), ("article", articles), ("annex", annexes)) if v}
     if not keep:
         return []
-    out = [u for u in run_lines(repair(text), Rules.md(), granularity) if u["type"] in keep]
+    out = [u for u in run_lines(repair(text), True, granularity) if u["type"] in keep]
     if not out and articles and text.strip():
         return [unit("body", None, text.strip())]
     return out
 
 
 def sanitise_recovered(text: str) -> str:
-    """An article group of the text layer without preamble, page headings, journal lines and broken dates."""
-    text = re.sub(r"(?s)^.*?\b(?:HAS|HAVE) (?:ADOPTED|DECIDED|AGREED)[^\n]*\n", "", text, count=1)
-    for p in (r"(?m)^\s*[LC]\s*\d+/\d+\s*$", r"(?m)^\s*(?:EN|FR|DE)\s*$", r"(?m)^\s*Official Journal[^\n]*$", r"(?m)^\s*\(?\d*\)?\s*OJ\s+[LC][^\n]*$", r"(?m)^\s*\d{1,2}\.\s?\d{1,2}\.\s?\d{2,4}\s*$"):
-        text = re.sub(p, "", text)
-    return re.sub(r"\n{2,}", "\n", text).strip()
+    """An article of the text layer up to a preamble that was read into it, without page headings, journal lines and
+    broken dates; '' where nothing else is left."""
+    m = re.search(r"\bTHE [A-Z ]+,(?=\s+Having regard)|\bHaving\s+regard\s+to\b|\bWhereas\b", text)
+    text = text[: m.start()] if m else text
+    journal = "official journal of the european communities"
+    at = " ".join(text.split()).lower().find(journal)
+    if at >= 0:
+        flat = " ".join(text.split())
+        before, after = flat[:at], flat[at + len(journal) :]
+        before = re.sub(r"(?:No\s+[LC]\s*\d+\s*/?\s*\d*|\d{1,2}\.\s*\d{2,4})?\s*(?:EN\s*)?$", "", before)
+        text = before if before.strip() else re.sub(r"^\s*(?:No\s+[LC]\s*\d+(?:\s*/\s*\d+)?|[LC]\s*\d+\s*/\s*\d+)", "", after)
+    m = re.search(r"\s+[(\[]?[^)\]\s]{0,4}[)\]]?\s*OJ\s+(?:No\s+)?[LC]\s*\d", text)
+    if m and sum(c.isalnum() for c in text[: m.start()]) >= 3:
+        text = text[: m.start()]
+    text = re.sub(r"(?<=\.)\s+No\s+[LC]\s*\d+(?:/\d+)?\s*$", "", text).strip()
+    only_date = re.fullmatch(r"\d{1,2}\s*\.\s*\d{2,4}|\d{4}\s*\.|(?:\d{1,2}\s*\.\s*)?\d{2,4}\s*,?\s*p\.?(?:\s*\d+)?", text)
+    only_note = len(text) <= 160 and re.match(r"[^A-Za-z]*OJ\s+(?:No\s+)?[LC]\s*\d", text)
+    return "" if only_date or only_note else text
 
 
 def merge_text_layer(units: list[dict], layer: list[dict]) -> list[dict]:
@@ -137,7 +229,9 @@ def merge_text_layer(units: list[dict], layer: list[dict]) -> list[dict]:
     arts = []
     for n in b:
         for u in own.get(n) or [x for x in layer if x["type"] == "article" and x["number"] == n]:
-            arts.append(u if n in own else u | {"text": sanitise_recovered(u["text"] or "")})
+            text = u["text"] if n in own else sanitise_recovered(u["text"] or "")
+            if text or u["title"] or n in own:
+                arts.append(u | {"text": text})
     of = lambda *k: [u for u in units if u["type"] in k]
     return of("recital") + arts + of("paragraph", "footnote", "body") + of("annex")
 

@@ -90,18 +90,20 @@ def sequence_complete(units: DataFrame, doc: str = "celex_id", order: str = "uni
     a = units.where("type = 'article'").withColumn("base", F.regexp_replace(F.lower(F.col("number")), "[a-z]+$", ""))
     a = a.withColumn("base", F.when(F.lower(F.col("number")) == "sole", "sole").otherwise(F.col("base")))
     firsts = a.groupBy(doc, "base").agg(F.min(order).alias("at"))
-    n = F.row_number().over(Window.partitionBy(doc).orderBy("at"))
+    n = F.row_number().over(Window.partitionBy(doc).orderBy(F.col("at").asc_nulls_first(), F.col("base").asc_nulls_first()))  # ties by number, so reruns agree
     r = firsts.withColumn("rank", n).groupBy(doc).agg(
         F.bool_and(F.coalesce(F.col("base").try_cast("int") == F.col("rank"), F.lit(False))).alias("runs"),
         F.count(F.lit(1)).alias("n"), F.min("base").alias("one"),
     )
-    return r.select(doc, F.col("n").alias("articles"), (F.col("runs") | ((F.col("n") == 1) & (F.col("one") == "sole"))).alias("complete"))
+    return r.select(doc, F.col("n").alias("articles"), (F.col("runs") | F.coalesce((F.col("n") == 1) & (F.col("one") == "sole"), F.lit(False))).alias("complete"))
 
 
 def last_of_type(units: DataFrame, kind: str, doc: str = "celex_id", order: str = "unit_order") -> DataFrame:
-    """is_last: whether a unit is the last of its type in the document."""
-    w = Window.partitionBy(doc)
-    return units.withColumn("is_last", (F.col("type") == kind) & (F.col(order) == F.max(F.when(F.col("type") == kind, F.col(order))).over(w)))
+    """is_last: whether a unit is the last of its type in the document. The greatest place of each document is joined to
+    its units (one row a document), so that a document with a large share of all rows is not one task."""
+    top = units.where(F.col("type") == kind).groupBy(F.col(doc).alias("_d")).agg(F.max(order).alias("_top"))
+    u = units.join(top, units[doc].eqNullSafe(F.col("_d")), "left")
+    return u.withColumn("is_last", (F.col("type") == kind) & (F.col(order) == F.col("_top"))).drop("_d", "_top")
 
 
 def extraction_stats(works: DataFrame, units: DataFrame) -> DataFrame:

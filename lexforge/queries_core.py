@@ -31,6 +31,11 @@ def _all(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {n: table(spark, d, n) for n in V.NEEDED}
 
 
+def _units(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The text units without replayed rows: only the columns asked for and the id are read and grouped."""
+    return table(spark, d, "text_units").select("id", *columns).distinct()
+
+
 # --- order, keys, profiles -------------------------------------------------------------------------------
 _UNITS = "(select distinct * from text_units)"
 _POS = "coalesce(unit_order, 1000000), id"
@@ -38,7 +43,7 @@ _POS = "coalesce(unit_order, 1000000), id"
 
 @query(f"select id, celex_id, row_number() over (partition by celex_id order by {_POS}) as pos from {_UNITS}")
 def unit_rows(spark, d):
-    u = _t(spark, d, "text_units").distinct().select("id", "celex_id", F.coalesce("unit_order", F.lit(1_000_000)).alias("o"))
+    u = _units(spark, d, "celex_id", "unit_order").select("id", "celex_id", F.coalesce("unit_order", F.lit(1_000_000)).alias("o"))
     return structure.Spread("celex_id", F.col("o"), [F.col("o"), F.col("id")]).row_number(u, "pos").drop("o")
 
 
@@ -52,7 +57,8 @@ b as (select *, row_number() over (partition by base order by o) as k from a)
 select id, o as unit_order, case when k > 1 then base || ':' || k else base end as unit_key from b"""
 )
 def unit_keys(spark, d):
-    u = _t(spark, d, "text_units").distinct().withColumn("pos", F.coalesce("unit_order", F.lit(1_000_000))).drop("unit_order", "unit_key")
+    u = _units(spark, d, "celex_id", "type", "number", "paragraph_num", "subparagraph_num", "point_letter", "unit_order")
+    u = u.withColumn("pos", F.coalesce("unit_order", F.lit(1_000_000))).drop("unit_order")
     return structure.number_units(u, ties=("id",)).select("id", F.col("unit_order").cast("long"), "unit_key")
 
 
@@ -61,7 +67,7 @@ def unit_keys(spark, d):
 count(distinct coalesce(number, 'unnumbered')) filter (type = 'annex') as annexes, count(*) filter (type = 'body') as bodies, count(*) as units from {_UNITS} group by celex_id"""
 )
 def structure_profile(spark, d):
-    return structure.profile(_t(spark, d, "text_units").distinct())
+    return structure.profile(_units(spark, d, "celex_id", "type", "number"))
 
 
 @query(
@@ -70,12 +76,7 @@ r as (select *, row_number() over (partition by celex_id order by pl nulls first
 select celex_id, count(*) as articles, bool_and(coalesce(try_cast(base as integer) = k, false)) or (count(*) = 1 and min(base) = 'sole') as complete from r group by celex_id"""
 )
 def sequence_complete(spark, d):
-    u = _t(spark, d, "text_units").distinct()
-    a = u.where("type = 'article'").withColumn("base", F.when(F.lower("number") == "sole", "sole").otherwise(F.regexp_replace(F.lower("number"), "[a-z]+$", "")))
-    firsts = a.groupBy("celex_id", "base").agg(F.min("unit_order").alias("at"))
-    k = F.row_number().over(Window.partitionBy("celex_id").orderBy(F.col("at").asc_nulls_first(), F.col("base").asc_nulls_first()))
-    r = firsts.withColumn("k", k).groupBy("celex_id").agg(F.count(F.lit(1)).alias("articles"), F.bool_and(F.coalesce(F.col("base").try_cast("int") == F.col("k"), F.lit(False))).alias("runs"), F.min("base").alias("one"))
-    return r.select("celex_id", "articles", (F.col("runs") | F.coalesce((F.col("articles") == 1) & (F.col("one") == "sole"), F.lit(False))).alias("complete"))
+    return structure.sequence_complete(_units(spark, d, "celex_id", "type", "number", "unit_order"))
 
 
 @query(
@@ -83,7 +84,7 @@ def sequence_complete(spark, d):
 count(*) filter (type = 'article') over (partition by celex_id order by {_POS} rows between unbounded preceding and current row) as section from {_UNITS}"""
 )
 def heading_context(spark, d):
-    u = _t(spark, d, "text_units").distinct().select("id", "celex_id", "title", "type", F.coalesce("unit_order", F.lit(1_000_000)).alias("o"))
+    u = _units(spark, d, "celex_id", "title", "type", "unit_order").withColumn("o", F.coalesce("unit_order", F.lit(1_000_000))).drop("unit_order")
     h = structure.carried(u, "celex_id", ["o", "id"], F.col("title"), "heading")
     return structure.Spread("celex_id", F.col("o"), [F.col("o"), F.col("id")]).running_count(h, F.col("type") == "article", "section").select("id", "celex_id", "heading", "section")
 
@@ -92,7 +93,7 @@ def heading_context(spark, d):
     f"""select id, type = 'article' and unit_order = max(case when type = 'article' then unit_order end) over (partition by celex_id) as is_last from {_UNITS} where unit_order is not null and celex_id is not null"""
 )
 def last_article(spark, d):
-    u = _t(spark, d, "text_units").distinct().where("unit_order is not null and celex_id is not null")
+    u = _units(spark, d, "celex_id", "type", "unit_order").where("unit_order is not null and celex_id is not null")
     return structure.last_of_type(u, "article").select("id", "is_last")
 
 
@@ -104,8 +105,7 @@ select (select count(*) from w where s > 0) as structured, (select count(*) from
 (select count(*) from w where has and s is null) as text_without_units, (select count(*) from w where not has) as without_text, t.content_source as top_source, t.n as top_count from t"""
 )
 def extraction_stats(spark, d):
-    w, u = _t(spark, d, "works", "text_units")
-    return structure.extraction_stats(w, u.distinct())
+    return structure.extraction_stats(_t(spark, d, "works"), _units(spark, d, "celex_id", "type"))
 
 
 @query(
@@ -183,10 +183,9 @@ def low_information_units(spark, d):
     return u.where(T.low_information(F.col("text"))).select("id")
 
 
-_BP = ["(?s)\\s*This (?:Regulation|Decision|Directive) shall be binding in its entirety and directly applicable in (?:all )?(?:the )?Member States\\b.*", "(?s)\\s*Done at \\w+\\W?\\s+.*$", "(?s)\\s*For the (?:Commission|Council|European Parliament)\\b.*$", "(?s)\\s*(?:\\(\\s*\\d+\\s*\\)|\\[\\s*\\d+\\s*\\])\\s*OJ\\s+(?:No\\s+)?[LC]\\s+\\d+.*$", "\\s*-{3,}\\s*$", "\\s+$"]
-_bp = "full_text"
-for _p in _BP:
-    _bp = f"regexp_replace({_bp}, '{_p}', '')"
+_ENDS = "|".join([*T.BINDING, *(x + "\\b" for x in T.SIGNED), T.SIGNED_AT, T.JOURNAL_REFERENCE])
+_bp = f"rtrim(regexp_replace(full_text, '(?s)(?:{_ENDS}).*$', ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))"
+_bp = f"rtrim(regexp_replace({_bp}, '-{{3,}}$', ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))"
 
 
 @query(f"select celex_id, sha256({_bp}) as h from works where full_text is not null")
@@ -297,15 +296,16 @@ def union_branches(spark, d):
 
 
 @query(
-    """with a as (select source_celex as id, relation_type as lang, case target_celex when '' then null else target_celex end as x, case when id % 2 = 0 then 'html' else 'pdf' end as fmt from relations)
-select coalesce(w.celex_id, p.celex_id) as celex_id, count(*) as n from (select distinct procedure_reference as p, celex_id from works where substr(celex_id, 6, 2) = 'PC' and procedure_reference is not null) p
-full join (select distinct procedure_reference as p, celex_id from works where substr(celex_id, 6, 2) <> 'PC' and procedure_reference is not null) w on p.p = w.p group by 1"""
+    """with p as (select distinct procedure_reference as procedure, celex_id from works where procedure_reference is not null),
+r as (select coalesce(w.procedure, q.procedure) as procedure, w.celex_id as work, q.celex_id as proposal from (select * from p where substr(celex_id, 6, 2) <> 'PC') w
+full join (select * from p where substr(celex_id, 6, 2) = 'PC') q on w.procedure = q.procedure)
+select distinct procedure, coalesce(work, case when contains(proposal, 'PC') and not contains(proposal, '(') then proposal end) as celex_id from r where work is not null or (contains(proposal, 'PC') and not contains(proposal, '('))"""
 )
 def procedure_ids(spark, d):
-    w = _t(spark, d, "works").where("procedure_reference is not null").select(F.col("procedure_reference").alias("p"), "celex_id").distinct()
+    w = _t(spark, d, "works").where("procedure_reference is not null").select(F.col("procedure_reference").alias("procedure"), "celex_id").distinct()
     pc = F.substring("celex_id", 6, 2) == "PC"
-    j = w.where(pc).withColumnRenamed("celex_id", "proposal").join(w.where(~pc).withColumnRenamed("celex_id", "work"), "p", "full_outer")
-    return j.groupBy(F.coalesce("work", "proposal").alias("celex_id")).agg(F.count(F.lit(1)).alias("n"))
+    rows = w.where(~pc).withColumnRenamed("celex_id", "work").join(w.where(pc).withColumnRenamed("celex_id", "proposal"), "procedure", "full_outer")
+    return R.procedures_to_ids(rows)
 
 
 # --- aggregates ------------------------------------------------------------------------------------------
@@ -346,15 +346,16 @@ def checkpoint_summary(spark, d):
 
 
 @query(
-    """with r as (select distinct source_celex, relation_type, target_celex, id from relations where source_celex is not null and target_celex is not null),
-q as (select *, row_number() over (partition by source_celex order by case when regexp_matches(relation_type, 'proposes|implicitly') then 1 else 0 end, case when relation_type = 'adopts' then id - 1000 else id end, target_celex) as n from r)
-select source_celex, target_celex from q where n = 1"""
+    """with r as (select distinct source_celex, target_celex as url, case when relation_type like '%repeals' then 'L_annex_' || relation_type else 'L_' || relation_type || case when relation_type = 'adopts' then '_act' else '' end end as name, case when id % 5 > 0 then id % 5 end as o from relations where source_celex is not null and target_celex is not null),
+s as (select *, case when contains(name, 'annex') then 1 else 0 end as out, coalesce(o, 999) - case when not contains(name, 'annex') and contains(upper(name), 'ACT') then 1000 else 0 end as score from r),
+q as (select *, row_number() over (partition by source_celex order by out, score, url) as n from s) select source_celex, url from q where n = 1"""
 )
 def best_candidate(spark, d):
-    r = _t(spark, d, "relations").where("source_celex is not null and target_celex is not null").select("source_celex", "relation_type", "target_celex", "id").distinct()
-    worse = F.when(F.col("relation_type").rlike("proposes|implicitly"), 1).otherwise(0)
-    score = F.when(F.col("relation_type") == "adopts", F.col("id") - 1000).otherwise(F.col("id"))
-    return r.groupBy("source_celex").agg(F.min_by("target_celex", F.struct(worse, score, F.col("target_celex"))).alias("target_celex"))
+    """Relations as a choice of streams: repeals stand for annexes, adoptions for the act."""
+    r = _t(spark, d, "relations").where("source_celex is not null and target_celex is not null")
+    name = F.when(F.col("relation_type").endswith("repeals"), F.concat(F.lit("L_annex_"), "relation_type")).otherwise(F.concat(F.lit("L_"), "relation_type", F.when(F.col("relation_type") == "adopts", "_act").otherwise("")))
+    items = r.select("source_celex", name.alias("name"), F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("o"), F.col("target_celex").alias("url")).distinct()
+    return R.best_candidate(items, ["source_celex"], "name", "o", "url")
 
 
 @query(
@@ -516,7 +517,7 @@ select celex_id, old_articles, new_articles, old_annexes, new_annexes, concat_ws
 from j where mk or new_articles < old_articles or new_annexes < old_annexes"""
 )
 def structural_regression(spark, d):
-    u = _t(spark, d, "text_units").distinct()
+    u = _units(spark, d, "celex_id", "type", "number", "text")
     return repair.structural_regressions(u, u.where("not (type = 'article' and coalesce(number, '') = '3') and not (type = 'annex' and coalesce(number, '') = 'II')"))
 
 
@@ -531,7 +532,7 @@ def coverage(spark, d):
 
 @query(f"select celex_id, count(*) filter (type = 'recital') as recitals, count(distinct number) filter (type = 'article') as articles, count(distinct number) filter (type = 'article' and paragraph_num is not null) as articles_with_paragraphs, count(*) filter (point_letter is not null) as points from {_UNITS} group by celex_id")
 def decomposition(spark, d):
-    return repair.decomposition(_t(spark, d, "text_units").distinct())
+    return repair.decomposition(_units(spark, d, "celex_id", "type", "number", "paragraph_num", "point_letter"))
 
 
 # --- translation quality ---------------------------------------------------------------------------------
@@ -558,8 +559,8 @@ select w.celex_id, coalesce(language <> 'eng' and document_type in ('regulation'
 coalesce(n, 0) = 0 or n = b or coalesce(a, 0) = 0 or (coalesce(r, 0) = 0 and coalesce(a, 0) > 0) as pdf_retry from works w left join p using (celex_id)"""
 )
 def fallback_triggers(spark, d):
-    w, u = _t(spark, d, "works", "text_units")
-    p = w.select("celex_id", "language", "document_type").join(structure.profile(u.distinct()), "celex_id", "left").na.fill(0, ["recitals", "articles", "annexes", "bodies", "units"])
+    w, u = _t(spark, d, "works"), _units(spark, d, "celex_id", "type", "number")
+    p = w.select("celex_id", "language", "document_type").join(structure.profile(u), "celex_id", "left").na.fill(0, ["recitals", "articles", "annexes", "bodies", "units"])
     c = F.col
     return p.select("celex_id", F.coalesce(quality.needs_fallback(c("language"), c("document_type"), c("recitals"), c("articles"), c("annexes")), F.lit(False)).alias("fallback"), quality.needs_pdf_retry(c("units"), c("bodies"), c("articles"), c("recitals")).alias("pdf_retry"))
 
@@ -614,7 +615,7 @@ def _split(granularity):
     def f(spark, d):
         from .functions.splitter import split_units
 
-        u = _t(spark, d, "text_units").where("type = 'article' and text is not null").distinct()
+        u = _units(spark, d, "type", "number", "title", "text").where("type = 'article' and text is not null")
         parts = split_units(F.array("text"), F.col("number"), F.col("title"), granularity, True)
         return u.select("id", parts.alias("us")).select("id", F.posexplode("us").alias("pos", "u")).select("id", "pos", "u.*")
 
@@ -737,8 +738,8 @@ select s.celex_id, case when s.o > coalesce(c, 0) then s.o else c end as article
 )
 def merge_structures(spark, d):
     """English acts cut down to their first two articles are completed from the full ones; others are as they are."""
-    w, u = _t(spark, d, "works", "text_units")
-    full = u.where("type = 'article' and celex_id is not null").distinct()
+    w, u = _t(spark, d, "works"), _units(spark, d, "celex_id", "type", "number", "title", "text")
+    full = u.where("type = 'article' and celex_id is not null")
     eng = w.where("language = 'eng'").select("celex_id", F.lit(True).alias("e"))
     base = full.join(eng, "celex_id", "left").where("e is null or lower(coalesce(number, '')) in ('1', '2')").drop("e")
     solid = full.withColumn("text", F.coalesce("text", F.lit("")))

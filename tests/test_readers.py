@@ -1,4 +1,5 @@
 import pytest
+from lexforge import cases
 from lexforge.functions import com_units, html_units as H, markdown_units as M, recitals as R, splitter as S, tree, translation as X
 from lexforge.functions.quality import repetition
 from lexforge.sources import catalogue as C, pdf
@@ -9,52 +10,30 @@ def brief(us, *fields):
     return [tuple(u[f] for f in fields) for u in us]
 
 
-@pytest.mark.parametrize(
-    ("parts", "granularity", "want"),
-    [
-        (["1. A.", "2. B."], "paragraph", [("1", None, "A."), ("2", None, "B.")]),
-        (["Intro.", "1. A."], "paragraph", [("0", None, "Intro."), ("1", None, "A.")]),
-        (["1. A. 2. B. 3. C."], "paragraph", [("1", None, "A."), ("2", None, "B."), ("3", None, "C.")]),
-        (["1. Stem:", "(a) x;", "(b) y;"], "point", [("1", None, "Stem:"), ("1", "a", "x;"), ("1", "b", "y;")]),
-        (["(a) x", "(b) y", "(i) z", "(ii) w"], "point", [(None, "a", "x"), (None, "b", "y\n(i) z\n(ii) w")]),
-        (["(c) x", "(d) y"], "point", [(None, None, "(c) x\n(d) y")]),
-        (["1. It reads: ‘1. New. 2. Newer.’.", "2. B."], "paragraph", [("1", None, "It reads: ‘1. New. 2. Newer.’."), ("2", None, "B.")]),
-        ([], "article", [(None, None, "")]),
-    ],
-)
-def test_split_article(parts, granularity, want):
-    out = S.split_article(parts, "5", "T", granularity)
-    assert brief(out, "paragraph_num", "point_letter", "text") == want
-    assert [u["title"] for u in out] == ["T"] + [None] * (len(out) - 1)
-
-
-def test_quotes_subparagraphs_amendments():
-    assert S.quoted_regions("known as: ‘Plus’ and so") == [(10, 16)]
-    assert S.quoted_regions("reads: ‘no end") == [(7, 14)]
-    long = ["The first subparagraph is long enough to stand alone.", "The second subparagraph is long enough as well here."]
-    assert [u["subparagraph_num"] for u in S.split_article(long, "1", None, "point", True)] == ["1", "2"]
-    out = S.split_article(["1. Point (a) is deleted.", "2. Article 2 is replaced by: ‘x.’."], "1", "Amendments to Y", "paragraph")
-    assert [u["subtype"] for u in out] == ["amendment_item", None]
-
-
-def test_html_structures():
-    f = ("type", "number", "title", "text")
-    assert brief(H.act_units('<div id="rct_1">(1) A recital of length, more of it</div><div id="art_1"><p class="eli-title">T</p><p>Body.</p></div>'), *f)[1] == ("article", "1", "T", "Body.")
-    assert brief(H.act_units('<p class="Titrearticle">Article 1</p><p class="Titrearticle">Scope</p><p>B.</p><p class="Titrearticle">Article 2</p><p>C.</p>'), "number", "title") == [("1", "Scope"), ("2", None)]
-    got = H.act_units('<p class="title-article-norm">Article 1</p><p class="norm">Text.</p><p class="title-annex-norm">ANNEX I</p><p class="stitle-annex-norm">List</p><p class="norm">x</p>')
-    assert brief(got, *f) == [("article", "1", None, "Text."), ("annex", "I", "List", "x")]
-    rows = "".join(f"<tr><td>({i})</td><td>Recital text number {i}</td></tr>" for i in (1, 2, 3))
-    assert [u["number"] for u in H.act_units(f"<table>{rows}</table><p>HAS ADOPTED</p><p>Article 1</p><p>B.</p>")] == ["1", "2", "3", "1"]
-    assert H.act_units("<p>x</p>", recitals=False, articles=False, annexes=False) == []
-    assert brief(H.act_units("<p>only <b>text</b>"), "type", "text") == [("body", "only text")]
-    assert H.act_units("") == []
+READ = {"case_html": H.act_units, "case_markdown": M.markdown_units, "case_com_pages": com_units.com_units, "case_com_texts": com_units.text_units}
+PAGES = [(q, k) for q, (pages, _) in cases.PAGES.items() for k in pages]
+
+
+@pytest.mark.parametrize(("group", "name"), PAGES, ids=[f"{q}: {k}" for q, k in PAGES])
+def test_pages(group, name):
+    page, want = cases.PAGES[group][0][name]
+    read = next(f for k, f in READ.items() if group.startswith(k))
+    assert brief(read(page), *cases.FIELDS) == want
+
+
+@pytest.mark.parametrize("name", cases.SPLIT)
+def test_split_article(name):
+    granularity, sub, title, parts, want = cases.SPLIT[name]
+    assert brief(S.split_article(parts, "5", title, granularity, sub), *cases.FIELDS) == want
 
 
-def test_text_only_and_quotes():
-    page = "<div id='TexteOnly'>" + "".join(f"<p>{x}</p>" for x in ("Whereas:", "(1)", "A first recital here,", "(2) A second one.", "HAS ADOPTED THIS REGULATION:", "Article 1", "Article 3 is replaced by: ‘Article 3", "New text.’.", "Article 2", "End.", "Done at Town, 1 May 1999.", "ANNEX I", "a", "(1) OJ L 1")) + "</div>"
-    out = H.act_units(page)
-    assert [u["number"] for u in out if u["type"] == "article"] == ["1", "2"]
-    assert [u["text"] for u in out if u["type"] == "annex"] == ["a"]
+def test_switches_and_empty_pages():
+    assert H.act_units("<p>x</p>", recitals=False, articles=False, annexes=False) == []
+    assert brief(H.act_units("<p>only <b>text</b>"), "type", "text") == [("body", "only text")]
+    assert H.act_units("") == [] and M.markdown_units("") == [] and com_units.text_units(" ") == []
+    page = cases.HTML_CLASS["whereas is counted"][0]
+    assert {u["type"] for u in H.act_units(page, recitals=False)} == {"article", "annex"}
+    assert S.quoted_regions("known as: ‘Plus’ and so") == [(10, 16)] and S.quoted_regions("reads: ‘no end") == [(7, 14)]
 
 
 def test_tree_is_tolerant():
@@ -64,32 +43,27 @@ def test_tree_is_tolerant():
     assert tree.table_text(tree.parse("<table><tr><td>a</td><td>b</td></tr><tr><td></td></tr></table>").children[0]) == "a | b"
 
 
-def test_markdown_and_repairs():
-    md = "Whereas:\n(1) First of them;\n(2) Second of them,\nHAS ADOPTED THIS REGULATION:\n## Article 1\nA.\nArticle\n2\nB.\nDone at Town, 1 May 1999.\nBIJLAGE I\nx"
-    assert [(u["type"], u["number"]) for u in M.markdown_units(md)] == [("recital", "1"), ("recital", "2"), ("article", "1"), ("article", "2"), ("annex", "I")]
-    late = ["Whereas something is needed here;", "Done at Town, 1 May 1999.", "HAS ADOPTED THIS DECISION:", "Article 1", "A."]
-    assert M.operative_before_signature(late)[-1].startswith("Done at")
-    kept = ["x", "Done at Town, 1 May 1999.", "AGREEMENT between two parties", "Article 1", "A."]
-    assert M.operative_before_signature(kept) == kept
-    assert M.markers_out_of_tables(["| Article 2 | b |", "This Regulation shall be published."]) == ["| b |", "### Article 2", "This Regulation shall be published."]
-    assert len(M.split_flattened(["as laid down in Article 3 of it. Article 4 The aid is allowed."])) == 2
-    assert M.annex_before_table(["a", "| t |", "ANNEX I"]) == ["a", "ANNEX I", "| t |"]
-    a, l = [S.unit("article", "1", "one")], [S.unit("article", "1", "eins"), S.unit("article", "2", "zwei")]
-    assert brief(M.merge_text_layer(a, l), "number", "text") == [("1", "one"), ("2", "zwei")]
+def test_text_layer():
+    a, l = [S.unit("article", "1", "one")], [S.unit("article", "1", "eins"), S.unit("article", "2", "zwei und mehr")]
+    assert brief(M.merge_text_layer(a, l), "number", "text") == [("1", "one"), ("2", "zwei und mehr")]
     assert M.merge_text_layer(a, l[1:]) == a
+    assert M.sanitise_recovered("The levy is ten. Having regard to the Treaty, more") == "The levy is ten."
+    assert M.sanitise_recovered("The levy is ten. 12. 80 Official Journal of the European Communities No L 4/5 more") == "The levy is ten."
+    assert M.sanitise_recovered("The levy is ten. (2) OJ No L 4, p. 1") == "The levy is ten." and M.sanitise_recovered("12. 80") == ""
+
+
+def test_lines_that_are_references():
+    assert R.article_head("Article 4 of it") == ("4", "of it") and R.article_head("Article 4a Scope") == ("4a", "Scope") and R.article_head("Article of faith") is None and R.article_head("Articles 1 and 2") is None
+    assert R.reference("of it") and R.reference("(2) and") and R.reference("To that end") and not R.reference("Officers")
+    assert not R.refers("In order to") and not R.refers("To that end") and R.refers("of the act") and R.refers("thereof.") and not R.refers("official aid")
+    assert R.cites("OJ No L 3, p. 1") and R.cites("[1974] ECR 837.") and not R.cites("Case law says")
 
 
 def test_recital_rules():
     rows = [(1, "a"), (2, "b"), (1, "x"), (2, "y"), (3, "c")]
     assert [t for _, t in R.drop_restarts(rows)] == ["a", "b", "c"]
     assert R.sequence_ok(["sole"]) and R.sequence_ok(["1", "1a", "2"]) and not R.sequence_ok(["1", "3"])
-    assert R.recital("1", "(1)") is None
-
-
-def test_com():
-    page = '<body><p class="Heading1">1. Intro</p><p class="Normal">One<a class="footnoteRef">3</a>.</p><table><tr><td>a</td></tr></table><p class="Normal">Done at Town</p><p class="Normal">no</p><dl><dd id="footnote3"><a class="footnote">(3)</a> (3) Note.</dd></dl></body>'
-    assert brief(com_units.com_units(page), "type", "title", "subtype", "text")[:2] == [("paragraph", "1. Intro", None, "One ."), ("paragraph", "1. Intro", "table", "a")]
-    assert brief(com_units.text_units("# Title\n\nSome text.\n\n. .\n\n| a | b |\n\nMore text."), "title", "text") == [("Title", "Some text."), ("Title", "More text.")]
+    assert R.recital("1", "(1)", 3) is None and R.credible_from([(3, "abc"), (4, "abd")]) == 3 and R.credible_from([(1, "abc")]) is None
 
 
 def test_translation_rules():
