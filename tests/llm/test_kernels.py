@@ -153,14 +153,25 @@ def lexicon():
 def test_glyph_edits():
     lex = lexicon()
     assert [lex.misread(w) for w in ("dedaration", "b0rder", "compefenf", "pendmg", "wìthin", "iinder", "border", "zzzz", "e471", "12")] == ["declaration", "border", "competent", "pending", "within", "under", None, None, None, None]
-    lex.words["c0mmittee"] = 20
-    lex.purge()
-    assert "c0mmittee" not in lex.words and "committee" in lex.words
+    assert lex.links("border") == [] and lex.links("b0rder", 4999) == ["border"] and lex.links("b0rder", 5000) == []
+
+
+def test_vectors_tell_contexts_apart():
+    m = np.zeros((40, 40))
+    m[:20, 20:30] = m[20:30, :20] = 9
+    m[:10, 30:] = m[30:, :10] = 9
+    v = noise._vectors(m, 8)
+    assert v[25] @ v[26] > 0.9 > 0.5 > v[25] @ v[35]
 
 
 def test_noise_kinds_and_repair():
     lex = lexicon()
-    ex = lambda t: noise.examine(t, lex, set())
+
+    def ex(t):
+        kinds, text = noise.tidy(t, lex)
+        wrong = {w: lex.misread(w) for w in noise.suspects(text, lex, set())}
+        return kinds | ({"misread"} if wrong else set()), noise.corrected(text, wrong)
+
     assert ex("the cross-\nborder plant") == (set(), "the cross-border plant")
     assert ex("the com-\nmittee rule") == ({"hyphenation"}, "the committee rule")
     assert ex("the com¬ \r\nmittee rule")[0] == {"hyphenation"}
@@ -175,4 +186,4 @@ def test_noise_kinds_and_repair():
 
 def test_misspelt_codes_stay():
     lex = lexicon()
-    assert noise.examine("E471 CO2 PM10 20a " + string.ascii_uppercase * 3, lex, set())[0] == set()
+    assert noise.suspects("E471 CO2 PM10 20a " + string.ascii_uppercase * 3, lex, set()) == set()

@@ -222,7 +222,7 @@ def test_more_headings_than_the_former_cap(spark):
     words = ["".join(w) for w in itertools.islice(itertools.product("gjkpsxz", repeat=6), 50_100)]  # no glyph edits
     lines = ["".join(f"it goes\nHead {w}\non so\n" for w in words[i::100]) for i in range(100)]
     d = spark.createDataFrame([(t,) for t in lines * 5], "text string").repartition(4)
-    assert len(noise.fit(d).headings) == 50_100
+    assert len(noise.fit(d).lexicon.headings) == 50_100
 
 
 def test_near_duplicate_groups_are_the_components_of_the_links(spark):
@@ -281,3 +281,16 @@ def test_one_record_with_many_items(spark):
     out = cooccurrence.labels_together(d, "celex_id", "eurovoc_label", 1, 0)
     n = out.agg(F.count(F.lit(1)).alias("n"), F.sum("n_both").alias("s")).first()
     assert n.n == 1500 * 1499 // 2 and n.s == n.n + 1
+
+
+def test_a_word_that_only_looks_like_another_one_is_no_noise(spark):
+    """'horder' stands where 'border' does, 'hulk' stands in contexts of its own and not in those of 'bulk'."""
+    r = random.Random(31)
+    a, b = [[x + y for y in ("ton", "ver", "sil", "dor", "mak", "pel")] for x in ("ba", "zu")]
+    say = lambda ws, w: " ".join([r.choice(ws), r.choice(ws), w, r.choice(ws), r.choice(ws)])
+    rows = [(f"k{i}", " ".join(say(a, "border") for _ in range(4)) + " . . " + " ".join(say(a, "bulk") for _ in range(4)) + " . . " + " ".join(say(b, "quiet") for _ in range(4))) for i in range(200)]
+    rows += [("x", say(a, "horder")), ("y", " . . ".join(say(b, "hulk") for _ in range(2)))]
+    df = table(spark, rows)
+    got = {tuple(x) for x in noise.scanned_noise(df, "id", "t").collect()}
+    assert got == {("x", "misread")}
+    assert {x.key: x.text.split()[2] for x in noise.scanned_noise(df, "id", "t", True).collect()} == {"x": "border"}
