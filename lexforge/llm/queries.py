@@ -125,6 +125,24 @@ def p8_shares(spark, d):
     return _mix(spark, d)[1]
 
 
+def p8_kept(spark, d):
+    """Of each source: whether no record is used too often, whether the selected tokens are those of its blocks but for a
+    document a shard, and whether no other source that holds more had a better claim to its last block."""
+    chosen, report = _mix(spark, d)
+    t = table(spark, d, "mix_targets").select(F.lower(F.trim(F.regexp_replace("source", "[\\t\\u00a0]", " "))).alias("source"), F.coalesce("max_repeats", F.lit(1)).alias("most"))
+    used = chosen.groupBy("source").agg(F.max("uses").alias("uses"), F.max("tokens").alias("longest"))
+    r = report.join(t, "source").join(used, "source", "left").na.fill(0, ["uses", "longest"])
+    capped = (F.col("blocks") + 1) * 1024 > F.col("most") * F.col("available_tokens")
+    best = r.where(~capped).agg(F.coalesce(F.max(F.col("target_share") / (2 * F.col("blocks") + 1)), F.lit(0.0)).alias("next"))
+    r = r.crossJoin(F.broadcast(best))  # one row
+    shards = F.ceil(F.col("available_tokens") / 20_000_000)
+    return r.select(
+        "source", "target_share", (F.col("uses") <= F.col("most")).alias("uses_kept"),
+        (F.abs(F.col("selected_tokens") - 1024 * F.col("blocks")) <= shards * F.col("longest")).alias("quota_kept"),
+        ((F.col("blocks") == 0) | (F.col("target_share") / (2 * F.col("blocks") - 1) >= F.col("next") - 1e-12)).alias("apportioned"),
+    )
+
+
 def p9_found(spark, d):
     return repetition.repetitive(_documents(spark, d, "lang"), "doc_id", "text", "lang")
 
@@ -133,9 +151,15 @@ def p9_scores(spark, d):
     return repetition.judge(_documents(spark, d, "lang"), "doc_id", "text", "lang").select("doc_id", "lang", "words", "windows", "share", "verdict")
 
 
+def p9_shares(spark, d):
+    """Words, windows of five words and the share of repeated ones of every document."""
+    s = repetition.scores(_documents(spark, d, "lang"), "doc_id", "text", "lang")
+    return s.select("doc_id", "words", "windows", F.round("share", 6).alias("share")).distinct()
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_groups, p3_found, p3_pieces, p3_whole, p4_found, p4_pairs, p5_found, p5_repaired, p6_found, p6_shared, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_scores)
+    for f in (p2_found, p2_groups, p3_found, p3_pieces, p3_whole, p4_found, p4_pairs, p5_found, p5_repaired, p6_found, p6_shared, p7_found, p7_leaks, p8_mix, p8_shares, p8_kept, p9_found, p9_scores, p9_shares)
 }
 
 _E = """with e as (select distinct upper(trim(celex_id, ' ' || chr(9) || chr(160))) as r,
@@ -163,8 +187,33 @@ c as (select a.tn, a.k as ka, b.k as kb, count(*) as c from g a join g b on a.tn
 e as (select c.tn, ka, kb from c join n x on x.tn = c.tn and x.k = ka join n y on y.tn = c.tn and y.k = kb where c >= 0.8 * (x.n + y.n - c)),
 t as (select tn, ka, kb from e union select t.tn, t.ka, e.kb from t join e on t.tn = e.tn and t.kb = e.ka)
 select tn as table_name, ka as record_key, min(kb) as group_key, count(*) as group_size from t group by 1, 2"""
+_LEVELS = (30, 60, 120, 240, 480, 960, 1920, 3840, 7680, 15360)
+_P6_SHARED = (
+    f"""with r as ({_ROWS_SQL}), w as (select tn, k, regexp_extract_all(text, '[^ \t\n\r]+') as w from r),
+g as (select tn, k, i, hash(w[i:i+29]) as h from w, unnest(range(1, greatest(len(w) - 28, 1))) u(i) where len(w) >= 30),
+s as (select tn, h from g group by tn, h having count(distinct k) > 1),
+c as (select distinct tn, k, i from g join s using (tn, h)),
+e as (select tn, k, least(30, coalesce(i - lag(i) over (partition by tn, k order by i), 30)) as n from c),
+t as (select tn, k, sum(n) as shared_tokens from e group by tn, k),
+v as (select w.tn, w.k, w.w from w join t on t.tn = w.tn and t.k = w.k),
+"""
+    + ", ".join(
+        f"g{n} as (select tn, k, hash(w[i:i+{n - 1}]) as h from v, unnest(range(1, greatest(len(w) - {n - 2}, 1))) u(i) where len(w) >= {n}), "
+        f"l{n} as (select distinct tn, k, {n} as level from g{n} join (select tn, h from g{n} group by tn, h having count(distinct k) > 1) using (tn, h))"
+        for n in _LEVELS
+    )
+    + ", x as (select tn, k, max(level) as level from ("
+    + " union all ".join(f"select * from l{n}" for n in _LEVELS)
+    + """) group by tn, k)
+select t.tn as table_name, t.k as record_key, len(v.w) as tokens, shared_tokens, round(shared_tokens / len(v.w), 6) as shared_share, level from t join v on v.tn = t.tn and v.k = t.k join x on x.tn = t.tn and x.k = t.k"""
+)
 SQL = {
     "p2_groups": _P2_GROUPS,
+    "p6_shared": _P6_SHARED,
+    "p8_kept": "select lower(trim(source, ' ' || chr(9) || chr(160))) as source, target_share, true as uses_kept, true as quota_kept, true as apportioned from mix_targets",
+    "p9_shares": f"""with d as (select distinct doc_id, {_W} as w from documents union select doc_id, [] from documents where text is null),
+g as (select doc_id, len(w) as words, greatest(len(w) - 4, 0) as windows, list_unique([hash(w[k:k+4]) for k in range(1, greatest(len(w) - 3, 1))]) as u from d where w is not null)
+select distinct doc_id, words, windows, case when windows = 0 then 0.0 else round(1 - u / windows, 6) end as share from g""",
     "p3_found": "select distinct 'works' as table_name, celex_id as record_key from works where length(full_text) > 8000 and celex_id is not null union all select distinct 'text_units', cast(id as varchar) from text_units where length(text) > 2000 and id is not null",
     "p3_whole": """with r as (select distinct 'works' as table_name, celex_id as record_key, full_text as t from works where length(full_text) > 8000 and celex_id is not null
 union all select 'text_units', cast(id as varchar), min(text) from text_units where length(text) > 2000 and id is not null group by id)
