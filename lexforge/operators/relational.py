@@ -88,6 +88,12 @@ def procedures_to_ids(rows: DataFrame) -> DataFrame:
     return rows.select("procedure", F.coalesce("work", p).alias("celex_id")).where("celex_id is not null").distinct()
 
 
+def concept_info(rows: DataFrame) -> DataFrame:
+    """rows (concept, data_type, value): one row a concept with the least definition and the sorted labels around it."""
+    many = lambda k: F.array_sort(F.collect_set(F.when(F.col("data_type") == k, F.col("value")))).alias(k)
+    return rows.groupBy("concept").agg(F.min(F.when(F.col("data_type") == "definition", F.col("value"))).alias("definition"), many("broader"), many("narrower"), many("related"))
+
+
 def set_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     """(key, side): both, left, right."""
     j = a.distinct().withColumn("a", F.lit(1)).join(b.distinct().withColumn("b", F.lit(1)), a.columns[0], "full_outer")

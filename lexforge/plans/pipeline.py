@@ -10,15 +10,21 @@ import uuid
 from datetime import datetime, timezone
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType
 
-from ..functions import com_units, html_units, ids as I, markdown_units, text as T
+from ..functions import com_units, html_units, ids as I, markdown_units, quality, text as T, translation as X
+from ..functions import splitter
 from ..functions.splitter import UNIT
 from ..operators import relational as R, store as S, structure
 from ..session import durable
 from ..sources import pdf
-from ..sources.config import Config
+from ..sources.config import Config, Descriptive
+from ..sources.protocols import CatalogueSource
 
+#: Type of the only unit of a document on which its reader failed; the text is the reason.
+BROKEN = "broken"
 TRIPLE = ["source_celex", "target_celex", "relation_type"]
 RELATION_TYPES = ("cites", "amends", "adopts", "based_on", "proposes_to_amend", "consolidates")
 
@@ -26,24 +32,52 @@ RELATION_TYPES = ("cites", "amends", "adopts", "based_on", "proposes_to_amend",
 def parse_units(content: DataFrame, granularity: str = "article", recitals: bool = True, articles: bool = True, annexes: bool = True) -> DataFrame:
     """content (celex_id, document_type, content_type, body): (celex_id, pos, unit fields). Each document goes to the
     reader of its route; documents without a route have no units."""
-    d = content.withColumn("route", I.route(F.col("document_type"))).where("body is not null")
-    html, md = F.col("content_type") == "html", F.col("content_type") != "html"
-    parts = [
-        (d.where((F.col("route") == "structural") & html), html_units.html_units(F.col("body"), granularity, recitals, articles, annexes)),
-        (d.where((F.col("route") == "structural") & md), markdown_units.md_units(F.col("body"), granularity)),
-        (d.where((F.col("route") == "com") & html), com_units.com_html_units(F.col("body"))),
-        (d.where((F.col("route") == "com") & md), com_units.com_text_units(F.col("body"))),
-    ]
-    keep = F.lit(False)
-    for k, v in (("recital", recitals), ("article", articles), ("annex", annexes)):
-        keep = keep | (F.col("type") == k) if v else keep
-    keep = keep | F.col("type").isin("paragraph", "footnote", "body")
-    out = None
-    for df, units in parts:
-        u = df.select("celex_id", units.alias("us")).select("celex_id", F.posexplode("us").alias("pos", "u"))
-        u = u.select("celex_id", "pos", *[F.col(f"u.{n}").alias(n) for n in UNIT.names]).where(keep)
-        out = u if out is None else out.unionByName(u)
-    return out
+    d = content.withColumn("route", I.route(F.col("document_type"))).where("body is not null and route in ('structural', 'com')")
+    us = _units(F.col("body"), F.col("route"), F.col("content_type") == "html", F.lit(granularity), F.lit(recitals), F.lit(articles), F.lit(annexes))
+    u = d.select("celex_id", us.alias("us")).select("celex_id", F.posexplode("us").alias("pos", "u"))
+    return u.select("celex_id", "pos", *[F.col(f"u.{n}").alias(n) for n in UNIT.names])
+
+
+@F.pandas_udf(ArrayType(UNIT))
+def _units(body: pd.Series, route: pd.Series, html: pd.Series, g: pd.Series, r: pd.Series, a: pd.Series, x: pd.Series) -> pd.Series:
+    """The reader of each document's route over one scan of all documents."""
+
+    def read(body, route, html, *wanted):
+        try:
+            if route == "structural":
+                return html_units.act_units(body, *wanted) if html else markdown_units.markdown_units(body, *wanted)
+            return com_units.com_units(body) if html else com_units.text_units(body)
+        except Exception as e:  # one document must not end the run of all
+            return [splitter.unit(BROKEN, None, f"{type(e).__name__}: {e}"[:500])]
+
+    return pd.Series([read(*row) for row in zip(body, route, html, g, r, a, x)])
+
+
+def with_fallbacks(units: DataFrame, content: DataFrame, alternatives: DataFrame | None, originals: DataFrame | None, *how) -> DataFrame:
+    """The chain behind the first reading. content and alternatives (celex_id, document_type, content_type, language, body).
+
+    An act whose structures came out too thin is read again from its alternative (a PDF, another language): that reading
+    takes the place of the first if no count falls and one grows, else it fills the articles and annexes that only it has.
+    originals (celex_id of a consolidated act, the rest of its original): recitals are those of the original.
+    """
+    if alternatives is not None:
+        units = durable(units)
+        docs = content.select("celex_id", "document_type", "language").distinct()
+        counts = ["recitals", "articles", "annexes", "bodies", "units"]
+        p = docs.join(structure.profile(units), "celex_id", "left").na.fill(0, counts)
+        c = F.col
+        thin = F.coalesce(quality.needs_fallback(c("language"), c("document_type"), c("recitals"), c("articles"), c("annexes")), F.lit(False))
+        weak = p.where(thin | (quality.needs_pdf_retry(c("units"), c("bodies"), c("articles"), c("recitals")) & (I.route(c("document_type")) == "structural")))
+        other = durable(parse_units(alternatives.join(weak.select("celex_id"), "celex_id", "left_semi"), *how).where(F.col("type") != BROKEN))
+        q = structure.profile(other).withColumnsRenamed({k: f"new_{k}" for k in counts})
+        better = quality.adopt_candidate({k: c(k) for k in counts[:3]}, {k: c(f"new_{k}") for k in counts[:3]})
+        taken = durable(weak.join(q, "celex_id").where(better).select("celex_id"))
+        kept = units.join(taken, "celex_id", "left_anti")
+        filled = structure.merge_units(kept, other.join(taken, "celex_id", "left_anti").where("type in ('article', 'annex')"))
+        units = filled.unionByName(other.join(taken, "celex_id", "left_semi"))
+    if originals is not None:
+        units = R.original_recitals(units, parse_units(originals, *how))
+    return units
 
 
 def tidy_units(units: DataFrame, strip: bool = True) -> DataFrame:
@@ -111,11 +145,11 @@ def negotiated(attempts: DataFrame, load_pdf=None) -> DataFrame:
     )
 
 
-def process(data: S.Dataset, config: Config, metadata: DataFrame, content: DataFrame) -> dict[str, int]:
+def process(data: S.Dataset, config: Config, metadata: DataFrame, content: DataFrame, alternatives: DataFrame | None = None, originals: DataFrame | None = None) -> dict[str, int]:
     """One batch into the dataset. metadata: catalogue rows; content (celex_id, content_type, language, body), body null
     where the document had none, and, where the source tells them, outcome and error. A document whose outcome is
     'retry' is checked off as failed with its error and changes no other table; it remains to be done. Tables are written
-    in order, the checkpoint last, so a broken run repeats the batch."""
+    in order, the checkpoint last, so a broken run repeats the batch. alternatives, originals: see with_fallbacks."""
     p = config.processing
     failed = content.limit(0).select("celex_id", F.lit(None).cast("string").alias("error"))
     if "outcome" in content.columns:
@@ -123,7 +157,16 @@ def process(data: S.Dataset, config: Config, metadata: DataFrame, content: DataF
         metadata, content = (df.join(failed, "celex_id", "left_anti") for df in (metadata, content))
     meta, rel, voc = decode_metadata(metadata)
     c = content.join(meta.select("celex_id", "document_type"), "celex_id", "left")
-    units = tidy_units(parse_units(c, p.text_unit_granularity, p.include_recitals, p.include_articles, p.include_annexes), p.strip_boilerplate)
+    how = (p.text_unit_granularity, p.include_recitals, p.include_articles, p.include_annexes)
+    named = [None if x is None else x.join(meta.select("celex_id", "document_type"), "celex_id") for x in (alternatives, originals)]
+    first = durable(parse_units(c, *how))
+    broken = durable(first.where(F.col("type") == BROKEN).select("celex_id", F.col("text").alias("error")))
+    if not broken.isEmpty():
+        failed = failed.unionByName(broken)
+        meta, c, content, first = (df.join(broken.select("celex_id"), "celex_id", "left_anti") for df in (meta, c, content, first))
+        rel = rel.join(broken.select(F.col("celex_id").alias("source_celex")), "source_celex", "left_anti")
+        voc = voc.join(broken.select("celex_id"), "celex_id", "left_anti")
+    units = tidy_units(with_fallbacks(first, c, *named, *how), p.strip_boilerplate)
     full = F.when(F.col("content_type") == "html", html_full_text(F.col("body"))).otherwise(F.col("body"))
     w = meta.join(content.withColumn("full_text", full), "celex_id", "left").select(
         "celex_id", "title", "date_adopted", "document_type", "language", "full_text", F.lit(None).cast("string").alias("full_text_original"),
@@ -181,14 +224,29 @@ def run_row(config: Config, version: str = "0.1.0") -> dict:
     }
 
 
-def run(data: S.Dataset, config: Config, fetch) -> str:
-    """fetch(ids DataFrame) -> (metadata rows, content rows). Returns the run's status."""
+def selected(config: Config, source: CatalogueSource) -> DataFrame:
+    """The ids that a configuration asks for: given ones and those of procedures, or those of types, dates and keywords."""
+    d = config.data
+    if isinstance(d, Descriptive):
+        concepts = source.concepts(d.keywords) if d.keywords else []
+        return source.discover(d.document_types, d.start_date, d.end_date, concepts, d.include_corrigenda, d.include_consolidated)
+    return R.procedures_to_ids(source.procedures(d.procedure_numbers)).select("celex_id")
+
+
+def run(data: S.Dataset, config: Config, fetch=None, source: CatalogueSource | None = None) -> str:
+    """Returns the run's status. source: finds the ids and reads them; or fetch(ids DataFrame) -> (metadata rows, content
+    rows) for ids that the configuration gives."""
     row = run_row(config)
     data.write("dataset_runs", S.start_run(data.read("dataset_runs"), row))
     try:
         ids = data.spark.createDataFrame([(i,) for i in getattr(config.data, "celex_ids", [])], "celex_id string")
-        todo = S.remaining(ids, data.read("work_checkpoint"), config.processing.limit)
-        counts = process(data, config, *fetch(todo))
+        if isinstance(config.data, Descriptive) or config.data.procedure_numbers:
+            if source is None:
+                raise ValueError("this configuration needs a catalogue to find its documents in")
+            ids = ids.unionByName(selected(config, source)).distinct()
+        todo = durable(S.remaining(ids, data.read("work_checkpoint"), config.processing.limit))
+        got = fetch(todo) if fetch else (source.metadata(todo), source.content(todo))
+        counts = process(data, config, *got)
         status = "complete_with_failures" if counts.get("failed") else "complete"
     except Exception:
         data.write("dataset_runs", S.finish_run(data.read("dataset_runs"), row["run_id"], "failed", datetime.now(timezone.utc)))
@@ -197,6 +255,35 @@ def run(data: S.Dataset, config: Config, fetch) -> str:
     return status
 
 
+def translate(data: S.Dataset, load, max_chars: int = X.MAX_CHARS, policy: int = 1) -> dict[str, int]:
+    """Both passes of translation with an injected tokenizer and model (see functions/translation.py): full texts of foreign
+    works, then their units. What is refused goes to the ledger `translation_failures`, which holds it back until its
+    text or the policy changes. Returns how many texts of each pass were translated and refused."""
+    works, units = data.read("works"), data.read("text_units")
+    ledger = durable(S.current_failures(data.read("translation_failures"), works, units, policy))
+    w = X.pending_full_texts(works, ledger)
+    full = durable(X.translate_units(w, "celex_id", "full_text", load, max_chars, True))
+    foreign = works.where("language <> 'eng'").select("celex_id")
+    held = ledger.where("scope = 'unit'").select(F.col("record_id").alias("unit_key"))
+    u = units.where("text_translated is null and unit_key is not null").join(foreign, "celex_id", "left_semi").join(held, "unit_key", "left_anti")
+    part = durable(X.translate_units(u, "unit_key", "text", load, 0))
+    sha = lambda c: F.sha2(c, 256).alias("source_sha256")
+    sources = works.select(F.lit("full_text").alias("scope"), F.col("celex_id").alias("record_id"), "celex_id", sha("full_text"))
+    sources = sources.unionByName(u.select(F.lit("unit").alias("scope"), F.col("unit_key").alias("record_id"), "celex_id", sha("text")))
+    said = full.withColumn("scope", F.lit("full_text")).unionByName(part.withColumn("scope", F.lit("unit"))).withColumnRenamed("key", "record_id")
+    refused = said.where("reason is not null and reason <> 'too_long'").join(sources, ["scope", "record_id"])
+    refused = refused.select("scope", "record_id", "celex_id", "source_sha256", "reason", F.lit(policy).alias("policy_version"), F.current_timestamp().alias("attempted_at"))
+    names = S.SCHEMAS["translation_failures"].names
+    refused = durable(refused.select(*names))
+    data.write("works", X.apply_full_text(works, full))
+    done = part.where("translation is not null").select(F.col("key").alias("unit_key"), "translation")
+    new = units.join(done, "unit_key", "left").withColumn("text_translated", F.coalesce("text_translated", "translation"))
+    data.write("text_units", new.select(*S.SCHEMAS["text_units"].names))
+    data.write("translation_failures", ledger.select(*names).unionByName(refused))
+    counts = said.groupBy("scope").agg(F.count("translation").alias("ok"), F.count_if(F.col("translation").isNull()).alias("no")).collect()
+    return {f"{r['scope']}_{k}": r[c] for r in counts for k, c in (("translated", "ok"), ("refused", "no"))}
+
+
 def enrich(data: S.Dataset, fetch, categories: tuple[str, ...] = S.CATEGORIES, force: bool = False) -> int:
     """fetch(ids) -> catalogue rows with sentinels. Returns how many documents were completed."""
     todo = S.missing_categories(data.read("works"), data.read("enrichment_checkpoint"), categories, force)

@@ -17,14 +17,19 @@ import urllib.parse
 import urllib.request
 from html.parser import HTMLParser
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, MapType, StringType, StructField, StructType
+
+from ..functions import ids as I
+from .protocols import CatalogueSource
 
 #: Seconds between requests of all partitions together, and limits of a request (fixed values).
 REST_INTERVAL, ENRICH_INTERVAL, TIMEOUT, DISCOVERY_TIMEOUT = 0.1, 0.15, 20, 120
 RETRY_STATUS = {429, 500, 502, 503, 504}
 SENTINEL = "zz_complete_"
+#: data_type of the row that stands for an answer that did not come, its value the reason (option on_failure=row).
+FAILURE = "zz_failure"
 #: Fields of each enrichment category (fixed values).
 FIELDS = {
     "metadata": ["date_entry_into_force", "date_end_of_validity", "is_in_force", "eli", "author", "subject_matter", "procedure_type", "procedure_reference", "procedure_legal_basis"],
@@ -81,6 +86,42 @@ def discovery_query(codes: list[tuple[str, str]], start: str, end: str, concepts
     return f'SELECT DISTINCT ?c WHERE {{ ?work cdm:resource_legal_id_celex ?c ; cdm:work_date_document ?d .{voc} FILTER({kinds}) FILTER(?d >= "{start}"^^xsd:date && ?d <= "{end}"^^xsd:date){more} }} ORDER BY ?c'
 
 
+def concept_query(keywords: list[str], scheme: str) -> str:
+    """English preferred and alternative labels of a scheme that hold one of the keywords, letter case aside."""
+    holds = " || ".join(f'CONTAINS(LCASE(STR(?label)), "{escape(k.lower())}")' for k in keywords)
+    return f'SELECT DISTINCT ?concept ?label WHERE {{ ?concept skos:inScheme <{scheme}> . {{ ?concept skos:prefLabel ?label }} UNION {{ ?concept skos:altLabel ?label }} FILTER(LANGMATCHES(LANG(?label), "en")) FILTER({holds}) }} ORDER BY ?concept ?label'
+
+
+#: What is asked about a concept: kind -> path from the concept to the text (fixed values).
+CONCEPT_PATHS = {"definition": "skos:definition", "broader": "skos:broader/skos:prefLabel", "narrower": "skos:narrower/skos:prefLabel", "related": "skos:related/skos:prefLabel"}
+
+
+def concept_info_query(concept: str) -> str:
+    """Definition of a concept and English labels of those around it: rows (data_type, value)."""
+    parts = [f'{{ <{concept}> {path} ?value . BIND("{kind}" AS ?data_type) }}' for kind, path in CONCEPT_PATHS.items()]
+    return f'SELECT DISTINCT ?data_type ?value WHERE {{ {" UNION ".join(parts)} FILTER(LANGMATCHES(LANG(?value), "en")) }} ORDER BY ?data_type ?value'
+
+
+def procedure_query(numbers: list[str]) -> str:
+    """Adopted act and proposal of procedures, either of which may be missing."""
+    values = " ".join(f'"{escape(n)}"' for n in numbers)
+    return f"SELECT DISTINCT ?procedure ?work ?proposal WHERE {{ VALUES ?procedure {{ {values} }} ?dossier cdm:procedure_code_interinstitutional_reference_procedure ?procedure . OPTIONAL {{ ?dossier cdm:dossier_contains_work/cdm:resource_legal_id_celex ?work }} OPTIONAL {{ ?dossier cdm:dossier_initiated_by_work/cdm:resource_legal_id_celex ?proposal }} }}"
+
+
+def manifest_query(celex: str) -> str:
+    """Language and address of the PDF manifestations of an act: rows (data_type: language, value: address)."""
+    return f'SELECT DISTINCT ?data_type ?value WHERE {{ {id_filter(celex)} ?e cdm:expression_belongs_to_work ?work ; cdm:expression_uses_language/skos:notation ?data_type . ?value cdm:manifestation_manifests_expression ?e ; cdm:manifestation_type ?t . FILTER(CONTAINS(LCASE(STR(?t)), "pdf")) }} ORDER BY ?data_type ?value'
+
+
+def manifest(rows: list[dict]) -> dict[str, str]:
+    """Language -> address of its first PDF; languages as three small letters."""
+    out: dict[str, str] = {}
+    for r in rows:
+        if r["data_type"] and r["value"]:
+            out.setdefault(r["data_type"].rsplit("/", 1)[-1].lower(), r["value"])
+    return out
+
+
 def bindings(answer) -> list[dict]:
     if not isinstance(answer, dict):
         raise TransientError("the endpoint did not answer with an object")
@@ -212,18 +253,39 @@ class _SparqlReader(_Reader):
             q = enrichment_query(i, cats, preds) if cats else metadata_query(i, preds)
             status, body = http.get(self.o["endpoint"] + "?" + urllib.parse.urlencode({"query": q, "format": "application/sparql-results+json"}))
             if status != 200:
-                if self.o.get("on_failure") == "skip":
+                if self.o.get("on_failure") == "row":
+                    yield (i, FAILURE, f"status {status}", None, None, None)
                     continue
                 raise TransientError(f"{i}: status {status}")
             rows = bindings(json.loads(body))
             if cats and not complete(rows, cats):
-                if self.o.get("on_failure") == "skip":
+                if self.o.get("on_failure") == "row":
+                    yield (i, FAILURE, "the answer is not whole", None, None, None)
                     continue
                 raise TransientError(f"{i}: the answer is not whole")
             for r in rows:
                 yield (i, r["data_type"], r["value"], r["value_type"], r["datatype"], r["lang"])
 
 
+class _QueryReader(_Reader):
+    """One query's answer as it is: a map of the variables of each row."""
+
+    def partitions(self):
+        return [_Slice([])]
+
+    def read(self, partition):
+        http = Http(float(self.o.get("interval", REST_INTERVAL)), self.o.get("recorded"))
+        url = self.o["endpoint"] + "?" + urllib.parse.urlencode({"query": self.o["query"], "format": "application/sparql-results+json"})
+        status, body = http.get(url, timeout=DISCOVERY_TIMEOUT)
+        if status != 200:
+            raise TransientError(f"status {status}")
+        answer = json.loads(body)
+        if not isinstance(answer, dict):
+            raise TransientError("the endpoint did not answer with an object")
+        for b in answer.get("results", {}).get("bindings", []):
+            yield ({k: v.get("value") for k, v in b.items()},)
+
+
 class _RestReader(_Reader):
     def read(self, partition):
         http = self.session(REST_INTERVAL)
@@ -259,6 +321,18 @@ class SparqlSource(DataSource):
         return _SparqlReader(dict(self.options))
 
 
+class QuerySource(DataSource):
+    @classmethod
+    def name(cls):
+        return "lex_query"
+
+    def schema(self):
+        return StructType([StructField("row", MapType(StringType(), StringType()))])
+
+    def reader(self, schema):
+        return _QueryReader(dict(self.options))
+
+
 class RestSource(DataSource):
     @classmethod
     def name(cls):
@@ -274,6 +348,7 @@ class RestSource(DataSource):
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(SparqlSource)
     spark.dataSource.register(RestSource)
+    spark.dataSource.register(QuerySource)
 
 
 def probe_pdf(http: Http, base: str, most: int = 4) -> bytes | None:
@@ -288,3 +363,47 @@ def probe_pdf(http: Http, base: str, most: int = 4) -> bytes | None:
         if status not in (200, 404):
             return None
     return None
+
+
+def fetch_pdf(http: Http, addresses: dict[str, str], languages: tuple[str, ...]) -> tuple[bytes, str] | None:
+    """The first PDF there is in the order of the languages, and its language; addresses as manifest() gives them."""
+    for lang in languages:
+        if lang in addresses and (body := probe_pdf(http, addresses[lang])) is not None:
+            return body, lang
+    return None
+
+
+class RemoteCatalogue(CatalogueSource):
+    """A SPARQL endpoint and a REST store. options: as of the data sources (endpoint, rest, predicates, recorded, ...)."""
+
+    def __init__(self, spark: SparkSession, scheme: str = "http://eurovoc.europa.eu/100141", load_pdf=None, **options: str):
+        register(spark)
+        self.spark, self.scheme, self.load_pdf, self.options = spark, scheme, load_pdf, options
+
+    def _ask(self, query: str):
+        return self.spark.read.format("lex_query").options(query=query, **self.options).load()
+
+    def concepts(self, keywords: list[str]) -> list[str]:
+        return sorted({r[0] for r in self._ask(concept_query(keywords, self.scheme)).select("row.concept").collect()})
+
+    def discover(self, types: list[str], start, end, concepts: list[str], corrigenda: bool, consolidated: bool) -> DataFrame:
+        codes = [(t, s) for t, name in I.DOC_TYPES.items() if name in types for s in I.SECTORS[name]]
+        return self._ask(discovery_query(codes, str(start), str(end), concepts, corrigenda, consolidated)).select(F.col("row.c").alias("celex_id")).distinct()
+
+    def procedures(self, numbers: list[str]) -> DataFrame:
+        return self._ask(procedure_query(numbers)).select("row.procedure", "row.work", "row.proposal")
+
+    def _of(self, name: str, ids: DataFrame, **more: str) -> DataFrame:
+        known = json.dumps([r[0] for r in ids.select("celex_id").collect()])
+        return self.spark.read.format(name).options(ids=known, **(self.options | more)).load()
+
+    def metadata(self, ids: DataFrame) -> DataFrame:
+        return self._of("lex_sparql", ids).select("celex_id", "data_type", "value")
+
+    def enrichment(self, ids: DataFrame, categories: tuple[str, ...]) -> DataFrame:
+        return self._of("lex_sparql", ids, categories=",".join(categories), on_failure="row").select("celex_id", "data_type", "value")
+
+    def content(self, ids: DataFrame) -> DataFrame:
+        from ..plans.pipeline import negotiated
+
+        return negotiated(self._of("lex_rest", ids, endpoint=self.options.get("rest", self.options.get("endpoint", ""))), self.load_pdf)

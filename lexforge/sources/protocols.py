@@ -8,32 +8,28 @@ from pyspark.sql import DataFrame
 
 
 class CatalogueSource(ABC):
-    @abstractmethod
-    def metadata(self, ids: DataFrame) -> DataFrame:
-        """(celex_id, data_type, value) rows of the ids."""
+    """Where acts are found and read. RemoteCatalogue (catalogue.py) asks endpoints, LocalCatalogue (local.py) tables."""
 
     @abstractmethod
-    def content(self, ids: DataFrame) -> DataFrame:
-        """(celex_id, content, content_type, language); an id without content has none of them."""
-
+    def concepts(self, keywords: list[str]) -> list[str]:
+        """Concepts with a label that holds one of the keywords."""
 
-class TextExtractor(ABC):
     @abstractmethod
-    def units(self, content: DataFrame) -> DataFrame:
-        """(celex_id, pos, unit fields) of (celex_id, document_type, content, content_type)."""
+    def discover(self, types: list[str], start, end, concepts: list[str], corrigenda: bool, consolidated: bool) -> DataFrame:
+        """(celex_id) of the acts asked for."""
 
-
-class Store(ABC):
     @abstractmethod
-    def read(self, name: str) -> DataFrame: ...
+    def procedures(self, numbers: list[str]) -> DataFrame:
+        """(procedure, work, proposal) rows."""
 
     @abstractmethod
-    def write(self, name: str, state: DataFrame) -> None: ...
-
+    def metadata(self, ids: DataFrame) -> DataFrame:
+        """(celex_id, data_type, value) rows of the ids."""
 
-class Checkpoint(ABC):
     @abstractmethod
-    def remaining(self, ids: DataFrame) -> DataFrame: ...
+    def enrichment(self, ids: DataFrame, categories: tuple[str, ...]) -> DataFrame:
+        """(celex_id, data_type, value) rows with a sentinel a category that was answered whole."""
 
     @abstractmethod
-    def mark(self, done: DataFrame) -> None: ...
+    def content(self, ids: DataFrame) -> DataFrame:
+        """(celex_id, content_type, language, body, outcome, error); body null where there is none."""

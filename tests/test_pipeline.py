@@ -2,11 +2,13 @@ import json
 import os
 import time
 
+import pytest
 from lexforge.functions import ids, quality, text as T
 from lexforge.operators import relational as R, store as S
 from lexforge.plans import pipeline
 from lexforge.sources import catalogue
 from lexforge.sources.config import Config
+from lexforge.sources.local import LocalCatalogue
 from lexforge.streaming import landing
 from pyspark.sql import functions as F
 
@@ -59,8 +61,8 @@ def test_data_sources_from_recorded_answers(spark, tmp_path):
     catalogue.register(spark)
     empty = spark.read.format("lex_rest").options(endpoint="http://localhost/x", ids='["A","B"]', recorded=str(tmp_path), partitions="2").load()
     assert {r.status for r in empty.collect()} == {404} and empty.count() == 24
-    cut = spark.read.format("lex_sparql").options(endpoint="http://localhost/s", ids='["A"]', recorded=str(tmp_path), on_failure="skip").load()
-    assert cut.count() == 0
+    cut = spark.read.format("lex_sparql").options(endpoint="http://localhost/s", ids='["A"]', recorded=str(tmp_path), on_failure="row").load()
+    assert [(r.celex_id, r.data_type, r.value) for r in cut.collect()] == [("A", catalogue.FAILURE, "status 404")]
 
 
 def test_ids_and_text(spark):
@@ -141,3 +143,108 @@ def test_substring_join_of_short_keywords_and_repeats(spark):
     l = spark.createDataFrame([("clean air", 1), ("quota", 2), ("quota", 2), ("q", 3), ("", 4), (None, 5)], "label string, n int")
     one, two = (sorted(map(tuple, R.substring_join(k, l, max_keywords=m).collect())) for m in (100, 0))
     assert one == two and two.count(("quota", 2, "qu")) == 4 and ("q", 3, "Q") in two
+
+
+def local(spark, pages):
+    acts = spark.createDataFrame([("32000R0001", "2000-01-02"), ("32001R0002", "2001-01-02"), ("32000L0003", "2000-05-02"), ("52000PC0001", "2000-01-01")], "celex_id string, d string").selectExpr("celex_id", "cast(d as date) as date_adopted")
+    labels = spark.createDataFrame([("32000R0001", "u/1", "clean air"), ("32001R0002", "u/2", "noise")], "celex_id string, eurovoc_uri string, eurovoc_label string")
+    procedures = spark.createDataFrame([("2000/1", "32000L0003", "52000PC0001"), ("2000/2", None, "52000PC0001")], "procedure string, work string, proposal string")
+    facts = spark.createDataFrame([(r[0], *m) for r in acts.select("celex_id").collect() for m in META], "celex_id string, data_type string, value string")
+    return LocalCatalogue(acts, labels, procedures, facts, spark.createDataFrame(pages, "celex_id string, content_type string, language string, body string, outcome string, error string"))
+
+
+def test_descriptive_and_procedure_runs(spark, tmp_path):
+    source = local(spark, [(i, "html", "eng", PAGE, "ok", None) for i in ("32000R0001", "32001R0002", "32000L0003")])
+    asked = {"mode": "descriptive", "document_types": ["regulation", "directive"], "start_date": "2000-01-01", "end_date": "2001-12-31"}
+    d = S.Dataset(spark, str(tmp_path / "a"))
+    one = Config.of({"data": asked, "processing": {"limit": 2}})
+    assert pipeline.run(d, one, source=source) == "complete" and d.read("works").count() == 2
+    assert pipeline.run(d, one, source=source) == "complete" and d.read("works").count() == 3
+    d = S.Dataset(spark, str(tmp_path / "b"))
+    assert pipeline.run(d, Config.of({"data": asked | {"keywords": ["AIR"]}}), source=source) == "complete"
+    assert [r.celex_id for r in d.read("work_checkpoint").collect()] == ["32000R0001"]
+    d = S.Dataset(spark, str(tmp_path / "c"))
+    assert pipeline.run(d, Config.of({"data": {"mode": "fixed", "procedure_numbers": ["2000/1", "2000/2"]}}), source=source) == "complete"
+    assert sorted(r.celex_id for r in d.read("work_checkpoint").collect()) == ["32000L0003", "52000PC0001"]
+    with pytest.raises(ValueError):
+        pipeline.run(d, one)
+    assert [r.status for r in d.read("dataset_runs").orderBy("started_at").collect()] == ["complete", "failed"]
+
+
+def test_a_page_that_no_reader_can_read_fails_alone(spark, tmp_path):
+    deep = '<div id="art_1">' + "<div>" * 5000 + "x"
+    source = local(spark, [("32000R0001", "html", "eng", deep, "ok", None), ("32001R0002", "html", "eng", PAGE, "ok", None)])
+    d = S.Dataset(spark, str(tmp_path))
+    cfg = Config.of({"data": {"mode": "fixed", "celex_ids": ["32000R0001", "32001R0002"]}})
+    assert pipeline.run(d, cfg, source=source) == "complete_with_failures"
+    got = {r.celex_id: (r.status, (r.error or "")[:14]) for r in d.read("work_checkpoint").collect()}
+    assert got == {"32000R0001": ("failed", "RecursionError"), "32001R0002": ("processed", "")} and d.read("works").count() == 1
+
+
+def test_fallback_chain(spark):
+    cols = "celex_id string, document_type string, content_type string, language string, body string"
+    art = lambda *ns: "".join(f'<div id="art_{n}"><p>Rule {n} holds.</p></div>' for n in ns)
+    first = spark.createDataFrame([("A", "regulation", "html", "eng", "<p>nothing</p>"), ("B", "regulation", "html", "eng", art(1, 2)), ("C", "regulation", "html", "eng", '<div id="rct_1"><p>(1) A ground of some length.</p></div>' + art(1)), ("02000R0004-2010", "regulation", "html", "eng", '<div id="rct_1"><p>(1) Short.</p></div>' + art(1))], cols)
+    pdf = "Whereas:\n(1) A ground of some length.\nHAS ADOPTED THIS REGULATION:\nArticle 1\nRule 1 read.\nArticle 2\nRule 2 read.\nArticle 3\nRule 3 read."
+    other = spark.createDataFrame([(k, "regulation", "pdf", "eng", pdf) for k in "ABC"], cols)
+    old = spark.createDataFrame([("02000R0004-2010", "regulation", "html", "eng", '<div id="rct_1"><p>(1) The ground as it was at first.</p></div>')], cols)
+    how = ("article", True, True, True)
+    out = pipeline.with_fallbacks(pipeline.parse_units(first, *how), first, other, old, *how)
+    got = {}
+    for r in out.orderBy("celex_id", "pos").collect():
+        got.setdefault(r.celex_id, []).append((r.type, r.number, r.text))
+    assert [x[:2] for x in got["A"]] == [("recital", "1"), ("article", "1"), ("article", "2"), ("article", "3")] and got["B"][1:] == [("article", "1", "Rule 1 read."), ("article", "2", "Rule 2 read."), ("article", "3", "Rule 3 read.")]
+    assert got["C"][1:] == [("article", "1", "Rule 1 holds.")] and ("recital", "1", "(1) The ground as it was at first.") in got["02000R0004-2010"]
+
+
+def test_translation_passes_and_ledger(spark, tmp_path):
+    d = S.Dataset(spark, str(tmp_path))
+    works = [("F1", "fra", "le texte entier"), ("F2", "fra", "mauvais"), ("E1", "eng", "the text")]
+    d.write("works", spark.createDataFrame(works, "celex_id string, language string, full_text string").select(*[F.col(c) if c in ("celex_id", "language", "full_text") else F.lit(None).cast(S.SCHEMAS["works"][c].dataType).alias(c) for c in S.SCHEMAS["works"].names]))
+    units = [(1, "F1", "F1:1", "un mot"), (2, "F2", "F2:1", "mauvais"), (3, "E1", "E1:1", "a word")]
+    d.write("text_units", spark.createDataFrame(units, "id int, celex_id string, unit_key string, text string").select(*[F.col(c) if c in ("id", "celex_id", "unit_key", "text") else F.lit(None).cast(S.SCHEMAS["text_units"][c].dataType).alias(c) for c in S.SCHEMAS["text_units"].names]))
+    load = lambda: (str.split, lambda ts, strict: ["" if t == "mauvais" else t.upper() for t in ts])
+    want = {"full_text_translated": 1, "full_text_refused": 1, "unit_translated": 1, "unit_refused": 1}
+    assert pipeline.translate(d, load) == want
+    assert {r.celex_id: (r.full_text, r.full_text_original) for r in d.read("works").collect()} == {"F1": ("LE TEXTE ENTIER", "le texte entier"), "F2": ("mauvais", None), "E1": ("the text", None)}
+    assert {r.id: r.text_translated for r in d.read("text_units").collect()} == {1: "UN MOT", 2: None, 3: None}
+    assert {(r.scope, r.record_id, r.reason) for r in d.read("translation_failures").collect()} == {("full_text", "F2", "empty_output"), ("unit", "F2:1", "empty_output")}
+    assert pipeline.translate(d, load) == {}  # what was refused is held back
+    assert pipeline.translate(d, load, policy=2)["unit_refused"] == 1
+
+
+def test_commands(spark, tmp_path, monkeypatch, capsys):
+    from lexforge import cli
+
+    (tmp_path / "c.json").write_text(json.dumps({"data": {"mode": "fixed", "celex_ids": ["32000R0001", "32001R0002"]}}))
+    source = local(spark, [(i, "html", "eng", PAGE, "ok", None) for i in ("32000R0001", "32001R0002")])
+    monkeypatch.setattr(cli, "factory", lambda name: lambda s: source)
+    monkeypatch.setattr(cli, "build_session", lambda: spark)
+    d = str(tmp_path / "d")
+    assert cli.main(["run", d, str(tmp_path / "c.json"), "--source", "x:y", "--limit", "1"]) == 0
+    assert S.Dataset(spark, d).read("works").count() == 1
+    assert cli.main(["enrich", d, "--source", "x:y"]) == 0 and capsys.readouterr().out.split()[-1] == "0"  # no sentinel, so nothing is complete
+    assert cli.main(["status", d]) == 0 and cli.main(["validate", d]) in (0, 1)
+    with pytest.raises(SystemExit):
+        cli.main(["run", d, str(tmp_path / "c.json"), "--source", "x:y", "--limit", "1", "--fresh"])
+
+
+def test_catalogue_queries_and_pdfs():
+    q = catalogue.concept_query(['Air "x"'], "s")
+    assert "prefLabel" in q and "altLabel" in q and '\\"x\\"' in q
+    assert all(k in catalogue.concept_info_query("c") for k in catalogue.CONCEPT_PATHS)
+    assert "VALUES ?procedure" in catalogue.procedure_query(["1"]) and "pdf" in catalogue.manifest_query("A")
+    at = catalogue.manifest([{"data_type": "x/FRA", "value": "u/f"}, {"data_type": "ENG", "value": "u/e"}, {"data_type": "ENG", "value": "u/e2"}, {"data_type": None, "value": "z"}])
+    assert at == {"fra": "u/f", "eng": "u/e"}
+
+    class Fake:
+        def get(self, url, *_, **__):
+            return {"u/e/DOC_1": (404, b""), "u/e/DOC_2": (403, b""), "u/f/DOC_1": (200, b"<html>"), "u/f/DOC_2": (200, b"%PDF-1")}.get(url, (404, b""))
+
+    assert catalogue.fetch_pdf(Fake(), at, ("eng", "fra")) == (b"%PDF-1", "fra") and catalogue.fetch_pdf(Fake(), at, ("eng",)) is None
+
+
+def test_concept_info(spark):
+    rows = [("c", "definition", "d2"), ("c", "definition", "d1"), ("c", "broader", "b"), ("c", "related", "z"), ("c", "related", "a"), ("e", "narrower", "n")]
+    got = {r.concept: (r.definition, r.broader, r.narrower, r.related) for r in R.concept_info(spark.createDataFrame(rows, "concept string, data_type string, value string")).collect()}
+    assert got == {"c": ("d1", ["b"], [], ["a", "z"]), "e": (None, [], ["n"], [])}
