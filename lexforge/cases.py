@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions import com_units, html_units, markdown_units, splitter
+from .session import ship_package
 
 FIELDS = ("type", "subtype", "number", "paragraph_num", "subparagraph_num", "point_letter", "title", "text")
 
@@ -345,6 +346,7 @@ def page_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     pages, reader = PAGES[name]
 
     def query(spark: SparkSession, d: str) -> DataFrame:
+        ship_package(spark)
         df = spark.createDataFrame([(k, v[0]) for k, v in pages.items()], "case string, page string")
         return _rows(df.select("case", reader(F.col("page")).alias("us")))
 
@@ -352,6 +354,7 @@ def page_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def split_query(spark: SparkSession, d: str) -> DataFrame:
+    ship_package(spark)
     parts = [
         _rows(spark.createDataFrame([(k, v[3], v[2]) for k, v in SPLIT.items() if v[:2] == mode], "case string, parts array<string>, title string")
               .select("case", splitter.split_units(F.col("parts"), F.lit("5"), F.col("title"), *mode).alias("us")))
@@ -364,7 +367,7 @@ def split_query(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _literal(x) -> str:
-    return "null" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return "null" if x is None else str(x).lower() if isinstance(x, (bool, int)) else "'" + x.replace("'", "''") + "'"
 
 
 def values_sql(rows: Iterator[tuple], columns: tuple[str, ...]) -> str:

@@ -15,7 +15,7 @@ def repetition(source: list[str], output: list[str]) -> bool:
     """Whether the output's tokens repeat themselves beyond what the source does.
 
     A run of 10 equal tokens; from 30 tokens on also a token that is 20 times and 40 % of all and was not
-    the source's own, or n-grams of 2 to 4 tokens that come 8 times, cover 40 % and 15 points more than there.
+    the source's own, or an n-gram of 2 to 4 tokens that comes 8 times, covers 40 % and 15 points more than the source's most frequent one does.
     """
     n = len(output)
     if n < 10:
@@ -35,10 +35,10 @@ def repetition(source: list[str], output: list[str]) -> bool:
             return True
     grams = lambda ts, k: Counter(tuple(ts[i : i + k]) for i in range(len(ts) - k + 1))
     for k in (2, 3, 4):
-        (best, c), = grams(output, k).most_common(1)
-        cover = c * k / n
-        before = grams(source, k).get(best, 0) * k / len(source) if source else 0.0
-        if c >= 8 and cover >= 0.4 and cover >= before + 0.15:
+        most = max(grams(output, k).values())
+        own_most = max(grams(source, k).values(), default=0)
+        own_cover = own_most * k / len(source) if source else 0.0
+        if most >= 8 and most * k / n >= max(0.4, own_cover + 0.15):
             return True
     return False
 

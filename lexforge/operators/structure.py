@@ -120,14 +120,28 @@ def extraction_stats(works: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def remove_restarts(numbers: Column) -> Column:
-    """Drops a run that starts again at 1 inside a number sequence if the sequence later goes on where it was."""
-    state = F.aggregate(
-        numbers, F.struct(F.array().cast("array<int>").alias("kept"), F.array().cast("array<int>").alias("held"), F.lit(0).alias("last")),
-        lambda s, x: F.when((F.size(s["held"]) == 0) & ((x == s["last"] + 1) | (F.size(s["kept"]) == 0)), F.struct(F.concat(s["kept"], F.array(x)).alias("kept"), s["held"].alias("held"), x.alias("last")))
-        .when((F.size(s["held"]) > 0) & (x == s["last"] + 1) & (x != F.size(s["held"]) + 1), F.struct(F.concat(s["kept"], F.array(x)).alias("kept"), F.array().cast("array<int>").alias("held"), x.alias("last")))
-        .otherwise(F.struct(s["kept"].alias("kept"), F.concat(s["held"], F.array(x)).alias("held"), s["last"].alias("last"))),
-    )
-    return F.concat(state["kept"], state["held"])
+    """Drops a run 1..k inside a number sequence if the number expected before it is the next one behind it.
+
+    A fold over (kept, held, last): held is a run 1..k that may turn out to be a restart behind `last`."""
+    none = F.array().cast("array<int>")
+
+    def state(kept, held, last):
+        return F.struct(kept.alias("kept"), held.alias("held"), last.alias("last"))
+
+    def step(s, x):
+        one, k = F.array(x), F.size(s["held"])
+        opens = (k == 0) & (x == 1) & (F.size(s["kept"]) > 0)
+        flushed = F.concat(s["kept"], s["held"])
+        return (
+            F.when(opens, state(s["kept"], one, s["last"]))
+            .when((k == 0) | (x == s["last"] + 1), state(F.concat(s["kept"], one), none, x))  # a held run is dropped here
+            .when(x == k + 1, state(s["kept"], F.concat(s["held"], one), s["last"]))
+            .when(x == 1, state(flushed, one, k))
+            .otherwise(state(F.concat(flushed, one), none, x))
+        )
+
+    end = F.aggregate(numbers, state(none, none, F.lit(0)), step)
+    return F.concat(end["kept"], end["held"])
 
 
 def rotate_to_one(numbers: Column) -> Column:

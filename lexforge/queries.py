@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cases, queries_core
+from . import cases, cases_rules, queries_core
 from .operators import orphans
 from .session import table
 
@@ -43,7 +43,7 @@ def p1_by_table(spark, d):
     return orphans.orphans_by_period(out).withColumnRenamed("side", "table_name")
 
 
-QUERIES = queries_core.Q | cases.QUERIES | {"p1_found": p1_found, "p1_by_year": p1_by_year, "p1_by_table": p1_by_table}
+QUERIES = queries_core.Q | cases.QUERIES | cases_rules.QUERIES | {"p1_found": p1_found, "p1_by_year": p1_by_year, "p1_by_table": p1_by_table}
 
 _TRIM = "' ' || chr(9) || chr(160)"
 _ORPHANS = f"""with r as (
@@ -56,7 +56,7 @@ _CHILD = " union all ".join(
     [f"select distinct '{t}' as table_name, {', '.join(f'cast({c} as varchar) as k' for c in cs)}, upper(trim(celex_id, {_TRIM})) as ref, celex_id as raw from {t}" for t, cs in CHILDREN.items()]
     + [f"select distinct 'relations.{s}', cast(id as varchar), upper(trim({c}, {_TRIM})), {c} from relations" for s, c in SIDES.items()]
 )
-SQL = queries_core.SQL | cases.SQL | {
+SQL = queries_core.SQL | cases.SQL | cases_rules.SQL | {
     "p1_by_table": f"""with r as ({_CHILD}), o as (select *, try_cast(nullif(regexp_extract(ref, '^[0-9A-Z]([0-9]{{4}})', 1), '') as integer) as period from r where ref <> '' and not exists (select 1 from works w where w.celex_id = r.ref))
 select table_name, period, count(*) as orphan_refs, count(distinct ref) as missing_keys from o group by 1, 2""",
     "p1_found": _ORPHANS + "select distinct id, side from o",

@@ -215,9 +215,8 @@ def word_token_counts(spark, d):
     return u.select("id", F.size(T.word_tokens(F.col("text"))).cast("long").alias("tokens"))
 
 
-@query()
+@query("select id, 1 + len(regexp_extract_all(text, '[.;]\\s+[\\p{Lu}(]')) as sentences from (select distinct id, text from text_units where text is not null)")
 def sentence_counts(spark, d):
-    """No SQL: the pattern looks behind and ahead."""
     u = _t(spark, d, "text_units").where("text is not null").select("id", "text").distinct()
     return u.select("id", F.size(T.sentences(F.col("text"))).alias("sentences"))
 
@@ -546,7 +545,16 @@ def translation_ratio_flags(spark, d):
     return u.select("id", quality.translation_issue(F.col("text"), F.col("text_translated"), False, False).alias("issue"))
 
 
-@query()
+_GRAMS = ", ".join(f"g{k} as (select doc_id, max(c) as c from (select doc_id, w[i:i+{k - 1}] as g, count(*) as c from d, unnest(range(1, greatest(len(w) - {k - 2}, 1))) u(i) group by all) group by 1)" for k in (1, 2, 3, 4))
+
+
+@query(
+    f"""with d as (select distinct doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+(?:[''’\\-][\\p{{L}}\\p{{N}}]+)*') as w from documents where text is not null),
+t as (select doc_id, w[i] as x, i - row_number() over (partition by doc_id, w[i] order by i) as g from d, unnest(range(1, len(w) + 1)) u(i)),
+r as (select doc_id, max(c) as run from (select doc_id, x, g, count(*) as c from t group by all) group by 1), {_GRAMS}
+select doc_id, coalesce(len(w) >= 10 and (run >= 10 or (len(w) >= 30 and ((g1.c >= 20 and g1.c >= 0.4 * len(w)) or {" or ".join(f"(g{k}.c >= 8 and {k} * g{k}.c >= 0.4 * len(w))" for k in (2, 3, 4))}))), false) as repetitive
+from d left join r using (doc_id) {" ".join(f"left join g{k} using (doc_id)" for k in (1, 2, 3, 4))}"""
+)
 def repetition_flags(spark, d):
     """The repetition rule of each document's own text against an empty source."""
     docs = _t(spark, d, "documents").where("text is not null")
