@@ -280,9 +280,12 @@ def _spread(edges: DataFrame, block: int) -> DataFrame:
     return e.unionByName(size.select("hub", F.col("hub").alias("whole"), F.lit(-1).alias("b"), "blocks"))
 
 
-def _compare(rows: DataFrame, texts: DataFrame, k: int, threshold: float, joined: bool) -> DataFrame:
-    """rows (hub, p, q, side, whole) with the texts (whole, text) of their classes, compared around each (hub, p, q)."""
-    r = rows.join(texts, "whole").select("hub", "p", "q", "side", "whole", "text").repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q")
+def _compare(rows: DataFrame, texts: tuple[DataFrame, DataFrame], k: int, threshold: float, joined: bool) -> DataFrame:
+    """rows (hub, p, q, side, whole) with the texts of their classes, compared around each (hub, p, q). texts: the record that
+    speaks for a class (whole, rid), and texts (rid, text); a text is sent by its record, where repeats fall out, and from
+    there to its hubs."""
+    speaks, text = texts
+    r = rows.join(speaks, "whole").join(text, "rid").select("hub", "p", "q", "side", "whole", "text").repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q")
     return r.mapInPandas(_around(k, threshold, joined), "a long, b long, hub long, apart boolean" if joined else "a long, b long, similarity double")
 
 
@@ -294,7 +297,7 @@ def _every_block(e: DataFrame, here: str = "b") -> tuple:
     return d.select("hub", F.least("b", "j").alias("p"), F.greatest("b", "j").alias("q"), side.alias("side"), "whole")
 
 
-def _links(edges: DataFrame, texts: DataFrame, k: int, threshold: float, block: int) -> DataFrame:
+def _links(edges: DataFrame, texts: tuple[DataFrame, DataFrame], k: int, threshold: float, block: int) -> DataFrame:
     """All links (a, b, similarity) of classes that share a bucket."""
     e = _spread(edges, block)
     # the hub is dealt into a block like any other class
@@ -302,7 +305,7 @@ def _links(edges: DataFrame, texts: DataFrame, k: int, threshold: float, block:
     return _compare(_every_block(e), texts, k, threshold, False).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
-def _joined(edges: DataFrame, texts: DataFrame, k: int, threshold: float, block: int) -> DataFrame:
+def _joined(edges: DataFrame, texts: tuple[DataFrame, DataFrame], k: int, threshold: float, block: int) -> DataFrame:
     """Edges (a, b) that hang together exactly the classes that links would."""
     e = durable(_spread(edges, block))
     with_hub = F.when(F.col("b") < 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("b"))
@@ -323,8 +326,8 @@ def _joined(edges: DataFrame, texts: DataFrame, k: int, threshold: float, block:
 
 
 def _prepare(df: DataFrame, key: str, text: str, shingle: int, min_words: int, bins: int, rows: int, bands: int, scope: str | None):
-    """Records (rid, scope, key, text), their classes (rid, whole), star edges, and the texts (whole, text) of the classes
-    that have an edge."""
+    """Records (rid, scope, key, text), their classes (rid, whole), star edges, and the texts of the classes that have an
+    edge, as _compare takes them."""
     zone = F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit("")
     src = df.select(zone.alias("scope"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
     src = src.withColumn("rid", F.xxhash64("key", "scope") if scope else F.xxhash64("key"))
@@ -335,8 +338,7 @@ def _prepare(df: DataFrame, key: str, text: str, shingle: int, min_words: int, b
     whole = durable(whole)
     speaks = durable(whole.groupBy("whole").agg(F.min("rid").alias("rid")).join(ends, "whole", "left_semi"))
     near = may_contain(src.select("rid", "text"), "rid", speaks, "rid")
-    texts = durable(near.join(speaks, "rid").groupBy("whole").agg(F.first("text").alias("text")))
-    return src, whole, edges, texts
+    return src, whole, edges, (speaks, near.groupBy("rid").agg(F.first("text").alias("text")))
 
 
 def near_duplicates(
