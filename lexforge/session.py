@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "32m",  # whole texts go to Python in batches of bounded size
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -47,13 +50,16 @@ def spread(df: DataFrame) -> DataFrame:
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the folder that all executors share.
 
-    The folder is spark.checkpoint.dir as the session names it; only where none is set (tests, one
-    machine) a temporary folder is made.
+    The folder is spark.checkpoint.dir as the session names it; only where none is set and the master is local (tests,
+    one machine) a temporary folder is made.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexforge-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(?:\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lexforge-"))
     return df.checkpoint(eager=True)
 
 

@@ -17,6 +17,7 @@ import urllib.parse
 import urllib.request
 from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import BinaryType, IntegerType, MapType, StringType, StructField, StructType
@@ -241,7 +242,8 @@ class _Reader(DataSourceReader):
         return [_Slice(self.ids[i::n]) for i in range(n)]
 
     def session(self, interval: float) -> Http:
-        return Http(float(self.o.get("interval", interval)) * min(self.parts, max(1, len(self.ids))), self.o.get("recorded"))
+        at_once = min(self.parts, len(self.ids)) if self.ids else self.parts
+        return Http(float(self.o.get("interval", interval)) * at_once, self.o.get("recorded"))
 
 
 class _SparqlReader(_Reader):
@@ -393,17 +395,26 @@ class RemoteCatalogue(CatalogueSource):
     def procedures(self, numbers: list[str]) -> DataFrame:
         return self._ask(procedure_query(numbers)).select("row.procedure", "row.work", "row.proposal")
 
-    def _of(self, name: str, ids: DataFrame, **more: str) -> DataFrame:
-        known = json.dumps([r[0] for r in ids.select("celex_id").collect()])
-        return self.spark.read.format(name).options(ids=known, **(self.options | more)).load()
+    def _of(self, reader: type[_Reader], schema: StructType, ids: DataFrame, **more: str) -> DataFrame:
+        """The rows of a reader for ids that stay distributed: each partition asks for its own, at its share of the rate."""
+        options = self.options | more
+        parts = max(1, int(options.get("partitions", "4")))
+
+        def run(frames):
+            session = reader(options)
+            for f in frames:
+                if rows := list(session.read(_Slice(f["celex_id"].tolist()))):
+                    yield pd.DataFrame(rows, columns=schema.names, dtype=object)
+
+        return ids.select("celex_id").distinct().repartition(parts).mapInPandas(run, schema)
 
     def metadata(self, ids: DataFrame) -> DataFrame:
-        return self._of("lex_sparql", ids).select("celex_id", "data_type", "value")
+        return self._of(_SparqlReader, _ROWS, ids).select("celex_id", "data_type", "value")
 
     def enrichment(self, ids: DataFrame, categories: tuple[str, ...]) -> DataFrame:
-        return self._of("lex_sparql", ids, categories=",".join(categories), on_failure="row").select("celex_id", "data_type", "value")
+        return self._of(_SparqlReader, _ROWS, ids, categories=",".join(categories), on_failure="row").select("celex_id", "data_type", "value")
 
     def content(self, ids: DataFrame) -> DataFrame:
         from ..plans.pipeline import negotiated
 
-        return negotiated(self._of("lex_rest", ids, endpoint=self.options.get("rest", self.options.get("endpoint", ""))), self.load_pdf)
+        return negotiated(self._of(_RestReader, _CONTENT, ids, endpoint=self.options.get("rest", self.options.get("endpoint", ""))), self.load_pdf)

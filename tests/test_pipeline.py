@@ -65,6 +65,33 @@ def test_data_sources_from_recorded_answers(spark, tmp_path):
     assert [(r.celex_id, r.data_type, r.value) for r in cut.collect()] == [("A", catalogue.FAILURE, "status 404")]
 
 
+def test_remote_catalogue_from_recorded_answers(spark, tmp_path):
+    import hashlib
+    import urllib.parse
+
+    def record(url, body, headers=None, status=200):
+        name = hashlib.sha256((url + json.dumps(headers or {}, sort_keys=True)).encode()).hexdigest()[:24]
+        (tmp_path / f"{name}.json").write_text(json.dumps({"status": status, "body": body}))
+
+    def answer(query, *rows):
+        url = "http://x/s?" + urllib.parse.urlencode({"query": query, "format": "application/sparql-results+json"})
+        record(url, json.dumps({"results": {"bindings": [{k: {"value": v} for k, v in r.items()} for r in rows]}}))
+
+    source = catalogue.RemoteCatalogue(spark, "sch", endpoint="http://x/s", rest="http://x/r", recorded=str(tmp_path), predicates=json.dumps({"title": "t"}), interval="0")
+    answer(catalogue.concept_query(["air"], "sch"), {"concept": "u/2", "label": "b"}, {"concept": "u/1", "label": "a"})
+    answer(catalogue.discovery_query([("R", "3")], "2000-01-01", "2000-12-31", ["u/1", "u/2"], False, False), {"c": "32000R0001"}, {"c": "32000R0002"})
+    answer(catalogue.procedure_query(["2000/1"]), {"procedure": "2000/1", "proposal": "52000PC0001"})
+    for i in ("32000R0001", "32000R0002"):
+        answer(catalogue.metadata_query(i, {"title": "t"}), {"data_type": "title", "value": "An act"})
+    record("http://x/r/32000R0001", PAGE, {"Accept": "application/xhtml+xml, text/html", "Accept-Language": "eng"})
+    cfg = Config.of({"data": {"mode": "descriptive", "document_types": ["regulation"], "start_date": "2000-01-01", "end_date": "2000-12-31", "keywords": ["air"]}})
+    d = S.Dataset(spark, str(tmp_path / "d"))
+    assert pipeline.run(d, cfg, source=source) == "complete"
+    assert {r.celex_id: (r.title, r.content_source) for r in d.read("works").collect()} == {"32000R0001": ("An act", "cellar_html_eng"), "32000R0002": ("An act", None)} and d.read("text_units").count() == 2
+    assert [r.celex_id for r in pipeline.selected(Config.of({"data": {"mode": "fixed", "procedure_numbers": ["2000/1"]}}), source).collect()] == ["52000PC0001"]
+    assert source.enrichment(spark.createDataFrame([("32000R0001",)], "celex_id string"), ("eurovoc",)).first().data_type == catalogue.FAILURE
+
+
 def test_ids_and_text(spark):
     d = spark.createDataFrame([("32016R0679",), ("02016R0679-20160504",), ("32016R0679R(02)",), ("52020DC0001",), ("x",)], "c string")
     c = F.col("c")

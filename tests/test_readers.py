@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from lexforge import cases
 from lexforge.functions import com_units, html_units as H, markdown_units as M, recitals as R, splitter as S, tree, translation as X
@@ -94,3 +96,38 @@ def test_catalogue_rules():
         C.bindings([])
     assert pdf.to_markdown(b"%PDF-", lambda b: "", lambda b: "text") == ("text", "text_layer", "empty", None)
     assert pdf.to_markdown(b"%PDF-", None, None)[1:3] == ("none", "startup")
+
+
+def test_pdf_readers_in_a_child():
+    import os
+
+    def reader():
+        def read(c):
+            if c == b"hang":
+                time.sleep(60)
+            if c == b"die":
+                os._exit(3)
+            if c == b"bad":
+                raise ValueError("no pages")
+            return c.decode() + " read"
+
+        return read
+
+    child = pdf.Child(reader, seconds=0.5)
+    layer = lambda c: "layer"
+    began = time.monotonic()
+    got = [pdf.to_markdown(c, child, layer)[:3] for c in (b"a", b"hang", b"b", b"die", b"bad", b"c")]
+    child.close()
+    assert got == [("a read", "layout", None), ("layer", "text_layer", "timeout"), ("b read", "layout", None), ("layer", "text_layer", "conversion"), ("layer", "text_layer", "conversion"), ("c read", "layout", None)]
+    assert time.monotonic() - began < 20
+    starts = []
+
+    def broken():
+        raise OSError("no model")
+
+    child = pdf.Child(broken)
+    for _ in range(5):
+        starts.append(pdf.to_markdown(b"x", child, None))
+    assert child.given_up and starts == [(None, "none", "startup", "no model")] * 5
+    slow = pdf.Child(lambda: time.sleep(60), start_seconds=0.2)
+    assert pdf.to_markdown(b"x", slow, None)[2:] == ("startup", "timeout")
