@@ -28,15 +28,43 @@ BODY_CLASSES = {
     "li ListBullet", "li ListBullet1", "li ListBullet2", "li ManualNumPar1", "Body", "li Body", "BodyText", "li BodyText", "Bodytext10", "li Bodytext10",
     "Corps", "li Corps", "MBT", "li MBT", "EEATextbody", "li EEATextbody", "Text", "li Text", "paragraph", "li paragraph", "Textstand-alone", "DGTextstand-alone",
 }
-_SIZED_BODY = re.compile(r"(?:li\s+)?(?:Text\d+p|BodyText\d+|Corps\d+)")
-_SIZED_HEADING = re.compile(r"(?:li\s+)?(?:Heading\d+p|HEADER(?:TITLE)?\d*)")
-_SIZED_FIGURES = re.compile(r"(?:li\s+)?Figures\d+p")
 #: What begins the block of signatures (fixed values).
 SIGNS = ("for the commission", "for the president", "the president")
 NUMBERED = re.compile(r"\d+(?:\.\d+)*\.?\s+[A-Z]")
-CAPITALS = re.compile(r"[A-Z][A-Z\s,:()\-/]{5,}$")
-OCR_NOISE = re.compile(r"[\s;:,.·•■\-–—!?|*\\/<>'\"\[\](){}iIjJtlrA-Z0-9]{1,4}$")
-COVER = re.compile(r"(?i)archives historiques|collection reliee|^vol\.\s*\d{4}|^disclaimer$|^conformément au règlement|historical archives|historischen archive")
+#: Characters that alone are noise of a scan, beside capitals and digits (fixed values).
+NOISE = set(";:,.·•■-–—!?|*\\/<>'\"[](){}ijtlr")
+#: Words behind a bracketed number that begin a note (fixed values).
+NOTE_WORDS = ("OJ", "Council", "Commission", "See")
+NOTE_BEGINNINGS = ("Second", "Third", "Initial")
+#: Wording of archive covers: anywhere, at the beginning, and what must follow it (fixed values).
+COVER_ANYWHERE = ("archives historiques", "collection reliee")
+COVER_BEGINS = (("conformément au règlement", ""), ("in accordance with council regulation", "historical archives"), ("in übereinstimmung mit der verordnung", "historischen archive"))
+
+
+def _sized(cls: str) -> str | None:
+    """Kind of a class of the report templates, a name with a size: 'body', 'heading' or 'figures'."""
+    m = re.match(r"([A-Za-z]+)(\d*)(p?)", cls.removeprefix("li").strip())
+    if not m:
+        return None
+    name, size, points = m.groups()
+    if name.startswith("HEADER"):
+        return "heading"
+    if size and name in ("BodyText", "Corps"):
+        return "body"
+    return {"Text": "body", "Heading": "heading", "Figures": "figures"}.get(name) if size and points else None
+
+
+def is_noise(b: str) -> bool:
+    return len(b) <= 4 and all(c.isspace() or c in NOISE or c.isdigit() or "A" <= c <= "Z" for c in b)
+
+
+def is_capitals(b: str) -> bool:
+    return len(b) >= 6 and "A" <= b[0] <= "Z" and all("A" <= c <= "Z" or c.isspace() or c in ",:()-/" for c in b)
+
+
+def is_cover(b: str) -> bool:
+    low = b.lower()
+    return low == "disclaimer" or bool(re.match(r"vol\.\s*\d{4}", low)) or any(x in low for x in COVER_ANYWHERE) or any(low.startswith(x) and y in low for x, y in COVER_BEGINS)
 
 
 def is_signature(t: str) -> bool:
@@ -75,13 +103,13 @@ def modern(root: T.Node) -> list[dict]:
             for x in n.find("p"):
                 if x.cls not in SKIP_CLASSES and (t := x.text()):
                     p.add(t)
-        elif n.tag == "p" and n.cls not in SKIP_CLASSES and not _SIZED_FIGURES.match(n.cls):
+        elif n.tag == "p" and n.cls not in SKIP_CLASSES and _sized(n.cls) != "figures":
             t = n.text()
             signed = signed or is_signature(t)
             if not t or signed:
                 continue
-            body = n.cls in BODY_CLASSES or bool(_SIZED_BODY.match(n.cls))
-            if n.cls in HEADING_CLASSES or _SIZED_HEADING.match(n.cls) or (body and len(t) < 80 and re.match(r"\d+\.\d+[\.\d]*\s+[A-Z]", t)):
+            body = n.cls in BODY_CLASSES or _sized(n.cls) == "body"
+            if n.cls in HEADING_CLASSES or _sized(n.cls) == "heading" or (body and len(t) < 80 and re.match(r"\d+\.\d+[\.\d]*\s+[A-Z]", t)):
                 p.heading = t
             elif body or not n.cls:
                 p.add(t)
@@ -100,7 +128,7 @@ def legacy(root: T.Node) -> list[dict]:
         end -= 1
     p = _Prose()
     for x in lines[first:end]:
-        if (NUMBERED.match(x) and len(x) < 120) or CAPITALS.match(x):
+        if (NUMBERED.match(x) and len(x) < 120) or is_capitals(x):
             p.heading = x
         else:
             p.add(x)
@@ -134,18 +162,19 @@ def com_units(page: str) -> list[dict]:
 
 
 def _is_note(b: str) -> bool:
-    return bool(re.match(r"\[\d+\]\s|\(\s*\d+\s*\)\s*(?:OJ\b|Council\b|Commission\b|Second|Third|Initial|See\b)", b))
+    m = re.match(r"(?:\[\d+\]\s)|\(\s*\d+\s*\)\s*(\w+)", b)
+    return bool(m) and (m.group(1) is None or m.group(1) in NOTE_WORDS or m.group(1).startswith(NOTE_BEGINNINGS))
 
 
 def text_units(text: str) -> list[dict]:
     """From plain text or markdown: blocks between blank lines, from the first heading or long block on and up to the
     notes at the end; noise, comments, tables and archive covers left out."""
     blocks = [b.strip() for b in re.split(r"\n\s*\n", text)]
-    blocks = [b for b in blocks if b and not OCR_NOISE.match(b) and not re.match(r"<!--.*-->$|\.{3,}$", b) and not (b.startswith("|") and "|" in b[1:])]
+    blocks = [b for b in blocks if b and not is_noise(b) and not re.match(r"<!--.*-->$|\.{3,}$", b) and not (b.startswith("|") and "|" in b[1:])]
     first = 0
     for i, b in enumerate(blocks):
         md = re.match(r"#{1,3}\s+(.*)", b)
-        if COVER.search(b) or (md and len(md.group(1).strip()) < 20 and not NUMBERED.match(md.group(1).strip())):
+        if is_cover(b) or (md and len(md.group(1).strip()) < 20 and not NUMBERED.match(md.group(1).strip())):
             first = i + 1
         elif md or NUMBERED.match(b) or len(b) > 100:
             first = i
@@ -157,7 +186,7 @@ def text_units(text: str) -> list[dict]:
     for b in blocks[first:end]:
         md = re.match(r"#{1,3}\s+(.*)", b)
         t = md.group(1).strip() if md else b
-        if (len(t) < 120 if md else (NUMBERED.match(b) and len(b) < 120) or CAPITALS.match(b)):
+        if (len(t) < 120 if md else (NUMBERED.match(b) and len(b) < 120) or is_capitals(b)):
             p.heading = t
         else:
             p.add(t)

@@ -302,7 +302,10 @@ _FORMULA_WORD = r"(?:Whereas\b|(?i:ha(?:s|ve)\s+(?:adopted|decided|agreed)\b))"
 def split_flat(line: str) -> list[str]:
     """Headings that were run into a line: an article with its text behind a closing quote, 'Whereas' or the formula
     behind a sign, and an article head at the end behind the end of a sentence."""
-    line = re.sub(r"(?<=['’”»])\s+(?=(?i:(?:sole\s+)?article)\s+\d+[a-z]*\s+[A-ZÀ-Þ'‘\"“])", "\n", line)
+    for m in reversed(R.heads_with_text(line)):
+        before = line[: m.start()].rstrip()
+        if before.endswith(("'", "’", "”", "»")) and before != line[: m.start()]:
+            line = before + "\n" + line[m.start() :]
     out = []
     for x in re.sub(rf"(?<=[,;:.])\s+(?={_FORMULA_WORD})", "\n", line).split("\n"):
         m = re.search(r"(?i)(?<=[:.;)])\s+(?=((?:sole\s+)?article(?!s)(?:\s+\d+[a-z]*)?)\s*$)", x)

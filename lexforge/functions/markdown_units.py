@@ -16,7 +16,6 @@ from .splitter import UNIT, quoted_regions, unit
 ACTS = ("regulation", "directive", "decision")
 _FORMULA = re.compile(r"(?i)\bha(?:s|ve)\s+(?:adopted|decided|agreed)(?:\s+this\s+\w+|\s+as\s+follows)?\s*:?")
 _HEAD_AT_END = re.compile(r"(?i)(?<!\w)(?:sole\s+)?article\s+(\d+)[a-z]*\s*$")
-_HEAD_WITH_TEXT = re.compile(r"(?<!\w)(?i:(?:sole\s+)?article)\s+\d+[a-zA-Z]*(?=\s+(?:[-–—一]\s*)?[A-ZÀ-Þ'‘\"“])")
 _BARE_HEAD = re.compile(r"(?i)(?:#{1,3}\s+)?(?:sole\s+)?article(?!s)(?:\s+\d+[a-z]*)?\s*$")
 _SIGNATORY = re.compile(r"(?i)(?:for\s+(?:the\s+)?(?:commission|council)|the\s+president)\b")
 _ANNEX_LINE = re.compile(r"(?i)#{1,3}\s+annex\b")
@@ -54,7 +53,7 @@ def markers_out_of_tables(lines: list[str]) -> list[str]:
     line of publication, whatever quotation the table is in."""
     for i, x in enumerate(lines):
         end = _HEAD_AT_END.search(x)
-        heads = [m for m in _HEAD_WITH_TEXT.finditer(x) if m.start() and end and m.end() < end.start()]
+        heads = [m for m in R.heads_with_text(x) if m.start() and end and m.end() < end.start()]
         head = next((m for m in heads if _this_act(x[m.end() : end.start()].strip(), "shall")), None)
         if head is None:
             continue
@@ -110,7 +109,8 @@ def split_flattened(lines: list[str]) -> list[str]:
         if not started:
             out.append(line)
             continue
-        cuts = [m.start() for m in _HEAD_WITH_TEXT.finditer(line, rest) if not quoted(begin + m.start()) and (line[rest : m.start()].rstrip() or ":")[-1] in ":.;|!?"]
+        places = [rest + m.start() for m in R.heads_with_text(line, rest)]
+        cuts = [c for c in places if not quoted(begin + c) and (line[rest:c].rstrip() or ":")[-1] in ":.;|!?"]
         end = _HEAD_AT_END.search(line, rest) if last else None
         if end and not quoted(begin + end.start()) and end.start() not in cuts:
             cuts.append(end.start())
@@ -194,25 +194,41 @@ def markdown_units(text: str, granularity: str = "article", recitals: bool = Tru
     return out
 
 
+def _page_mark(w: str) -> bool:
+    """Whether a word is of the kind that stands beside the name of the journal in a page heading."""
+    return w in ("EN", "No", "L", "C") or (any(c.isdigit() for c in w) and not any(c.islower() for c in w))
+
+
 def sanitise_recovered(text: str) -> str:
-    """An article of the text layer up to a preamble that was read into it, without page headings, journal lines and
+    """An article of the text layer up to a preamble that was read into it, without page headings, notes to the journal and
     broken dates; '' where nothing else is left."""
-    m = re.search(r"\bTHE [A-Z ]+,(?=\s+Having regard)|\bHaving\s+regard\s+to\b|\bWhereas\b", text)
-    text = text[: m.start()] if m else text
-    journal = "official journal of the european communities"
-    at = " ".join(text.split()).lower().find(journal)
-    if at >= 0:
-        flat = " ".join(text.split())
-        before, after = flat[:at], flat[at + len(journal) :]
-        before = re.sub(r"(?:No\s+[LC]\s*\d+\s*/?\s*\d*|\d{1,2}\.\s*\d{2,4})?\s*(?:EN\s*)?$", "", before)
-        text = before if before.strip() else re.sub(r"^\s*(?:No\s+[LC]\s*\d+(?:\s*/\s*\d+)?|[LC]\s*\d+\s*/\s*\d+)", "", after)
-    m = re.search(r"\s+[(\[]?[^)\]\s]{0,4}[)\]]?\s*OJ\s+(?:No\s+)?[LC]\s*\d", text)
-    if m and sum(c.isalnum() for c in text[: m.start()]) >= 3:
-        text = text[: m.start()]
-    text = re.sub(r"(?<=\.)\s+No\s+[LC]\s*\d+(?:/\d+)?\s*$", "", text).strip()
-    only_date = re.fullmatch(r"\d{1,2}\s*\.\s*\d{2,4}|\d{4}\s*\.|(?:\d{1,2}\s*\.\s*)?\d{2,4}\s*,?\s*p\.?(?:\s*\d+)?", text)
-    only_note = len(text) <= 160 and re.match(r"[^A-Za-z]*OJ\s+(?:No\s+)?[LC]\s*\d", text)
-    return "" if only_date or only_note else text
+    words = text.split()
+    for i, w in enumerate(words):
+        if w in ("Whereas", "Whereas:") or words[i : i + 3] == ["Having", "regard", "to"]:
+            words = words[:i]
+            if words and words[-1].endswith(",") and "THE" in words:  # the institution before it
+                last = len(words) - 1 - words[::-1].index("THE")
+                words = words[:last] if all(x.strip(",").isupper() for x in words[last:]) else words
+            break
+    journal = "Official Journal of the European Communities".split()
+    at = next((i for i in range(len(words)) if words[i : i + len(journal)] == journal), None)
+    if at is not None:
+        before, after = words[:at], words[at + len(journal) :]
+        while before and _page_mark(before[-1]):
+            before.pop()
+        while after and not before and _page_mark(after[0]):
+            after.pop(0)
+        words = before or after
+    for i, w in enumerate(words):
+        where = [x for x in words[i + 1 : i + 3] if x != "No"][:1]
+        if w == "OJ" and where and where[0][0] in "LC":
+            mark = i - 1 if i and len(words[i - 1].strip("()[]")) <= 4 else i
+            words = words[:mark]
+            break
+    while len(words) > 2 and words[-3].endswith(".") and words[-2] == "No" and words[-1][0] in "LC":
+        words = words[:-2]
+    dates = all(w.strip(".,=").isdigit() or w in ("p.", "p") or not w.strip(".,=") for w in words)
+    return "" if dates and len(words) <= 5 else " ".join(words)
 
 
 def merge_text_layer(units: list[dict], layer: list[dict]) -> list[dict]:

@@ -76,6 +76,14 @@ def reference(rest: str) -> bool:
     return begins(low, GOES_ON) or low.startswith(",") or bool(re.match(r"\([a-z0-9]+\)", low))
 
 
+def heads_with_text(line: str, at: int = 0) -> list[re.Match]:
+    """Places in a line where 'Article 5' stands with a text behind it that begins like one: a capital or an opening mark,
+    dashes between allowed."""
+    found = re.finditer(r"(?i)(?<!\w)(?:sole\s+)?article\s+\d+[a-z]*(?=\s)", line[at:])
+    begins_text = lambda s: s[:1].isupper() or s[:1] in ("'", "‘", '"', "“")
+    return [m for m in found if begins_text(line[at + m.end() :].lstrip().lstrip("-–—一").lstrip())]
+
+
 def division(line: str) -> bool:
     w = line.split()
     return len(w) == 2 and w[0].lower() in DIVISIONS and bool(_ROMAN.match(w[1]))
