@@ -323,7 +323,7 @@ def fit(texts: DataFrame, least: float = 5e-7, ratio: float = 1.0, alike: float
     # a word of the lexicon needs a far more frequent neighbour to be in doubt at all
     need = F.when(F.col("n") >= floor, F.lit(max(20.0, ratio))).otherwise(F.lit(ratio))
     links = c.where("kind = 'w'").select("x", "n").mapInPandas(_links(shared, ratio), "w string, n long, y string")
-    known = spark.createDataFrame(pd.DataFrame({"y": list(words), "ny": list(words.values())}), "y string, ny long") if words else spark.createDataFrame([], "y string, ny long")
+    known = c.where((F.col("kind") == "w") & (F.col("n") >= floor)).select(F.col("x").alias("y"), F.col("n").alias("ny"))
     links = durable(links.join(known, "y").where(F.col("ny") >= need * F.col("n")).where((F.col("n") < floor) | (F.length("w") >= 4)))
     top = sorted((w for w in words if _LETTER.search(w)), key=lambda w: (-words[w], w))[:dims_words]
     counts = texts.mapInPandas(_contexts(shared, top), "w string, c int, n long")
@@ -340,7 +340,7 @@ def fit(texts: DataFrame, least: float = 5e-7, ratio: float = 1.0, alike: float
     near = F.coalesce(dot, F.lit(1.0))  # a word without any known word around it: edits and counts alone
     fixes = j.where(near >= alike).groupBy("w").agg(F.max_by("y", F.struct(near.alias("near"), F.col("ny"), F.col("y"))).alias("fix"))
     fixes = durable(fixes)
-    wrong = spark.createDataFrame([(w,) for w in words], "w string").join(fixes, "w", "left_semi").collect() if words else []  # words of the lexicon
+    wrong = known.select(F.col("y").alias("w")).join(fixes, "w", "left_semi").collect()  # words of the lexicon
     for r in wrong:
         del words[r["w"]]
     return Model(Lexicon(words, compounds, headings), fixes)
