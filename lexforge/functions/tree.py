@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from html.parser import HTMLParser
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -116,13 +117,42 @@ class _Builder(HTMLParser):
         self.at.items.append(data)
 
 
+def _strict(page: str) -> Node | None:
+    """The tree of a page that is well-formed XML, names without their namespace; else None."""
+    try:
+        top = ElementTree.fromstring(page)
+    except (ElementTree.ParseError, ValueError):
+        return None
+    root = Node("#root", {}, None)
+    stack = [(top, root)]
+    while stack:
+        e, parent = stack.pop()
+        node = Node(e.tag.rpartition("}")[2].lower(), {k.rpartition("}")[2].lower(): v for k, v in e.attrib.items()}, parent)
+        node.items = [e.text] if e.text else []
+        at = [i for i, x in enumerate(parent.items) if x is e]
+        if at:
+            parent.items[at[0]] = node
+        else:
+            parent.items.append(node)
+        for k in e:
+            node.items.append(k)  # its place, until it is made
+            if k.tail:
+                node.items.append(k.tail)
+            stack.append((k, node))
+    return root
+
+
 def parse(page: str) -> Node:
-    b = _Builder()
-    b.feed(page)
-    b.close()
-    for i, n in enumerate(b.root.walk()):
+    """The tree of a page: as XML if it is well-formed, else by the tolerant reader."""
+    root = _strict(page) if page.lstrip()[:5].lower() in ("<?xml", "<html", "<!doc") else None
+    if root is None:
+        b = _Builder()
+        b.feed(page)
+        b.close()
+        root = b.root
+    for i, n in enumerate(root.walk()):
         n.pos = i
-    return b.root
+    return root
 
 
 def flatten_content(root: Node) -> None:

@@ -38,6 +38,14 @@ def test_switches_and_empty_pages():
     assert S.quoted_regions("known as: ‘Plus’ and so") == [(10, 16)] and S.quoted_regions("reads: ‘no end") == [(7, 14)]
 
 
+def test_well_formed_pages_are_read_as_xml():
+    page = '<?xml version="1.0"?><html xmlns="http://www.w3.org/1999/xhtml"><body><P class="a">one<b>two</b>three<p>in</p></P><p>last</p></body></html>'
+    root = tree.parse(page)
+    assert [(n.tag, n.text()) for n in root.find("p")] == [("p", "one two three in"), ("p", "in"), ("p", "last")] and root.find("p")[0].cls == "a"
+    assert [n.text() for n in tree.leaf_paragraphs(root)] == ["in", "last"]
+    assert [n.text() for n in tree.parse(page.replace("</body>", "&nbsp;</body>")).find("p")] == ["one two three", "in", "last"]  # not XML: a p ends another one
+
+
 def test_tree_is_tolerant():
     b = tree.blocks("<p>a<p>b<i>c</i><table><tr><td>1<td>2<tr><td>3</table><script></p></script>")
     assert [x[4] for x in b] == ["p", "p", "i", "table", "tr", "td", "td", "tr", "td", "script"]
