@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.ids import is_valid_id
 from ..session import blank_trim, salted_join
 from . import bloom
 
@@ -62,3 +63,13 @@ def orphans_by_period(orphans: DataFrame) -> DataFrame:
     return orphans.groupBy("side", "period").agg(
         F.count(F.lit(1)).alias("orphan_refs"), F.countDistinct("ref").alias("missing_keys")
     )
+
+
+def orphan_reasons(orphans: DataFrame, checkpoint: DataFrame, key: str = "celex_id", status: str = "status") -> DataFrame:
+    """orphans with `reason`, as far as the run's checkpoint tells: 'malformed' (no such id can exist), 'dropped' (it was
+    processed and is gone), 'failed' (it was asked for and may still come), 'unknown' (nobody asked for it)."""
+    seen = checkpoint.select(normal_id(F.col(key)).alias("ref"), F.col(status).alias("_s")).where("ref is not null")
+    seen = seen.groupBy("ref").agg(F.bool_or(F.col("_s") == "processed").alias("_done"), F.bool_or(F.col("_s") == "failed").alias("_failed"))
+    known = orphans.select("ref").distinct().join(seen, "ref")
+    reason = F.when(~is_valid_id(F.col("ref")), "malformed").when(F.col("_done"), "dropped").when(F.col("_failed"), "failed").otherwise("unknown")
+    return salted_join(orphans, known, "ref", "left").withColumn("reason", reason).drop("_done", "_failed")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import cases, cases_rules, queries_core
+from .functions import ids
 from .operators import orphans
 from .session import table
 
@@ -43,7 +44,13 @@ def p1_by_table(spark, d):
     return orphans.orphans_by_period(out).withColumnRenamed("side", "table_name")
 
 
-QUERIES = queries_core.Q | cases.QUERIES | cases_rules.QUERIES | {"p1_found": p1_found, "p1_by_year": p1_by_year, "p1_by_table": p1_by_table}
+def p1_reasons(spark, d):
+    """Orphan references per side and reason, as far as the checkpoint of the acts tells one."""
+    out = orphans.orphan_reasons(_orphans(spark, d), table(spark, d, "work_checkpoint"))
+    return out.groupBy("side", "reason").agg(F.count(F.lit(1)).alias("orphan_refs"), F.countDistinct("ref").alias("missing_keys"))
+
+
+QUERIES = queries_core.Q | cases.QUERIES | cases_rules.QUERIES | {"p1_found": p1_found, "p1_by_year": p1_by_year, "p1_by_table": p1_by_table, "p1_reasons": p1_reasons}
 
 _TRIM = "' ' || chr(9) || chr(160)"
 _ORPHANS = f"""with r as (
@@ -57,6 +64,10 @@ _CHILD = " union all ".join(
     + [f"select distinct 'relations.{s}', cast(id as varchar), upper(trim({c}, {_TRIM})), {c} from relations" for s, c in SIDES.items()]
 )
 SQL = queries_core.SQL | cases.SQL | cases_rules.SQL | {
+    "p1_reasons": _ORPHANS
+    + f""", s as (select upper(trim(celex_id, {_TRIM})) as ref, bool_or(status = 'processed') as done, bool_or(status = 'failed') as failed from work_checkpoint group by 1)
+select side, case when not regexp_matches(o.ref, '{ids.VALID_ID[4:]}') then 'malformed' when done then 'dropped' when failed then 'failed' else 'unknown' end as reason, count(*) as orphan_refs, count(distinct o.ref) as missing_keys
+from (select distinct id, side, ref from o) o left join s on s.ref = o.ref group by 1, 2""",
     "p1_by_table": f"""with r as ({_CHILD}), o as (select *, try_cast(nullif(regexp_extract(ref, '^[0-9A-Z]([0-9]{{4}})', 1), '') as integer) as period from r where ref <> '' and not exists (select 1 from works w where w.celex_id = r.ref))
 select table_name, period, count(*) as orphan_refs, count(distinct ref) as missing_keys from o group by 1, 2""",
     "p1_found": _ORPHANS + "select distinct id, side from o",

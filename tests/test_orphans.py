@@ -1,4 +1,4 @@
-from lexforge.operators.orphans import orphan_references, orphans_by_period
+from lexforge.operators.orphans import orphan_reasons, orphan_references, orphans_by_period
 from pyspark.sql import functions as F
 
 SIDES = {"source": "s", "target": "t"}
@@ -35,3 +35,9 @@ def test_hot_key_and_report(spark):
     o = orphan_references(rel, "id", SIDES, w, "celex_id", F.lit(1999))
     r = orphans_by_period(o).collect()
     assert [(x.side, x.period, x.orphan_refs, x.missing_keys) for x in r] == [("source", 1999, 20_000, 20_000)]
+
+
+def test_reasons(spark):
+    o = spark.createDataFrame([(i, "target", r) for i, r in enumerate(["32000R0001", "32000R0002", "32000R0003", "?", "32000R0001"])], "id int, side string, ref string")
+    cp = spark.createDataFrame([(" 32000r0001 ", "processed"), ("32000R0001", "failed"), ("32000R0002", "failed"), (None, "processed"), ("32000R0009", None)], "celex_id string, status string")
+    assert sorted((r.ref, r.reason) for r in orphan_reasons(o, cp).collect()) == [("32000R0001", "dropped"), ("32000R0001", "dropped"), ("32000R0002", "failed"), ("32000R0003", "unknown"), ("?", "malformed")]
