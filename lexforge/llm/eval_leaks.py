@@ -34,7 +34,8 @@ _NUMBER, _NAME, _UNIT = (U64(x) for x in (0xA11CE5ED00000001, 0xA11CE5ED00000002
 
 def item_names(items: DataFrame, text: str) -> list[str]:
     """Words written with a capital inside a sentence and never in small letters; at most one a word of the items."""
-    w = items.select(F.explode(F.regexp_extract_all(F.col(text), F.lit("(?U)(?:^|[.?!:] *)?[^\\W_]+"), 0)).alias("w"))
+    words = F.regexp_extract_all(F.col(text), F.lit("(?U)(?:[.?!:] *)?[^\\W_]+"), 0)
+    w = items.select(F.explode(F.slice(words, 2, 1 << 30)).alias("w"))  # the first word begins a sentence
     inner = w.where(F.col("w").rlike("^[^.?!:]")).select(F.regexp_replace("w", "[^\\p{L}\\p{N}]", "").alias("w"))
     small = inner.where(F.lower("w") == F.col("w")).select(F.lower("w").alias("l")).distinct()
     caps = inner.where(F.col("w").rlike("^\\p{Lu}\\p{Ll}+$")).select(F.lower("w").alias("l")).distinct()

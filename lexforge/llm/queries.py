@@ -207,7 +207,22 @@ v as (select w.tn, w.k, w.w from w join t on t.tn = w.tn and t.k = w.k),
     + """) group by tn, k)
 select t.tn as table_name, t.k as record_key, len(v.w) as tokens, shared_tokens, round(shared_tokens / len(v.w), 6) as shared_share, level from t join v on v.tn = t.tn and v.k = t.k join x on x.tn = t.tn and x.k = t.k"""
 )
+_P7_LEAKS = f"""with a as (select unnest(regexp_extract_all(text, '(?:[.?!:] *)?[\\p{{L}}\\p{{N}}]+')[2:]) as w from eval_items where text is not null),
+inner_ as (select w from a where not regexp_matches(w, '^[.?!:]')),
+names as (select distinct lower(w) as l from inner_ where regexp_full_match(w, '\\p{{Lu}}\\p{{Ll}}+') and lower(w) not in (select w from inner_ where lower(w) = w)),
+b as (select 'd' as t, doc_id as id, {_W} as w from documents where text is not null union all select 'i', item_id, {_W} from eval_items where text is not null),
+k as (select t, id, i, w[i] as x, case when regexp_full_match(w[i], '[0-9]+') then '#1' when l is not null then '#2' when w[i] in ({', '.join(f"'{u}'" for u in eval_leaks.UNITS)}) then '#3' else w[i] end as c
+ from b cross join unnest(range(1, len(w) + 1)) u(i) left join names on l = w[i]),
+l as (select t, id, list(c order by i) as cs, list(case when starts_with(c, '#') then x else '' end order by i) as ss from k group by t, id),
+win as (select t, id, i, hash(cs[i:i+14]) as h, ss[i:i+14] as s from l, unnest(range(1, greatest(len(cs) - 13, 1))) u(i) where len(cs) >= 15),
+hits as (select distinct d.id, e.id as item, d.i - e.i as copy, d.s as ds, e.s as es from win d join win e on d.t = 'd' and e.t = 'i' and d.h = e.h),
+v as (select distinct id, item from hits where ds = es),
+p as (select distinct id, item, copy, ds[j] as x, es[j] as y from hits, unnest(range(1, 16)) u(j) where ds[j] <> ''),
+o as (select id, item, copy, count(*) as n, count(distinct x) as nx, count(distinct y) as ny, bool_or(x <> y) as other from p group by 1, 2, 3),
+r as (select distinct id, item from o where other and n = nx and n = ny)
+select id as doc_id, item as item_id, 'verbatim' as kind from v union all select r.id, r.item, 'reparameterised' from r anti join v on v.id = r.id and v.item = r.item"""
 SQL = {
+    "p7_leaks": _P7_LEAKS,
     "p2_groups": _P2_GROUPS,
     "p6_shared": _P6_SHARED,
     "p8_kept": "select lower(trim(source, ' ' || chr(9) || chr(160))) as source, target_share, true as uses_kept, true as quota_kept, true as apportioned from mix_targets",
