@@ -130,7 +130,7 @@ def test_discounts_and_model():
 
     c = Counter(zip(h[:-1].tolist(), h[1:].tolist()))
     a, b = (np.array([k[i] for k in c], np.uint64) for i in (0, 1))
-    m = repetition.Model(np.array([0.5, 1, 1.5]), a, b, np.array(list(c.values())), np.array([0.5, 0.9, 1.2]), 100)
+    m = repetition.Model(np.array([0.5, 1, 1.5]), a, b, np.array(list(c.values())), np.array([0.5, 0.9, 1.2]))
     v = np.arange(m.size)
     for x in range(m.size):
         assert abs(m.lower(np.full(m.size, x), v).sum() - 1) < 1e-9
