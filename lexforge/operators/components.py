@@ -11,7 +11,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
     """(node, component) of each node that has a link; component is the smallest node of its group.
 
     Large-star / small-star rounds: each round is two shuffles with map-side minimum, the number of
-    rounds grows with the logarithm of the longest path. Null ends are dropped; self-links give a group
+    rounds grows with the logarithm of the longest path; a chain that needs more than max_rounds is an error and no
+    result. The joins have one row a node on one side, so adaptive execution splits a node with a large share of all links. Null ends are dropped; self-links give a group
     of one; an empty input gives no rows.
     """
     e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")

@@ -47,19 +47,21 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the folder that all executors share.
-
-    The folder is spark.checkpoint.dir as the session names it; only where none is set and the master is local (tests,
-    one machine) a temporary folder is made.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir as the session names it; only where none is set and the
+    master is local (tests, one machine) a temporary folder is made."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not re.match(r"local(?:\[|$)", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lexforge-"))
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a reliable checkpoint in the folder that all executors share."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -42,6 +42,26 @@ def start(data: S.Dataset, config: Config, folder: str, checkpoint: str, availab
     return w.trigger(availableNow=True).start() if available_now else w.start()
 
 
+def counted(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """The counts of arrivals_per_window kept up to date at `out`: each micro-batch writes the whole of them as a new
+    version, named by the batch, so a batch that runs again writes the same."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/v{number:012d}")
+
+    w = stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return w.trigger(availableNow=True).start()
+
+
+def latest_counts(spark: SparkSession, out: str) -> DataFrame:
+    """The last version that counted() wrote."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(out)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = sorted(x.getPath().toString() for x in fs.listStatus(at) if fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS")))
+    return spark.read.parquet(done[-1])
+
+
 def arrivals_per_window(stream: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Arrivals and different documents per window of event time; late rows beyond the watermark do not count."""
     return stream.withWatermark("arrived_at", late).groupBy(F.window("arrived_at", window)).agg(F.count(F.lit(1)).alias("arrivals"), F.approx_count_distinct("celex_id").alias("documents"))
