@@ -16,7 +16,7 @@ def of_keys(keys: DataFrame, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """The bits of the keys (k) as sorted block numbers and their words, at most `blocks` of them (a power of two)."""
     at = F.shiftright("k", 6).bitwiseAND(F.lit(blocks - 1)).alias("at")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k").bitwiseAND(F.lit(63)).cast("int"))
-    pdf = keys.groupBy(at).agg(F.bit_or(bit).alias("bits")).toPandas()
+    pdf = keys.groupBy(at).agg(F.bit_or(bit).alias("bits")).toArrow().to_pandas()
     at, bits = pdf["at"].to_numpy(np.int64), pdf["bits"].to_numpy(np.int64)
     o = np.argsort(at)
     return at[o].astype(np.int32), bits[o].view(U64)

@@ -309,7 +309,7 @@ def fit(texts: DataFrame, least: float = 5e-7, ratio: float = 1.0, alike: float
     c = durable(c.groupBy("kind", "x").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
     total = c.where("kind = 'w'").agg(F.sum("n")).first()[0] or 0
     floor = max(5, int(total * least))
-    pdf = c.where((F.col("kind") != "t") & (F.col("n") >= floor)).toPandas()
+    pdf = c.where((F.col("kind") != "t") & (F.col("n") >= floor)).toArrow().to_pandas()
     words, compounds = (dict(zip(p["x"], p["n"].tolist())) for p in (pdf[pdf["kind"] == "w"], pdf[pdf["kind"] == "c"]))
     # headings: templates that break into sentences, with words of their own
     often = c.where("kind = 't' and n >= 5 and m >= 3 and m >= 0.15 * n").select("x", "n")
@@ -330,7 +330,7 @@ def fit(texts: DataFrame, least: float = 5e-7, ratio: float = 1.0, alike: float
     counts = durable(counts.groupBy("w", "c").agg(F.sum("n").alias("n")))
     place = {w: i for i, w in enumerate(top)}
     m = np.zeros((len(top), len(top)))
-    got = counts.where(F.col("w").isin(top)).toPandas() if len(top) > 1 else pd.DataFrame({"w": [], "c": [], "n": []})  # at most dims_words x dims_words
+    got = counts.where(F.col("w").isin(top)).toArrow().to_pandas() if len(top) > 1 else pd.DataFrame({"w": [], "c": [], "n": []})  # at most dims_words x dims_words
     m[[place[w] for w in got["w"]], got["c"].to_numpy(np.int64)] = got["n"]
     vectors = _vectors(m, dims) if len(top) > 1 else np.zeros((len(top), dims), np.float32)
     each = counts.groupBy("w").agg(F.collect_list("c").alias("cs"), F.collect_list("n").alias("ns")).mapInPandas(_sums(vectors), "w string, vec array<float>")

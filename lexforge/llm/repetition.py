@@ -139,7 +139,7 @@ def _counts(docs: DataFrame, order: int) -> tuple[DataFrame, np.ndarray, np.ndar
 
 
 def _fit(grams: DataFrame, top: np.ndarray, low: np.ndarray) -> Model:
-    pdf = grams.toPandas()
+    pdf = grams.toArrow().to_pandas()
     u = lambda c: pdf[c].to_numpy(np.int64).view(U64)
     return Model(top, u("a"), u("b"), pdf["n"].to_numpy(np.int64), low)
 
